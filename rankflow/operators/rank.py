@@ -10,10 +10,11 @@ dropped. Steps repeat until the summed absolute change is below ``epsilon``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rankflow.operators import graph, order
@@ -105,13 +106,28 @@ def step(state: DataFrame, layout: Layout, rule: StepRule, dangling_mass: float)
     return joined.selectExpr(*kept, f"{rank} AS rank", "rank AS previous")
 
 
+# What is measured about every new state.
+_METRICS = (
+    "sum(abs(rank - previous)) AS delta",
+    "sum(IF(out_weight = 0, rank, 0D)) AS dangling_mass",
+    "sum(rank) AS total",
+)
+
+
 def state_metrics(state: DataFrame) -> DataFrame:
     """One row: L1 change, rank held by dangling nodes, total rank."""
-    return state.selectExpr(
-        "sum(abs(rank - previous)) AS delta",
-        "sum(IF(out_weight = 0, rank, 0D)) AS dangling_mass",
-        "sum(rank) AS total",
-    )
+    return state.selectExpr(*_METRICS)
+
+
+def settle(state: DataFrame) -> tuple[DataFrame, dict[str, float]]:
+    """Checkpoint a state and measure it in the same job.
+
+    The metrics sit in the last stage of the job, where Spark counts every
+    partition exactly once even if tasks are retried.
+    """
+    seen = Observation()
+    settled = state.observe(seen, *[F.expr(metric) for metric in _METRICS]).checkpoint()
+    return settled, seen.get
 
 
 def _restart_scores(
@@ -138,22 +154,26 @@ def prepare(
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     flat = graph.with_weight(drop_null_endpoints(edges), weighted)
-    table = graph.node_table(flat, weighted=True, universe=nodes)
+    # A meaningless weight turns its source's out-weight into NaN.
+    marked = F.when(graph.is_bad_weight(F.col("w")), F.lit(float("nan"))).otherwise(F.col("w"))
+    checked = flat.withColumn("w", marked)
+    table = graph.node_table(checked, weighted=True, universe=nodes)
     if personalization is not None:
         scores = _restart_scores(spark, personalization)
         table = table.join(scores, "node", "left").fillna(0.0, ["teleport"])
     table = table.checkpoint()
 
-    if weighted and not flat.where(graph.is_bad_weight(F.col("w"))).isEmpty():
-        raise ValueError("edge weights must be finite and not negative")
     facts = table.agg(
         F.count(F.lit(1)).alias("nodes"),
         F.sum("out_degree").alias("edges"),
         F.max("out_degree").alias("max_degree"),
+        F.max("out_weight").alias("max_weight"),
         (F.sum("teleport") if personalization is not None else F.lit(1.0)).alias("restart"),
     ).first()
     if facts["nodes"] == 0:
         raise ValueError("graph contains no nodes")
+    if not math.isfinite(facts["max_weight"]):  # NaN sorts above every number
+        raise ValueError("edge weights must be finite and not negative")
     if not facts["restart"] > 0:
         raise ValueError("personalization vector sums to zero over the node set")
 
@@ -232,8 +252,7 @@ def run(
         state = initial_state(layout, start, precision)
         held = state_metrics(state).first()["dangling_mass"] if max_iter > 0 else 0.0
         for iteration in range(1, max_iter + 1):
-            state = step(state, layout, rule, held).checkpoint()
-            seen = state_metrics(state).first()
+            state, seen = settle(step(state, layout, rule, held))
             history.append((iteration, seen["delta"], seen["dangling_mass"], seen["total"]))
             held = seen["dangling_mass"]
             if seen["delta"] < epsilon:
