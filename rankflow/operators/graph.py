@@ -8,6 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankflow.operators.skew import MIN_HOT_DEGREE, Split, join_sources
+from rankflow.session import ensure_checkpoint_dir
+
 # A neighbour list longer than this is spread over several rows.
 ADJACENCY_BLOCK = 100_000
 
@@ -87,7 +90,7 @@ def dangling_nodes(nodes: DataFrame) -> DataFrame:
 
 def nodes_without_out_edges(edges: DataFrame) -> DataFrame:
     """Endpoints that are never a source (set difference on node ids)."""
-    sources = edges.select(F.col("src").alias("node"))
+    sources = edges.select(F.col("src").alias("node")).distinct()
     return edges.select(F.col("dst").alias("node")).distinct().join(sources, "node", "left_anti")
 
 
@@ -101,67 +104,90 @@ def merge_parallel(edges: DataFrame) -> DataFrame:
     )
 
 
-def transition_probabilities(edges: DataFrame, weighted: bool = True) -> DataFrame:
-    """``src, dst, prob`` with ``prob = w / W(src)``, sources with W > 0 only.
+def _stored_node_table(
+    edges: DataFrame, weighted: bool = False, universe: DataFrame | None = None
+) -> DataFrame:
+    """A node table written once, for operators that read it several times."""
+    ensure_checkpoint_dir(edges.sparkSession)
+    return node_table(edges, weighted, universe).checkpoint()
 
-    The join key repeats on the edge side only; the adaptive skew join splits
-    the partition of a hub source.
-    """
+
+def transition_probabilities(
+    edges: DataFrame, weighted: bool = True, min_hot_degree: int = MIN_HOT_DEGREE
+) -> DataFrame:
+    """``src, dst, prob`` with ``prob = w / W(src)``, sources with W > 0 only."""
     flat = with_weight(edges, weighted)
-    totals = flat.groupBy("src").agg(F.sum("w").alias("total")).where("total > 0")
-    merged = merge_parallel(flat)
-    return merged.join(totals, "src").select(
-        "src", "dst", (F.col("w") / F.col("total")).alias("prob")
-    )
+    givers = _stored_node_table(flat, weighted=True).where("out_weight > 0")
+    facts = givers.withColumnRenamed("node", "src")
+    joined = join_sources(merge_parallel(flat), facts, min_hot_degree=min_hot_degree).all()
+    return joined.select("src", "dst", (F.col("w") / F.col("out_weight")).alias("prob"))
+
+
+def _block_lists(split: Split, block: Column, item: Column) -> DataFrame:
+    """Collect items per ``node, block``; hubs are first spread by block."""
+
+    def collect(rows: DataFrame, spread: bool) -> DataFrame:
+        numbered = rows.select(
+            F.col("src").alias("node"), block.cast("int").alias("block"), item.alias("item")
+        )
+        if spread:
+            numbered = numbered.repartition("node", "block")
+        return numbered.groupBy("node", "block").agg(F.collect_list("item").alias("items"))
+
+    lists = collect(split.ordinary, spread=False)
+    return lists if split.hot is None else lists.unionByName(collect(split.hot, spread=True))
 
 
 def adjacency(
-    edges: DataFrame, universe: DataFrame | None = None, block_size: int = ADJACENCY_BLOCK
+    edges: DataFrame,
+    universe: DataFrame | None = None,
+    block_size: int = ADJACENCY_BLOCK,
+    min_hot_degree: int = MIN_HOT_DEGREE,
 ) -> DataFrame:
     """``node, block, neighbors ARRAY<STRING>`` for every node.
 
     Parallel edges are listed as often as they occur; a sink has one empty list.
     A node with at most ``block_size`` out-edges has exactly one row. A longer
-    list is cut by target hash into several rows, numbered by ``block``, so that
-    no task ever holds a whole hub.
+    list is cut by target hash into several rows, numbered by ``block``, and
+    blocks of one hub are collected by different tasks.
     """
-    degrees = node_table(edges, universe=universe).select("node", "out_degree")
+    degrees = _stored_node_table(edges, universe=universe).select("node", "out_degree")
     pairs = merge_parallel(with_weight(edges)).select("src", "dst", "copies")
     slices = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("copies") / block_size) - 1))
     pieces = pairs.withColumn("slice", slices).withColumn(
         "size", F.least(F.lit(block_size).cast("long"), F.col("copies") - F.col("slice") * block_size)
     )
+    facts = degrees.where("out_degree > 0").withColumnRenamed("node", "src")
     blocks = F.ceil(F.col("out_degree") / block_size)
-    numbered = pieces.join(degrees.withColumnRenamed("node", "src"), "src").select(
-        F.col("src").alias("node"),
-        F.pmod(F.xxhash64("dst", "slice"), blocks).cast("int").alias("block"),
-        F.array_repeat("dst", F.col("size").cast("int")).alias("run"),
-    )
-    lists = numbered.groupBy("node", "block").agg(
-        F.array_sort(F.flatten(F.collect_list("run"))).alias("neighbors")
+    lists = _block_lists(
+        join_sources(pieces, facts, min_hot_degree=min_hot_degree),
+        F.pmod(F.xxhash64("dst", "slice"), blocks),
+        F.array_repeat("dst", F.col("size").cast("int")),
     )
+    filled = lists.select("node", "block", F.array_sort(F.flatten("items")).alias("neighbors"))
     empty = degrees.where("out_degree = 0").select(
         "node", F.lit(0).alias("block"), F.array().cast("array<string>").alias("neighbors")
     )
-    return lists.unionByName(empty)
+    return filled.unionByName(empty)
 
 
-def weighted_adjacency(edges: DataFrame, block_size: int = ADJACENCY_BLOCK) -> DataFrame:
+def weighted_adjacency(
+    edges: DataFrame, block_size: int = ADJACENCY_BLOCK, min_hot_degree: int = MIN_HOT_DEGREE
+) -> DataFrame:
     """``node, block, neighbors ARRAY<STRUCT<dst, w>>``, parallel edges merged.
 
     Blocks as in ``adjacency``; nodes without out-edges are left out.
     """
-    merged = merge_parallel(with_weight(edges, weighted=True))
-    fan_out = merged.groupBy("src").agg(F.count("dst").alias("targets"))
-    blocks = F.ceil(F.col("targets") / block_size)
-    numbered = merged.join(fan_out, "src").select(
-        F.col("src").alias("node"),
-        F.pmod(F.xxhash64("dst"), blocks).cast("int").alias("block"),
-        F.struct("dst", "w").alias("link"),
-    )
-    return numbered.groupBy("node", "block").agg(
-        F.array_sort(F.collect_list("link")).alias("neighbors")
+    merged = merge_parallel(with_weight(edges, weighted=True)).drop("copies")
+    degrees = _stored_node_table(edges).where("out_degree > 0")
+    facts = degrees.select(F.col("node").alias("src"), "out_degree")
+    blocks = F.ceil(F.col("out_degree") / block_size)
+    lists = _block_lists(
+        join_sources(merged, facts, min_hot_degree=min_hot_degree),
+        F.pmod(F.xxhash64("dst"), blocks),
+        F.struct("dst", "w"),
     )
+    return lists.select("node", "block", F.array_sort("items").alias("neighbors"))
 
 
 def with_rank(lists: DataFrame, ranks: DataFrame) -> DataFrame:

@@ -20,13 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankflow.operators import graph
+from rankflow.operators.skew import MIN_HOT_DEGREE
 
 # Sizing of the hash partitions, in edges.
 _MIN_EDGES_PER_PARTITION = 50_000
 _MAX_EDGES_PER_PARTITION = 32_000_000
-# At most this many broadcast hot sources per partition of the layout.
+# Upper bounds on broadcast hot sources: per partition of the layout, and at all.
 _HOT_SOURCES_PER_PARTITION = 4
-_MIN_HOT_DEGREE = 200_000
+_MAX_HOT_SOURCES = 100_000
 
 
 @dataclass
@@ -52,9 +53,13 @@ def choose_partitions(edge_count: int, configured: int) -> int:
     return max(1, wanted, needed)
 
 
-def choose_hot_degree(edge_count: int, partitions: int) -> int:
+def choose_hot_degree(edge_count: int, partitions: int, requested: int | None = None) -> int:
     """Smallest degree that counts as hot; bounds the number of hot sources."""
-    return max(_MIN_HOT_DEGREE, edge_count // (_HOT_SOURCES_PER_PARTITION * partitions))
+    floor = edge_count // _MAX_HOT_SOURCES
+    if requested is not None:
+        return max(requested, floor)
+    even = edge_count // (_HOT_SOURCES_PER_PARTITION * partitions)
+    return max(MIN_HOT_DEGREE, even, floor)
 
 
 def build_layout(
@@ -76,6 +81,7 @@ def build_layout(
         hot = (
             graph.merge_parallel(edges.join(hot_sources, "src", "left_semi"))
             .drop("copies")
+            .repartition(partitions, "src", "dst")
             .persist(StorageLevel.MEMORY_AND_DISK)
         )
     spread = (

@@ -180,8 +180,7 @@ def prepare(
     if partitions is None:
         configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
         partitions = choose_partitions(facts["edges"], configured)
-    if hot_degree is None:
-        hot_degree = choose_hot_degree(facts["edges"], partitions)
+    hot_degree = choose_hot_degree(facts["edges"], partitions, hot_degree)
     layout = build_layout(flat, table, partitions, hot_degree, facts["max_degree"])
     if personalization is None:
         restart = _double(1.0 / facts["nodes"])
@@ -248,17 +247,19 @@ def run(
     start = 1.0 / count if init == "uniform" else 1.0
     history: list[tuple[int, float, float, float]] = []
     converged = False
-    with scoped_conf(spark, step_conf(layout)):
-        state = initial_state(layout, start, precision)
-        held = state_metrics(state).first()["dangling_mass"] if max_iter > 0 else 0.0
-        for iteration in range(1, max_iter + 1):
-            state, seen = settle(step(state, layout, rule, held))
-            history.append((iteration, seen["delta"], seen["dangling_mass"], seen["total"]))
-            held = seen["dangling_mass"]
-            if seen["delta"] < epsilon:
-                converged = True
-                break
-    layout.release()
+    try:
+        with scoped_conf(spark, step_conf(layout)):
+            state = initial_state(layout, start, precision)
+            held = state_metrics(state).first()["dangling_mass"] if max_iter > 0 else 0.0
+            for iteration in range(1, max_iter + 1):
+                state, seen = settle(step(state, layout, rule, held))
+                history.append((iteration, seen["delta"], seen["dangling_mass"], seen["total"]))
+                held = seen["dangling_mass"]
+                if seen["delta"] < epsilon:
+                    converged = True
+                    break
+    finally:
+        layout.release()
     return RankResult(
         ranks=state.select("node", "rank"),
         history=spark.createDataFrame(history, HISTORY_SCHEMA),

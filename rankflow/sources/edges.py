@@ -52,12 +52,13 @@ def parse_edges(
     rule = POLICIES[policy]
     wanted = 3 if weighted else 2
 
-    kept = lines.select(strip(F.col("value"), rule.trimmed).alias("line")).where("line != ''")
-    if rule.skip_comments:
-        kept = kept.where(~F.col("line").startswith("#"))
-    fields = kept.select(F.split("line", "\t", -1).alias("field"))
+    # a blank line has one field, so the width test drops it as well
+    line = strip(F.col("value"), rule.trimmed)
+    fields = lines.select(F.split(line, "\t", -1).alias("field"))
     width = F.size("field")
     fields = fields.where(width == wanted if rule.exact_columns else width >= wanted)
+    if rule.skip_comments:
+        fields = fields.where(~F.col("field")[0].startswith("#"))
 
     def field(index: int):
         text = F.col("field")[index]

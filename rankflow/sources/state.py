@@ -18,11 +18,11 @@ from rankflow.sources.paths import to_uri
 def _two_columns(lines: DataFrame, exact: bool, skip_comments: bool) -> DataFrame:
     """Split trimmed lines into ``node`` and ``rest`` at the first TAB."""
     trimmed = CONTROL_SPACE if skip_comments else UNICODE_SPACE
-    kept = lines.select(strip(F.col("value"), trimmed).alias("line")).where("line != ''")
+    line = strip(F.col("value"), trimmed)
+    parts = lines.select(F.split(line, "\t", -1 if exact else 2).alias("part"))
+    parts = parts.where(F.size("part") == 2)
     if skip_comments:
-        kept = kept.where(~F.col("line").startswith("#"))
-    limit = -1 if exact else 2
-    parts = kept.select(F.split("line", "\t", limit).alias("part")).where(F.size("part") == 2)
+        parts = parts.where(~F.col("part")[0].startswith("#"))
     node, rest = F.col("part")[0], F.col("part")[1]
     if skip_comments:
         node, rest = strip(node, trimmed), strip(rest, trimmed)

@@ -6,7 +6,7 @@ import pytest
 from conftest import LEAKY, as_dict, pairs
 from pyspark.sql import functions as F
 
-from rankflow.operators import compare, graph, order
+from rankflow.operators import compare, graph, order, skew
 
 
 def rows(frame):
@@ -48,9 +48,10 @@ def test_adjacency_one_row_per_small_node(leaky):
     assert len(lists) == 6
 
 
-def test_adjacency_splits_hubs_without_losing_edges(make_edges):
+@pytest.mark.parametrize("min_hot_degree", [100, 10_000])
+def test_adjacency_splits_hubs_without_losing_edges(make_edges, min_hot_degree):
     hub = [("hub", f"n{i}") for i in range(500)] + [("hub", "n0")] * 700 + [("a", "b"), ("a", "b")]
-    lists = graph.adjacency(make_edges(hub), block_size=50).collect()
+    lists = graph.adjacency(make_edges(hub), block_size=50, min_hot_degree=min_hot_degree).collect()
     seen = Counter()
     for row in lists:
         seen.update((row["node"], target) for target in row["neighbors"])
@@ -60,13 +61,26 @@ def test_adjacency_splits_hubs_without_losing_edges(make_edges):
     assert [row["neighbors"] for row in lists if row["node"] == "a"] == [["b", "b"]]
 
 
+def test_hot_sources_are_joined_by_broadcast(make_edges, ring_weighted):
+    edges = make_edges([("hub", f"n{i}") for i in range(300)] + [(f"n{i}", "hub") for i in range(300)])
+    facts = graph.node_table(edges).withColumnRenamed("node", "src").cache()
+    split = skew.join_sources(edges, facts, min_hot_degree=50)
+    assert split.hot.count() == 300 and split.ordinary.count() == 300
+    assert split.all().where("out_degree = 300").count() == 300
+    # the bound on hot sources wins over a low threshold
+    assert skew.join_sources(edges, facts, max_hot=1, min_hot_degree=1).hot is None
+    moves = [graph.transition_probabilities(ring_weighted, min_hot_degree=m) for m in (2, 100)]
+    assert rows(moves[0]) == rows(moves[1])
+
+
 def test_weighted_adjacency(make_edges):
     edges = make_edges([("a", "b", 1.0), ("a", "b", 2.0), ("a", "c", 5.0)])
     row = graph.weighted_adjacency(edges).first()
     assert (row["node"], row["block"]) == ("a", 0)
     assert [tuple(link) for link in row["neighbors"]] == [("b", 3.0), ("c", 5.0)]
-    split = graph.weighted_adjacency(edges, block_size=1).collect()
-    assert sorted(t for row in split for t in row["neighbors"]) == [("b", 3.0), ("c", 5.0)]
+    for min_hot_degree in (1, 100):
+        split = graph.weighted_adjacency(edges, block_size=1, min_hot_degree=min_hot_degree).collect()
+        assert sorted(t for row in split for t in row["neighbors"]) == [("b", 3.0), ("c", 5.0)]
 
 
 def test_dense_index_counts_on_over_all_ranges(spark):
