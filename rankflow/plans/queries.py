@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from rankflow.operators import compare, graph, measure, order, rank, synth
 from rankflow.plans import lenses, oracles
-from rankflow.session import scoped_conf
+from rankflow.session import scoped_conf, shared_path
 from rankflow.sources import edges as edge_source
 from rankflow.sources import ranks as rank_source
+from rankflow.sources import runs as run_source
 from rankflow.sources import state as state_source
 
 STEPS = 10
@@ -716,6 +717,74 @@ def bench_worst_error(spark, folder):
     return measure.worst_error(lenses.measured_results(spark, folder))
 
 
+# --- files written and read back ------------------------------------------------------
+
+
+@register(
+    "edge_file_roundtrip",
+    oracles.query(lenses.TRADE_SQL, "SELECT src, dst, round(w, 2) AS w FROM trade"),
+)
+def edge_file_roundtrip(spark, folder):
+    path = shared_path(spark, "edges")
+    edge_source.write_edges(lenses.trade(spark, folder), path)
+    edges = edge_source.read_edges(spark, path, weighted=True)
+    return edges.select("src", "dst", rounded("w", 2))
+
+
+@register(
+    "edge_table_roundtrip", oracles.query(lenses.SUPPLY_SQL, "SELECT src, dst FROM supply")
+)
+def edge_table_roundtrip(spark, folder):
+    path = shared_path(spark, "edges")
+    edge_source.write_edges(lenses.supply(spark, folder), path)
+    return edge_source.read_edge_table(spark, path)
+
+
+@register("state_file_roundtrip", _state_sql(8))
+def state_file_roundtrip(spark, folder):
+    path = shared_path(spark, "state")
+    state_source.write_state(_state(spark, folder), path, "pipe")
+    return _shown_state(state_source.read_state(spark, path, "pipe"), 8)
+
+
+@register("ranking_file_roundtrip", _ranks_sql(FEW, 8, graph="trade"))
+def ranking_file_roundtrip(spark, folder):
+    path = shared_path(spark, "ranking")
+    ranks = fixed_run(lenses.trade(spark, folder), FEW, weighted=True).ranks
+    rank_source.write_ranking(ranks, path)
+    return rank_source.read_ranks(spark, path)
+
+
+@register("rank_text_roundtrip", _ranks_sql(FEW, 8, graph="trade"))
+def rank_text_roundtrip(spark, folder):
+    path = shared_path(spark, "ranks")
+    ranks = fixed_run(lenses.trade(spark, folder), FEW, weighted=True).ranks
+    rank_source.write_rank_text(ranks, path)
+    return rank_source.read_ranks(spark, path)
+
+
+@register("rank_table_roundtrip", _ranks_sql(FEW, graph="trade"))
+def rank_table_roundtrip(spark, folder):
+    path = shared_path(spark, "ranks")
+    result = fixed_run(lenses.trade(spark, folder), FEW, weighted=True)
+    rank_source.write_rank_table(result.ranks, path)
+    return rank_source.read_ranks(spark, path).select("node", rounded("rank"))
+
+
+@register(
+    "bench_file_roundtrip",
+    _measured(
+        """SELECT framework, label, n_nodes, n_edges, time_s, time_s_std, peak_mem_mb,
+  coalesce(peak_mem_mb_std, 0) AS peak_mem_mb_std, CAST(n_runs AS INTEGER) AS n_runs, iterations,
+  max_diff_vs_core, status FROM measured_results WHERE status = 'ok'"""
+    ),
+)
+def bench_file_roundtrip(spark, folder):
+    path = shared_path(spark, "runs")
+    run_source.append_runs(lenses.measured_results(spark, folder), path)
+    return run_source.read_runs(spark, path)
+
+
 # --- synthetic graphs ------------------------------------------------------------------
 
 

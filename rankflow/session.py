@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -46,6 +47,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path for intermediate files in the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 @contextmanager
 def scoped_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
     """Apply SQL settings for the span of a block, then put the old ones back."""

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
+
+_SCHEME = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]+:/")
 
 
 def to_uri(path: str) -> str:
     """Bare paths become absolute ``file://`` URIs; explicit schemes stay."""
-    return path if "://" in path else "file://" + os.path.abspath(path)
+    return path if _SCHEME.match(path) else "file://" + os.path.abspath(path)

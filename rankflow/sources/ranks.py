@@ -12,6 +12,9 @@ from rankflow.sources.paths import to_uri
 # Column titles of an exported ranking.
 HEADER = ("node", "pagerank")
 
+# TAB-separated, ids verbatim (an empty quote turns quoting off).
+_TSV = {"sep": "\t", "quote": ""}
+
 # A ranking up to this many rows may be exported as one file.
 SINGLE_FILE_ROWS = 5_000_000
 
@@ -40,7 +43,7 @@ def write_ranking(
         if ranks.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
             raise ValueError(f"more than {SINGLE_FILE_ROWS} rows: write part files instead")
         rows = rows.coalesce(1)
-    rows.write.mode(mode).option("sep", "\t").csv(to_uri(path), header=True)
+    rows.write.mode(mode).options(**_TSV).csv(to_uri(path), header=True)
 
 
 def write_rank_text(ranks: DataFrame, path: str) -> None:
@@ -51,9 +54,8 @@ def write_rank_text(ranks: DataFrame, path: str) -> None:
 
 def write_rank_table(ranks: DataFrame, path: str) -> None:
     """Write ``node TAB rank`` at full precision, best first, overwriting."""
-    sorted_ranks(ranks.select("node", "rank")).write.mode("overwrite").option("sep", "\t").csv(
-        to_uri(path), header=False
-    )
+    rows = sorted_ranks(ranks.select("node", "rank"))
+    rows.write.mode("overwrite").options(**_TSV).csv(to_uri(path), header=False)
 
 
 def read_ranks(spark: SparkSession, path: str) -> DataFrame:

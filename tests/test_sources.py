@@ -95,6 +95,7 @@ def test_edges_round_trip(spark, tmp_path, ring_weighted):
 def test_to_uri(tmp_path):
     assert to_uri("hdfs://host/a") == "hdfs://host/a"
     assert to_uri("file:///a") == "file:///a"
+    assert to_uri("file:/a/b") == "file:/a/b"
     assert to_uri("data/x.txt") == "file://" + os.path.abspath("data/x.txt")
 
 
