@@ -104,7 +104,7 @@ def merge_parallel(edges: DataFrame) -> DataFrame:
     )
 
 
-def _stored_node_table(
+def stored_node_table(
     edges: DataFrame, weighted: bool = False, universe: DataFrame | None = None
 ) -> DataFrame:
     """A node table written once, for operators that read it several times."""
@@ -117,7 +117,7 @@ def transition_probabilities(
 ) -> DataFrame:
     """``src, dst, prob`` with ``prob = w / W(src)``, sources with W > 0 only."""
     flat = with_weight(edges, weighted)
-    givers = _stored_node_table(flat, weighted=True).where("out_weight > 0")
+    givers = stored_node_table(flat, weighted=True).where("out_weight > 0")
     facts = givers.withColumnRenamed("node", "src")
     joined = join_sources(merge_parallel(flat), facts, min_hot_degree=min_hot_degree).all()
     return joined.select("src", "dst", (F.col("w") / F.col("out_weight")).alias("prob"))
@@ -151,7 +151,7 @@ def adjacency(
     list is cut by target hash into several rows, numbered by ``block``, and
     blocks of one hub are collected by different tasks.
     """
-    degrees = _stored_node_table(edges, universe=universe).select("node", "out_degree")
+    degrees = stored_node_table(edges, universe=universe).select("node", "out_degree")
     pairs = merge_parallel(with_weight(edges)).select("src", "dst", "copies")
     slices = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("copies") / block_size) - 1))
     pieces = pairs.withColumn("slice", slices).withColumn(
@@ -179,7 +179,7 @@ def weighted_adjacency(
     Blocks as in ``adjacency``; nodes without out-edges are left out.
     """
     merged = merge_parallel(with_weight(edges, weighted=True)).drop("copies")
-    degrees = _stored_node_table(edges).where("out_degree > 0")
+    degrees = stored_node_table(edges).where("out_degree > 0")
     facts = degrees.select(F.col("node").alias("src"), "out_degree")
     blocks = F.ceil(F.col("out_degree") / block_size)
     lists = _block_lists(

@@ -12,7 +12,6 @@ edges stay spread over all tasks however uneven the graph is.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -22,9 +21,6 @@ from pyspark.sql import functions as F
 from rankflow.operators import graph
 from rankflow.operators.skew import MIN_HOT_DEGREE
 
-# Sizing of the hash partitions, in edges.
-_MIN_EDGES_PER_PARTITION = 50_000
-_MAX_EDGES_PER_PARTITION = 32_000_000
 # Upper bounds on broadcast hot sources: per partition of the layout, and at all.
 _HOT_SOURCES_PER_PARTITION = 4
 _MAX_HOT_SOURCES = 100_000
@@ -38,6 +34,7 @@ class Layout:
     spread: DataFrame  # src, dst, w: edges of ordinary sources, by src, sorted
     hot: DataFrame | None  # src, dst, w: edges of hot sources, by pair
     partitions: int
+    dangling: int  # number of nodes without out-weight
 
     def release(self) -> None:
         """Free the stored edges."""
@@ -46,13 +43,6 @@ class Layout:
             self.hot.unpersist()
 
 
-def choose_partitions(edge_count: int, configured: int) -> int:
-    """Partition count from the data: few for small graphs, capped in size."""
-    wanted = min(configured, math.ceil(edge_count / _MIN_EDGES_PER_PARTITION))
-    needed = math.ceil(edge_count / _MAX_EDGES_PER_PARTITION)
-    return max(1, wanted, needed)
-
-
 def choose_hot_degree(edge_count: int, partitions: int, requested: int | None = None) -> int:
     """Smallest degree that counts as hot; bounds the number of hot sources."""
     floor = edge_count // _MAX_HOT_SOURCES
@@ -68,6 +58,7 @@ def build_layout(
     partitions: int,
     hot_degree: int,
     max_degree: int,
+    dangling: int,
 ) -> Layout:
     """Lay out weighted edges (``src, dst, w``) and a checkpointed node table."""
     static = nodes.withColumn("hot", F.col("out_degree") > hot_degree).drop("out_degree")
@@ -90,4 +81,4 @@ def build_layout(
         .sortWithinPartitions("src")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    return Layout(placed, spread, hot, partitions)
+    return Layout(placed, spread, hot, partitions, dangling)

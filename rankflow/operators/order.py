@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankflow.operators.sizing import choose_partitions
 from rankflow.session import ensure_checkpoint_dir
 
 
@@ -22,17 +23,21 @@ def sorted_ranks(ranks: DataFrame) -> DataFrame:
     return ranks.orderBy(*_by_rank())
 
 
-def dense_index(table: DataFrame, *ordering: Column, name: str = "index") -> DataFrame:
+def dense_index(
+    table: DataFrame, *ordering: Column, name: str = "index", rows: int | None = None
+) -> DataFrame:
     """Number all rows 0, 1, 2, … in the given order, without a global window.
 
     Rows are range-partitioned and numbered inside their partition; the row
     counts of the earlier partitions (one number per partition, hence small) are
     added on top. The ordering must be total for a repeatable result. The
     numbered rows are checkpointed because both uses must see the same ranges.
+    ``rows`` is the size of the table if known; it sets the number of ranges.
     """
     spark = table.sparkSession
     ensure_checkpoint_dir(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = choose_partitions(table.count() if rows is None else rows, configured)
     numbered = (
         table.repartitionByRange(parts, *ordering)
         .sortWithinPartitions(*ordering)

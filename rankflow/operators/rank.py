@@ -18,12 +18,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rankflow.operators import graph, order
-from rankflow.operators.layout import (
-    Layout,
-    build_layout,
-    choose_hot_degree,
-    choose_partitions,
-)
+from rankflow.operators.layout import Layout, build_layout, choose_hot_degree
+from rankflow.operators.sizing import choose_partitions
 from rankflow.session import ensure_checkpoint_dir, scoped_conf
 from rankflow.sources.edges import drop_null_endpoints
 
@@ -168,6 +164,7 @@ def prepare(
         F.sum("out_degree").alias("edges"),
         F.max("out_degree").alias("max_degree"),
         F.max("out_weight").alias("max_weight"),
+        F.count_if(F.col("out_weight") == 0).alias("dangling"),
         (F.sum("teleport") if personalization is not None else F.lit(1.0)).alias("restart"),
     ).first()
     if facts["nodes"] == 0:
@@ -181,7 +178,9 @@ def prepare(
         configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
         partitions = choose_partitions(facts["edges"], configured)
     hot_degree = choose_hot_degree(facts["edges"], partitions, hot_degree)
-    layout = build_layout(flat, table, partitions, hot_degree, facts["max_degree"])
+    layout = build_layout(
+        flat, table, partitions, hot_degree, facts["max_degree"], facts["dangling"]
+    )
     if personalization is None:
         restart = _double(1.0 / facts["nodes"])
     else:
@@ -189,9 +188,9 @@ def prepare(
     return layout, restart, facts["nodes"]
 
 
-def initial_state(layout: Layout, start: float, precision: int | None = None) -> DataFrame:
+def initial_state(layout: Layout, start: float) -> DataFrame:
     """Every node with the same rank."""
-    value = F.lit(float(start)) if precision is None else F.round(F.lit(float(start)), precision)
+    value = F.lit(float(start))
     return layout.nodes.withColumn("rank", value).withColumn("previous", value)
 
 
@@ -245,12 +244,14 @@ def run(
     )
     rule = StepRule(damping, restart, dangling == "teleport", precision, share_precision)
     start = 1.0 / count if init == "uniform" else 1.0
+    if precision is not None:
+        start = round(start, precision)
     history: list[tuple[int, float, float, float]] = []
     converged = False
     try:
         with scoped_conf(spark, step_conf(layout)):
-            state = initial_state(layout, start, precision)
-            held = state_metrics(state).first()["dangling_mass"] if max_iter > 0 else 0.0
+            state = initial_state(layout, start)
+            held = layout.dangling * start
             for iteration in range(1, max_iter + 1):
                 state, seen = settle(step(state, layout, rule, held))
                 history.append((iteration, seen["delta"], seen["dangling_mass"], seen["total"]))

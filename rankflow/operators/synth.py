@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from rankflow.functions.draws import draw_below
 from rankflow.operators import graph
 from rankflow.operators.order import dense_index
-from rankflow.session import ensure_checkpoint_dir
 from rankflow.sources.edges import write_edges
 
 # Attachment degree, seed, batch sizes, and the weight range.
@@ -121,11 +120,9 @@ def repair_links(edges: DataFrame, universe: DataFrame | None = None, seed: int
     ``(i + 1 + draw below n-1) mod n``, which is never itself. A graph of one
     node has no other node, hence no link.
     """
-    spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
-    degrees = graph.node_table(edges, universe=universe).select("node", "out_degree")
-    numbered = dense_index(degrees, F.col("node").asc())
-    size = numbered.count()
+    degrees = graph.stored_node_table(edges, universe=universe).select("node", "out_degree")
+    size = degrees.count()
+    numbered = dense_index(degrees, F.col("node").asc(), rows=size)
     sinks = numbered.where((F.col("out_degree") == 0) & F.lit(size > 1))
     jump = draw_below(seed, F.lit(max(size - 1, 1)), F.col("node"))
     chosen = sinks.select(

@@ -296,7 +296,7 @@ def _one_step(edges: DataFrame, redistribute: bool = True) -> DataFrame:
     rule = rank.StepRule(rank.DAMPING, restart, redistribute)
     with scoped_conf(edges.sparkSession, rank.step_conf(layout)):
         start = rank.initial_state(layout, 1.0 / count)
-        held = rank.state_metrics(start).first()["dangling_mass"]
+        held = layout.dangling / count
         state, _ = rank.settle(rank.step(start, layout, rule, held))
     layout.release()
     return state

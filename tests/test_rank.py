@@ -6,7 +6,7 @@ import pytest
 from conftest import as_dict, close, golden
 
 from rankflow import run
-from rankflow.operators import compare, graph, layout, rank
+from rankflow.operators import compare, graph, layout, rank, sizing
 from rankflow.plans.variants import VARIANTS
 
 TIGHT = {"epsilon": 1e-12, "max_iter": 100}
@@ -286,9 +286,9 @@ def test_step_shuffles_only_the_inflow(ring, capsys):
 
 
 def test_partition_choice():
-    assert layout.choose_partitions(0, 200) == 1
-    assert layout.choose_partitions(10_000_000, 200) == 200
-    huge = layout.choose_partitions(10**12, 200)
+    assert sizing.choose_partitions(0, 200) == 1
+    assert sizing.choose_partitions(10_000_000, 200) == 200
+    huge = sizing.choose_partitions(10**12, 200)
     assert 10**12 / huge <= 32_000_000
     assert layout.choose_hot_degree(10**12, huge) * 4 * huge >= 10**12 * 0.99
     assert layout.choose_hot_degree(100, 4) == 200_000
