@@ -223,6 +223,9 @@ def run(
 ) -> RankResult:
     """Rank the nodes of a graph.
 
+    The edges are read twice, so store an expensive source first (``persist`` or
+    a written table).
+
     ``weighted`` uses column ``w``. ``personalization`` maps nodes to restart
     scores (a mapping, or a DataFrame ``node, score``). ``nodes`` (column
     ``node``) adds isolated nodes. ``dangling`` is ``"teleport"`` (rank of

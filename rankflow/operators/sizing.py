@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-_MIN_ROWS = 50_000
+_MIN_ROWS = 20_000
 _MAX_ROWS = 32_000_000
 
 

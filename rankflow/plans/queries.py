@@ -6,9 +6,11 @@ in different orders. Runs that are compared use a fixed number of steps.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,11 +52,27 @@ def rounded(name: str, digits: int = DIGITS) -> Column:
     return F.round(name, digits).alias(name)
 
 
+@contextmanager
+def held(edges: DataFrame) -> Iterator[DataFrame]:
+    """Keep an aggregated lens while runs read it; each run reads it twice."""
+    edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield edges
+    finally:
+        edges.unpersist()
+
+
 def fixed_run(edges: DataFrame, steps: int = STEPS, **options) -> rank.RankResult:
     """A run of exactly ``steps`` steps."""
     return rank.run(edges, epsilon=0.0, max_iter=steps, **options)
 
 
+def trade_run(spark: SparkSession, folder: str, steps: int = STEPS, **options) -> rank.RankResult:
+    """A run of exactly ``steps`` steps on the trade graph."""
+    with held(lenses.trade(spark, folder)) as edges:
+        return fixed_run(edges, steps, **options)
+
+
 def rounded_ranks(result: rank.RankResult, digits: int = DIGITS) -> DataFrame:
     return result.ranks.select("node", rounded("rank", digits))
 
@@ -235,9 +253,8 @@ def graph_summary(spark, folder):
 
 
 def _state(spark: SparkSession, folder: str) -> DataFrame:
-    edges = lenses.trade(spark, folder)
-    ranks = fixed_run(edges, 1).ranks
-    return graph.with_rank(graph.adjacency(edges), ranks)
+    ranks = trade_run(spark, folder, 1).ranks
+    return graph.with_rank(graph.adjacency(lenses.trade(spark, folder)), ranks)
 
 
 def _shown_state(state: DataFrame, digits: int) -> DataFrame:
@@ -375,7 +392,7 @@ def rank_standard(spark, folder):
 
 @register("rank_weighted", _ranks_sql(graph="trade"))
 def rank_weighted(spark, folder):
-    return rounded_ranks(fixed_run(lenses.trade(spark, folder), weighted=True))
+    return rounded_ranks(trade_run(spark, folder, weighted=True))
 
 
 @register(
@@ -407,19 +424,19 @@ def rank_weighted_personalized(spark, folder):
     scores = suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("n_name").alias("node"), "score"
     )
-    edges = lenses.nation_trade(spark, folder)
-    return rounded_ranks(fixed_run(edges, weighted=True, personalization=scores))
+    with held(lenses.nation_trade(spark, folder)) as edges:
+        return rounded_ranks(fixed_run(edges, weighted=True, personalization=scores))
 
 
 @register("rank_node_universe", _ranks_sql(graph="trade", universe=True))
 def rank_node_universe(spark, folder):
     universe = lenses.customer_universe(spark, folder)
-    return rounded_ranks(fixed_run(lenses.trade(spark, folder), weighted=True, nodes=universe))
+    return rounded_ranks(trade_run(spark, folder, weighted=True, nodes=universe))
 
 
 @register("rank_drop_dangling", _ranks_sql(graph="trade_unweighted", redistribute=False))
 def rank_drop_dangling(spark, folder):
-    return rounded_ranks(fixed_run(lenses.trade(spark, folder), dangling="drop"))
+    return rounded_ranks(trade_run(spark, folder, dangling="drop"))
 
 
 @register("rank_init_one", _ranks_sql(graph="supply", redistribute=False, init="1e0"))
@@ -429,8 +446,7 @@ def rank_init_one(spark, folder):
 
 @register("rank_rounded_state", _ranks_sql(digits=6, graph="trade", redistribute=False, precision=8))
 def rank_rounded_state(spark, folder):
-    edges = lenses.trade(spark, folder)
-    result = fixed_run(edges, weighted=True, dangling="drop", precision=8)
+    result = trade_run(spark, folder, weighted=True, dangling="drop", precision=8)
     return rounded_ranks(result, 6)
 
 
@@ -440,7 +456,7 @@ _HISTORY_SQL = oracles.rank_ctes("trade", STEPS) + "," + oracles.history_cte(STE
 
 
 def _history(spark: SparkSession, folder: str) -> DataFrame:
-    return fixed_run(lenses.trade(spark, folder), weighted=True).history
+    return trade_run(spark, folder, weighted=True).history
 
 
 @register(
@@ -499,8 +515,8 @@ def iterations_to_converge(spark, folder):
     ),
 )
 def rank_until_converged(spark, folder):
-    edges = lenses.trade(spark, folder)
-    return rounded_ranks(rank.run(edges, epsilon=STOP, max_iter=STEPS, weighted=True))
+    with held(lenses.trade(spark, folder)) as edges:
+        return rounded_ranks(rank.run(edges, epsilon=STOP, max_iter=STEPS, weighted=True))
 
 
 _LOW, _HIGH = 0.50, 0.95
@@ -587,8 +603,7 @@ def rank_stddev(spark, folder):
     ),
 )
 def mass_leak(spark, folder):
-    edges = lenses.trade(spark, folder)
-    ranks = fixed_run(edges, FEW, weighted=True, dangling="drop").ranks
+    ranks = trade_run(spark, folder, FEW, weighted=True, dangling="drop").ranks
     return compare.mass_leak(ranks).select(rounded("leak"))
 
 
@@ -604,9 +619,8 @@ def mass_leak(spark, folder):
     ),
 )
 def rank_invariants(spark, folder):
-    edges = lenses.trade(spark, folder)
-    ranks = fixed_run(edges, FEW, weighted=True).ranks
-    return compare.invariants(ranks, graph.node_table(edges, weighted=True))
+    ranks = trade_run(spark, folder, FEW, weighted=True).ranks
+    return compare.invariants(ranks, graph.node_table(lenses.trade(spark, folder), weighted=True))
 
 
 _TWO_RUNS_SQL = (
@@ -616,6 +630,11 @@ _TWO_RUNS_SQL = (
 )
 
 
+def _two_trade_runs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    with held(lenses.trade(spark, folder)) as edges:
+        return fixed_run(edges, FEW, weighted=True).ranks, fixed_run(edges, FEW).ranks
+
+
 @register(
     "rank_max_abs_diff",
     oracles.query(
@@ -625,9 +644,7 @@ _TWO_RUNS_SQL = (
     ),
 )
 def rank_max_abs_diff(spark, folder):
-    edges = lenses.trade(spark, folder)
-    weighted = fixed_run(edges, FEW, weighted=True).ranks
-    plain = fixed_run(edges, FEW).ranks
+    weighted, plain = _two_trade_runs(spark, folder)
     return compare.max_abs_diff(weighted, plain).select(rounded("max_abs_diff"))
 
 
@@ -640,9 +657,7 @@ def rank_max_abs_diff(spark, folder):
     ),
 )
 def rank_comparison(spark, folder):
-    edges = lenses.trade(spark, folder)
-    weighted = fixed_run(edges, FEW, weighted=True).ranks
-    plain = fixed_run(edges, FEW).ranks
+    weighted, plain = _two_trade_runs(spark, folder)
     table = compare.compare(weighted, plain)
     return table.select("node", rounded("left_rank"), rounded("right_rank"), rounded("abs_diff"))
 
@@ -658,7 +673,7 @@ def rank_comparison(spark, folder):
 )
 def rank_keyset_mismatch(spark, folder):
     left = fixed_run(lenses.supply(spark, folder), 1).ranks
-    right = fixed_run(lenses.trade(spark, folder), 1).ranks
+    right = trade_run(spark, folder, 1).ranks
     return compare.keyset_mismatch(left, right)
 
 
@@ -750,7 +765,7 @@ def state_file_roundtrip(spark, folder):
 @register("ranking_file_roundtrip", _ranks_sql(FEW, 8, graph="trade"))
 def ranking_file_roundtrip(spark, folder):
     path = shared_path(spark, "ranking")
-    ranks = fixed_run(lenses.trade(spark, folder), FEW, weighted=True).ranks
+    ranks = trade_run(spark, folder, FEW, weighted=True).ranks
     rank_source.write_ranking(ranks, path)
     return rank_source.read_ranks(spark, path)
 
@@ -758,7 +773,7 @@ def ranking_file_roundtrip(spark, folder):
 @register("rank_text_roundtrip", _ranks_sql(FEW, 8, graph="trade"))
 def rank_text_roundtrip(spark, folder):
     path = shared_path(spark, "ranks")
-    ranks = fixed_run(lenses.trade(spark, folder), FEW, weighted=True).ranks
+    ranks = trade_run(spark, folder, FEW, weighted=True).ranks
     rank_source.write_rank_text(ranks, path)
     return rank_source.read_ranks(spark, path)
 
@@ -766,7 +781,7 @@ def rank_text_roundtrip(spark, folder):
 @register("rank_table_roundtrip", _ranks_sql(FEW, graph="trade"))
 def rank_table_roundtrip(spark, folder):
     path = shared_path(spark, "ranks")
-    result = fixed_run(lenses.trade(spark, folder), FEW, weighted=True)
+    result = trade_run(spark, folder, FEW, weighted=True)
     rank_source.write_rank_table(result.ranks, path)
     return rank_source.read_ranks(spark, path).select("node", rounded("rank"))
 
