@@ -1,6 +1,7 @@
 """Graph construction: node table, degrees, transitions, adjacency, summary.
 
-Edges are ``src STRING, dst STRING`` with an optional ``w DOUBLE``.
+Edges are ``src, dst`` with an optional ``w DOUBLE``. Ids are strings as read
+from text; a table with integer ids works as well, and faster.
 """
 
 from __future__ import annotations
@@ -52,7 +53,7 @@ def node_table(
     rows = endpoints(with_weight(edges, weighted))
     if universe is not None:
         isolated = universe.select(
-            F.col("node").cast("string"),
+            F.col("node").cast(edges.schema["src"].dataType),
             F.lit(0.0).alias("out_weight"),
             F.lit(0).cast("long").alias("out_degree"),
         )
@@ -66,7 +67,7 @@ def node_set(edges: DataFrame, universe: DataFrame | None = None) -> DataFrame:
     """Every distinct endpoint, plus the optional universe."""
     nodes = edges.select(F.explode(F.array("src", "dst")).alias("node"))
     if universe is not None:
-        nodes = nodes.union(universe.select(F.col("node").cast("string")))
+        nodes = nodes.union(universe.select(F.col("node").cast(edges.schema["src"].dataType)))
     return nodes.distinct()
 
 

@@ -155,7 +155,9 @@ def prepare(
     checked = flat.withColumn("w", marked)
     table = graph.node_table(checked, weighted=True, universe=nodes)
     if personalization is not None:
-        scores = _restart_scores(spark, personalization)
+        scores = _restart_scores(spark, personalization).withColumn(
+            "node", F.col("node").cast(flat.schema["src"].dataType)
+        )
         table = table.join(scores, "node", "left").fillna(0.0, ["teleport"])
     table = table.checkpoint()
 

@@ -225,6 +225,15 @@ def test_null_endpoints_are_dropped(make_edges):
     assert as_dict(result.ranks).keys() == {"a", "b"}
 
 
+def test_integer_ids(spark, ring):
+    edges = ring.selectExpr("CAST(src AS BIGINT) AS src", "CAST(dst AS BIGINT) AS dst")
+    extra = spark.createDataFrame([(77,)], "node BIGINT")
+    result = run(edges, nodes=extra, personalization={"1": 1.0, 3: 0.5}, epsilon=0.0, max_iter=4)
+    text = run(ring, nodes=extra, personalization={"1": 1.0, "3": 0.5}, epsilon=0.0, max_iter=4)
+    assert dict(result.ranks.dtypes)["node"] == "bigint"
+    assert close({str(k): v for k, v in as_dict(result.ranks).items()}, as_dict(text.ranks), 1e-15)
+
+
 def test_personalization_as_table(spark, ring):
     scores = spark.createDataFrame([("1", 1.0), ("3", 0.5)], "node STRING, score DOUBLE")
     table = as_dict(run(ring, personalization=scores, epsilon=0.0, max_iter=5).ranks)
