@@ -80,11 +80,12 @@ def inflow(state: DataFrame, layout: Layout, share_precision: int | None = None)
     share = _rounded("rank / out_weight", share_precision)
     givers = state.where("out_weight > 0")
     shares = givers.selectExpr("node AS src", f"{share} AS share")
-    flows = layout.spread.hint("merge").join(shares, "src").selectExpr("dst", "w * share AS flow")
+    flow = ("dst AS node", "w * share AS flow")
+    flows = layout.spread.join(shares, "src").selectExpr(*flow)
     if layout.hot is not None:
         few = F.broadcast(givers.where("hot").selectExpr("node AS src", f"{share} AS share"))
-        flows = flows.unionAll(layout.hot.join(few, "src").selectExpr("dst", "w * share AS flow"))
-    return flows.groupBy("dst").agg({"flow": "sum"}).toDF("node", "inflow")
+        flows = flows.unionAll(layout.hot.join(few, "src").selectExpr(*flow))
+    return flows.groupBy("node").agg(F.expr("sum(flow) AS inflow"))
 
 
 def step(state: DataFrame, layout: Layout, rule: StepRule, dangling_mass: float) -> DataFrame:
@@ -98,7 +99,7 @@ def step(state: DataFrame, layout: Layout, rule: StepRule, dangling_mass: float)
     rank = _rounded(f"{restarted} + {followed}", rule.precision)
     kept = [name for name in state.columns if name not in ("rank", "previous")]
     arrived = inflow(state, layout, rule.share_precision)
-    joined = state.hint("merge").join(arrived, "node", "left")
+    joined = state.join(arrived, "node", "left")
     return joined.selectExpr(*kept, f"{rank} AS rank", "rank AS previous")
 
 
@@ -199,11 +200,13 @@ def initial_state(layout: Layout, start: float) -> DataFrame:
 def step_conf(layout: Layout) -> dict[str, str]:
     """Settings under which a step keeps the layout's partitioning.
 
-    The layout already fixes partition counts and handles hot keys, and a
-    static plan keeps the partitioning and sort order of checkpointed state.
+    The layout already fixes partition counts and handles hot keys. A static
+    plan keeps the partitioning and sort order of checkpointed state, and merge
+    joins use both; hot sources are still broadcast on request.
     """
     return {
         "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.shuffle.partitions": str(layout.partitions),
     }
 

@@ -332,7 +332,8 @@ _ONE_STEP_SQL = oracles.rank_ctes("trade", 1)
 )
 def contributions_step(spark, folder):
     layout, _, count = rank.prepare(lenses.trade(spark, folder), weighted=True)
-    inflow = rank.inflow(rank.initial_state(layout, 1.0 / count), layout)
+    inflow = rank.inflow(rank.initial_state(layout, 1.0 / count), layout).checkpoint()
+    layout.release()
     return inflow.select("node", rounded("inflow"))
 
 
