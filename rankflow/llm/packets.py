@@ -2,7 +2,8 @@
 
 Some operators look up every word or passage of a text in a table as large as the
 corpus. One row per occurrence would multiply the text. Instead the documents are
-packed into blocks, once, in the shared checkpoint folder. Each block sends its
+packed into blocks, once, in a table in the shared checkpoint folder that is bucketed
+by block, so the text itself never moves again. Each block sends its
 distinct keys to shards chosen by a hash of the key, one message per shard; each
 shard works on its own share of all keys and answers each block; the block and its
 answers meet again by block id. Messages are rows with a compressed payload, moved
@@ -12,19 +13,23 @@ reaches its shard at most once per block.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import io
 import json
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.llm.common import cut
+from rankflow.session import shared_path
 
 BLOCK_BYTES = 10 << 20
+LEVEL = 6
 MESSAGE = "block long, shard int, payload binary"
 
 
@@ -37,7 +42,7 @@ def freeze(**arrays: np.ndarray) -> bytes:
         planes = array.reshape(-1).view(np.uint8).reshape(-1, array.dtype.itemsize) if array.size else array
         body.write(np.ascontiguousarray(planes.T).tobytes() if array.size else b"")
     meta = json.dumps(head).encode()
-    return zstandard.ZstdCompressor(level=1).compress(len(meta).to_bytes(4, "little") + meta + body.getvalue())
+    return zstandard.ZstdCompressor(level=LEVEL).compress(len(meta).to_bytes(4, "little") + meta + body.getvalue())
 
 
 def thaw(payload: bytes) -> dict[str, np.ndarray]:
@@ -55,7 +60,7 @@ def thaw(payload: bytes) -> dict[str, np.ndarray]:
 def _blocks(size: int, extra: list[str]) -> Callable:
     def write(parts: list[pa.RecordBatch], weight: int) -> pa.RecordBatch:
         sink = pa.BufferOutputStream()
-        codec = pa.ipc.IpcWriteOptions(compression="zstd")
+        codec = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=LEVEL))
         with pa.ipc.new_stream(sink, parts[0].schema, options=codec) as out:
             for part in parts:
                 out.write_batch(part)
@@ -87,13 +92,28 @@ def _blocks(size: int, extra: list[str]) -> Callable:
     return run
 
 
+def _forget(spark: SparkSession, table: str, path: str) -> None:
+    """Drop a table of blocks when the application ends."""
+    with contextlib.suppress(Exception):  # the session may be gone
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def pack(docs: DataFrame, size: int = BLOCK_BYTES, extra: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
     """Documents as stored blocks (block, payload, weight) of about ``size`` bytes of text; and all bytes.
 
-    A null text becomes empty. Ids of blocks are fixed once stored.
+    A null text becomes empty. Ids of blocks are fixed once stored. The table is
+    bucketed by block and goes with the application.
     """
+    spark = docs.sparkSession
     packed = docs.select("doc_id", "text", *extra).mapInArrow(_blocks(size, list(extra)), "payload binary, weight long")
-    blocks = cut(packed.withColumn("block", F.monotonically_increasing_id()))
+    path, table = shared_path(spark, "blocks"), f"blocks_{uuid.uuid4().hex}"
+    atexit.register(_forget, spark, table, path)
+    writer = packed.withColumn("block", F.monotonically_increasing_id()).write.format("parquet")
+    writer = writer.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block")
+    writer.option("compression", "uncompressed").option("path", path).saveAsTable(table)
+    blocks = spark.table(table)
     return blocks, blocks.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]
 
 
