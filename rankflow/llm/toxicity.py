@@ -22,10 +22,12 @@ from rankflow.llm.common import cut, slices
 #: Words share this many weights by hash.
 FEATURES = 1 << 18
 #: At most about so many labelled documents are fitted, those of least hash, of at most so many words each.
-MOST_DOCS, MOST_WORDS = 6_000, 5_000
-#: A weight needs words in this many of them.
-LEAST_DOCS = 5
-EPOCHS, BATCH, RATE, DECAY = 12, 256, 0.05, 1e-5
+MOST_DOCS, MOST_WORDS = 6_000, 20_000
+#: A word gets a weight only if labels depend on it: log-likelihood ratio with one degree of freedom.
+LEAST_EVIDENCE = 20.0
+STEPS, BATCH, RATE, DECAY = 1_500, 256, 0.1, 1e-4
+#: A word counts as itself and as a stem of so many bytes, so its compounds are known too.
+STEM = 5
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
 EDGES = b".,;:!?\"'()[]{}|*$%&#<>-"
 RESULT = "doc_id long, held_out boolean, score double, predicted int, n_sentences long, offending array<struct<sentence: int, begin: int, end: int, score: double>>"
@@ -48,7 +50,7 @@ def sentences(text: str) -> list[tuple[int, int]]:
 
 
 def bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[list[tuple[int, int]]]]:
-    """Feature of every word, words per sentence, and the sentences per text."""
+    """Two features for every word (itself, its stem), features per sentence, and the sentences per text."""
     held, counts, spans = [], [], []
     for text in texts:
         own = sentences(text)
@@ -58,9 +60,10 @@ def bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[list[tuple[int,
             counts.append(len(found))
             held += found
     coded = pa.array(held, pa.binary()).dictionary_encode()
-    hashed = np.fromiter((zlib.crc32(w.strip(EDGES)) % FEATURES for w in coded.dictionary.to_pylist()), np.int32, len(coded.dictionary))
-    index = np.asarray(coded.indices).astype(np.int64)
-    return (hashed[index] if len(index) else np.zeros(0, np.int32)), np.array(counts, dtype=np.int64), spans
+    known = [w.strip(EDGES) for w in coded.dictionary.to_pylist()]
+    hashed = np.array([(zlib.crc32(w) % FEATURES, zlib.crc32(w[:STEM], 1) % FEATURES) for w in known], dtype=np.int32)
+    features = hashed.reshape(-1, 2)[np.asarray(coded.indices).astype(np.int64)].reshape(-1)
+    return features, 2 * np.array(counts, dtype=np.int64), spans
 
 
 def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -75,7 +78,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = []
             for text, toxic in zip(part["text"].to_pylist(), part["toxic"].to_pylist(), strict=True):
                 words, counts, _ = bags([text or ""])
-                if len(words) <= MOST_WORDS:
+                if len(words) <= 2 * MOST_WORDS:
                     rows.append({"toxic": toxic, "words": words, "counts": counts.astype(np.int32)})
             yield pa.RecordBatch.from_pylist(rows, pa.schema([("toxic", pa.int32()), ("words", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))]))
 
@@ -91,20 +94,31 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
 
 
+def evidence(truth: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
+    """How far the share of toxic documents among those with a word is from that of all."""
+    seen, toxic = np.zeros(FEATURES), np.zeros(FEATURES)
+    for label, own in zip(truth, words, strict=True):
+        found = np.unique(own)
+        seen[found] += 1
+        toxic[found] += label
+    share = truth.mean()
+    with np.errstate(divide="ignore", invalid="ignore"):
+        yes = np.where(toxic > 0, toxic * np.log(toxic / (seen * share)), 0.0)
+        no = np.where(seen > toxic, (seen - toxic) * np.log((seen - toxic) / (seen * (1 - share))), 0.0)
+    return 2 * (yes + no)
+
+
 def fit(labels: list[int], words: list[np.ndarray], counts: list[np.ndarray]) -> Model:
     """Maximise the likelihood of document labels under the noisy-or of their sentences (Adam, fixed order)."""
     weights, bias = np.zeros(FEATURES), -4.0
     if not labels or len(set(labels)) < 2:
         share = (sum(labels) + 0.5) / (len(labels) + 1)
         return Model(weights, float(np.log(share / (1 - share))))
-    seen = np.zeros(FEATURES, dtype=np.int64)
-    for own in words:
-        seen[np.unique(own)] += 1
-    usable = seen >= LEAST_DOCS
     truth = np.array(labels, dtype=np.float64)
+    usable = evidence(truth, words) >= LEAST_EVIDENCE
     moment, square = np.zeros(FEATURES + 1), np.zeros(FEATURES + 1)
     shuffled, step = np.random.default_rng(7), 0
-    for _ in range(EPOCHS):
+    while step < STEPS:
         order = shuffled.permutation(len(labels))
         for start in range(0, len(order), BATCH):
             pick = order[start : start + BATCH]
@@ -116,7 +130,7 @@ def fit(labels: list[int], words: list[np.ndarray], counts: list[np.ndarray]) ->
             # d log likelihood / d logit of a sentence: p (t / p_doc - 1)
             grad = np.repeat(truth[pick] / p_doc - 1, per_doc) * p
             full = np.append(np.bincount(w, np.repeat(grad, c), FEATURES) * usable, grad.sum()) / len(pick)
-            full[:-1] -= DECAY * weights
+            full[:-1] -= DECAY * weights * usable
             step += 1
             moment = 0.9 * moment + 0.1 * full
             square = 0.99 * square + 0.01 * full * full
@@ -142,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0) ->
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     rows = texts.mapInArrow(_read, "toxic int, words array<int>, counts array<int>")
     picked = rows.toArrow()
-    words = [np.asarray(x.values, dtype=np.int64) for x in picked["words"]]
+    words = [np.asarray(x.values) for x in picked["words"]]
     counts = [np.asarray(x.values, dtype=np.int64) for x in picked["counts"]]
     return fit(picked["toxic"].to_pylist(), words, counts)
 
