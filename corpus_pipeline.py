@@ -32,7 +32,7 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut passages of 200 bytes or more that occurred before; whole characters only."""
     left = lpf_dedup.remove_repeats(docs, keep_first=True, whole_characters=True)
-    text = F.decode("kept", F.lit("UTF-8"))
+    text = F.decode("kept", "UTF-8")
     kept = left.select(F.col("doc_id").alias("own"), text.alias("left"))
     joined = docs.drop("text", "n_chars").join(kept, F.col("doc_id").eqNullSafe(F.col("own")))
     return joined.select("doc_id", F.col("left").alias("text"), "lang", "source", F.length("left").cast("long").alias("n_chars"))

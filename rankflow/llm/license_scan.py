@@ -46,7 +46,7 @@ RULES = [
     ("bsd-2-clause-text", "BSD-2-Clause", [14, 15, 16]),
 ]
 #: Every known sentence holds one of these; texts without any need no further look.
-STEMS = ("licen", "permission", "redistribut", "copyright", "rights reserved")
+STEMS = ("licen", "permission", "redistribut", "copyright", "rights reserved", "warrant")
 #: A sentence ends at a line feed, or at . ! ? before white space or the end of the text.
 SENTENCE_END = r"[.!?]+[ \t\n\r]+|[.!?]+$|\n"
 OUTSIDE = r"[^a-z0-9.]+"
