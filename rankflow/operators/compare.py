@@ -34,7 +34,7 @@ def max_abs_diff(left: DataFrame, right: DataFrame, on_mismatch: str = "raise")
     if on_mismatch not in ("raise", "null"):
         raise ValueError(f"on_mismatch must be 'raise' or 'null', got {on_mismatch!r}")
     if on_mismatch == "raise":
-        other = F.raise_error(F.lit("node sets differ")).cast("double")
+        other = F.raise_error(F.lit("a node is ranked on one side only")).cast("double")
     else:
         other = F.lit(None).cast("double")
     facts = compare(left, right).agg(

@@ -171,11 +171,11 @@ def prepare(
         (F.sum("teleport") if personalization is not None else F.lit(1.0)).alias("restart"),
     ).first()
     if facts["nodes"] == 0:
-        raise ValueError("graph contains no nodes")
+        raise ValueError("there are no nodes to rank")
     if not math.isfinite(facts["max_weight"]):  # NaN sorts above every number
         raise ValueError("edge weights must be finite and not negative")
     if not facts["restart"] > 0:
-        raise ValueError("personalization vector sums to zero over the node set")
+        raise ValueError("no node has a positive restart score")
 
     if partitions is None:
         configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -240,7 +240,7 @@ def run(
     steps.
     """
     if not 0.0 <= damping < 1.0:
-        raise ValueError(f"damping must be in [0, 1), got {damping}")
+        raise ValueError(f"damping is {damping}; it must be at least 0 and under 1")
     if dangling not in ("teleport", "drop"):
         raise ValueError(f"dangling must be 'teleport' or 'drop', got {dangling!r}")
     if init not in ("uniform", "one"):

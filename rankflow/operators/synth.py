@@ -62,7 +62,7 @@ def scale_free_edges(
     edge count is slightly under ``m * (count - m)``.
     """
     if count <= m:
-        raise ValueError(f"nodes ({count}) must be greater than m ({m})")
+        raise ValueError(f"{m} links per node need more than {count} nodes")
     new = nodes.where(F.col("id") >= m).select(F.col("id").cast("long").alias("node"))
     slots = new.select("node", F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("link"))
     traced = slots.select(
@@ -70,7 +70,8 @@ def scale_free_edges(
     )
     owner = F.floor(F.col("slot") / 2)
     target = F.when(F.col("slot") % 2 == 0, m + F.floor(owner / m)).when(owner < m, owner)
-    older = F.coalesce(target, F.col("node") - 1)
+    # the odds are 2 ** -_HOPS an edge; an invented target would be worse than a failure
+    older = F.coalesce(target, F.raise_error(F.lit("an edge was not traced to its end")).cast("long"))
     edges = traced.select(
         older.cast("string").alias("src"), F.col("node").cast("string").alias("dst")
     ).distinct()

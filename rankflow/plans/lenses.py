@@ -157,8 +157,8 @@ def measured_runs(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select(
         F.col("event_type").alias("framework"),
         F.upper("event_type").alias("label"),
-        (F.col("user_id") + 1).cast("int").alias("n_nodes"),
-        ((F.col("user_id") + 1) * 3).cast("int").alias("n_edges"),
+        (F.col("user_id") + 1).cast("bigint").alias("n_nodes"),
+        ((F.col("user_id") + 1) * 3).cast("bigint").alias("n_edges"),
         F.col("value").alias("time_s"),
         F.when(sample > 0, sample).alias("peak_mem_mb"),
         F.lit(30).alias("iterations"),
@@ -175,8 +175,8 @@ def measured_results(spark: SparkSession, folder: str) -> DataFrame:
 
 MEASURED_RESULTS_SQL = """
 measured_runs AS (
-  SELECT event_type AS framework, upper(event_type) AS label, CAST(user_id + 1 AS INTEGER) AS n_nodes,
-    CAST((user_id + 1) * 3 AS INTEGER) AS n_edges, value AS time_s,
+  SELECT event_type AS framework, upper(event_type) AS label, CAST(user_id + 1 AS BIGINT) AS n_nodes,
+    CAST((user_id + 1) * 3 AS BIGINT) AS n_edges, value AS time_s,
     nullif(CAST(nullif(regexp_extract(props, '"k": ([0-9]+)', 1), '') AS DOUBLE), 0) AS peak_mem_mb,
     30 AS iterations, value * 1e-9::DOUBLE AS max_diff_vs_core
   FROM events),

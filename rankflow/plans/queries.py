@@ -576,7 +576,7 @@ def rank_position(spark, folder):
 
 @register(
     "rank_export_rows",
-    oracles.query(_FEW_SQL, f"SELECT node, printf('%.8f', rank) AS pagerank FROM r{FEW}"),
+    oracles.query(_FEW_SQL, f"SELECT node, printf('%.8f', rank) AS rank FROM r{FEW}"),
 )
 def rank_export_rows(spark, folder):
     return rank_source.export_rows(fixed_run(lenses.supply(spark, folder), FEW).ranks)

@@ -101,6 +101,7 @@ def read_edge_table(spark: SparkSession, path: str, weighted: bool = False) -> D
 
 
 def write_edges(edges: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write edges as TAB-separated text parts, ids verbatim."""
+    """Write edges as TAB-separated text parts, ids verbatim; edges without an endpoint are left out."""
+    edges = drop_null_endpoints(edges)
     fields = [F.col(name).cast("string") for name in ("src", "dst", "w") if name in edges.columns]
     edges.select(F.concat_ws("\t", *fields).alias("value")).write.mode(mode).text(to_uri(path))

@@ -10,17 +10,21 @@ from rankflow.operators.order import sorted_ranks
 from rankflow.sources.paths import to_uri
 
 # Column titles of an exported ranking.
-HEADER = ("node", "pagerank")
+HEADER = ("node", "rank")
 
-# TAB-separated, ids verbatim (an empty quote turns quoting off).
-_TSV = {"sep": "\t", "quote": ""}
-
-# A ranking up to this many rows may be exported as one file.
-SINGLE_FILE_ROWS = 5_000_000
+# TAB-separated, ids verbatim (an empty quote turns quoting off; by default the writer
+# shows the empty text as "" and trims white space).
+_TSV = {
+    "sep": "\t",
+    "quote": "",
+    "emptyValue": "",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def export_rows(ranks: DataFrame, digits: int = 8) -> DataFrame:
-    """``node, pagerank`` with fixed decimals, best first, ties by node."""
+    """``node, rank`` with fixed decimals, best first, ties by node."""
     node, rank = HEADER
     return sorted_ranks(ranks).select(F.col("node").alias(node), fixed(F.col("rank"), digits).alias(rank))
 
@@ -29,21 +33,12 @@ def write_ranking(
     ranks: DataFrame,
     path: str,
     mode: str = "errorifexists",
-    single_file: bool = False,
 ) -> None:
     """Write a sorted ranking with a header.
 
-    By default every part file holds one range of the ranking, in file-name
-    order. ``single_file`` merges them for small rankings only, because one task
-    then writes everything; larger ones are refused.
+    Every part file holds one range of the ranking, in file-name order.
     """
-    rows = export_rows(ranks)
-    if single_file:
-        # limit keeps the check itself cheap on a huge table
-        if ranks.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
-            raise ValueError(f"more than {SINGLE_FILE_ROWS} rows: write part files instead")
-        rows = rows.coalesce(1)
-    rows.write.mode(mode).options(**_TSV).csv(to_uri(path), header=True)
+    export_rows(ranks).write.mode(mode).options(**_TSV).csv(to_uri(path), header=True)
 
 
 def write_rank_text(ranks: DataFrame, path: str) -> None:
@@ -61,10 +56,12 @@ def write_rank_table(ranks: DataFrame, path: str) -> None:
 def read_ranks(spark: SparkSession, path: str) -> DataFrame:
     """Read any of the rank layouts back: a file or a folder of parts.
 
-    Header and blank lines are skipped; marker and checksum files are ignored
-    by the text source itself.
+    Ids are kept verbatim, the empty id too. Lines that are exactly a header and lines
+    of white space without a TAB are skipped; any other line without a TAB fails. Marker and
+    checksum files are ignored by the text source itself.
     """
-    lines = spark.read.text(to_uri(path)).select(strip(F.col("value")).alias("line"))
-    rows = lines.where((F.col("line") != "") & ~F.col("line").startswith(HEADER[0] + "\t"))
-    part = F.split("line", "\t", -1)
+    line = F.col("value")
+    rows = spark.read.text(to_uri(path)).where(line != "\t".join(HEADER))
+    rows = rows.where(line.contains("\t") | (strip(line) != ""))
+    part = F.split(line, "\t", -1)
     return rows.select(part[0].alias("node"), number(part[1]).alias("rank"))

@@ -44,7 +44,7 @@ def usable_runs(raw: DataFrame) -> DataFrame:
 
     kept = raw.where(
         (F.col("status") == "ok")
-        & typed("n_nodes", "int").isNotNull()
+        & typed("n_nodes", "bigint").isNotNull()
         & typed("time_s", "double").isNotNull()
         & readable("time_s_std")
         & readable("peak_mem_mb")
@@ -54,14 +54,14 @@ def usable_runs(raw: DataFrame) -> DataFrame:
     return kept.select(
         "framework",
         "label",
-        typed("n_nodes", "int").alias("n_nodes"),
-        typed("n_edges", "int").alias("n_edges"),
+        typed("n_nodes", "bigint").alias("n_nodes"),
+        typed("n_edges", "bigint").alias("n_edges"),
         typed("time_s", "double").alias("time_s"),
         optional("time_s_std"),
         typed("peak_mem_mb", "double").alias("peak_mem_mb"),
         optional("peak_mem_mb_std"),
-        typed("n_runs", "int").alias("n_runs"),
-        typed("iterations", "int").alias("iterations"),
+        typed("n_runs", "bigint").alias("n_runs"),
+        typed("iterations", "bigint").alias("iterations"),
         optional("max_diff_vs_core"),
         "status",
     )

@@ -254,7 +254,7 @@ def test_empty_graph(make_edges):
 
 def test_useless_personalization(ring):
     for scores in ({"absent": 1.0}, {"1": -1.0}, {}):
-        with pytest.raises(ValueError, match="sums to zero"):
+        with pytest.raises(ValueError, match="positive restart"):
             run(ring, personalization=scores)
 
 

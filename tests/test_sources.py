@@ -150,18 +150,39 @@ def test_rank_sinks(spark, tmp_path, ring):
         rank_source.write_rank_text(ranks, text)
 
 
-def test_single_file_ranking(tmp_path, ring, monkeypatch):
-    ranks = run(ring).ranks
-    path = str(tmp_path / "one")
-    rank_source.write_ranking(ranks, path, single_file=True)
-    (part,) = glob.glob(path + "/part-*")
-    with open(part, encoding="utf-8") as file:
-        text = file.read().splitlines()
-    assert text[:3] == ["node\tpagerank", "1\t0.17582556", "3\t0.16908249"]
-    assert len(text) == 11
-    monkeypatch.setattr(rank_source, "SINGLE_FILE_ROWS", 5)
-    with pytest.raises(ValueError, match="part files"):
-        rank_source.write_ranking(ranks, str(tmp_path / "two"), single_file=True)
+def test_ranking_parts_hold_ranges(tmp_path, ring):
+    path = str(tmp_path / "ranking")
+    rank_source.write_ranking(run(ring).ranks, path)
+    text = []
+    for part in sorted(glob.glob(path + "/part-*")):
+        with open(part, encoding="utf-8") as file:
+            text += file.read().splitlines()
+    rows = [line for line in text if line != "node\trank"]
+    assert rows[:2] == ["1\t0.17582556", "3\t0.16908249"]
+    assert len(rows) == 10
+
+
+@pytest.mark.parametrize("write", ["write_ranking", "write_rank_text", "write_rank_table"])
+def test_every_id_comes_back(spark, tmp_path, write):
+    ids = ["", "node", "rank", '""', 'a"b', " spaced ", "é"]
+    ranks = spark.createDataFrame([(x, 1.0 / (i + 2)) for i, x in enumerate(ids)], "node string, rank double")
+    path = str(tmp_path / "ids")
+    getattr(rank_source, write)(ranks, path)
+    assert sorted(r["node"] for r in rank_source.read_ranks(spark, path).collect()) == sorted(ids)
+
+
+def test_sizes_over_two_to_the_31(spark):
+    names = run_source.COLUMNS
+    row = dict.fromkeys(names, "1") | {"n_nodes": "3000000000", "n_edges": "9000000000", "status": "ok"}
+    raw = spark.createDataFrame([tuple(row[n] for n in names)], ", ".join(f"{n} string" for n in names))
+    (got,) = run_source.usable_runs(raw).collect()
+    assert (got["n_nodes"], got["n_edges"]) == (3_000_000_000, 9_000_000_000)
+
+
+def test_edges_without_an_endpoint_are_not_written(spark, tmp_path):
+    edges = spark.createDataFrame([(None, "b", 1.0), ("a", "b", 2.0)], "src string, dst string, w double")
+    edge_source.write_edges(edges, str(tmp_path / "edges"))
+    assert [r[0] for r in spark.read.text(str(tmp_path / "edges")).collect()] == ["a\tb\t2.0"]
 
 
 def test_run_measurements(spark, tmp_path):

@@ -48,7 +48,7 @@ def test_repair_of_two_nodes_and_of_one(spark, make_edges):
 
 
 def test_too_few_nodes(spark):
-    with pytest.raises(ValueError, match="greater than m"):
+    with pytest.raises(ValueError, match="links per node"):
         synth.generate(spark, 3)
 
 
