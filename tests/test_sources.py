@@ -220,7 +220,7 @@ def test_rank_job(spark, tmp_path, capsys):
     path = tmp_path / "edges.txt"
     path.write_text("a\tb\nb\ta\nc\ta\n", encoding="utf-8")
     out = str(tmp_path / "ranks")
-    options = build_parser().parse_args(["rank", str(path), out, "--personalize", "a=1", "--single-file"])
+    options = build_parser().parse_args(["rank", str(path), out, "--personalize", "a=1"])
     options.run(spark, options)
     assert "nodes 3" in capsys.readouterr().out
     assert as_dict(rank_source.read_ranks(spark, out)).keys() == {"a", "b", "c"}
