@@ -124,16 +124,16 @@ def transition_probabilities(
     return joined.select("src", "dst", (F.col("w") / F.col("out_weight")).alias("prob"))
 
 
-def _block_lists(split: Split, block: Column, item: Column) -> DataFrame:
-    """Collect items per ``node, block``; hubs are first spread by block."""
+def _block_lists(split: Split, block: Column, item: Column, *facts: str) -> DataFrame:
+    """Collect items per ``node, block`` (and facts of the node); hubs are first spread by block."""
 
     def collect(rows: DataFrame, spread: bool) -> DataFrame:
         numbered = rows.select(
-            F.col("src").alias("node"), block.cast("int").alias("block"), item.alias("item")
+            F.col("src").alias("node"), block.cast("int").alias("block"), item.alias("item"), *facts
         )
         if spread:
             numbered = numbered.repartition("node", "block")
-        return numbered.groupBy("node", "block").agg(F.collect_list("item").alias("items"))
+        return numbered.groupBy("node", "block", *facts).agg(F.collect_list("item").alias("items"))
 
     lists = collect(split.ordinary, spread=False)
     return lists if split.hot is None else lists.unionByName(collect(split.hot, spread=True))
@@ -144,6 +144,7 @@ def adjacency(
     universe: DataFrame | None = None,
     block_size: int = ADJACENCY_BLOCK,
     min_hot_degree: int = MIN_HOT_DEGREE,
+    ranks: DataFrame | None = None,
 ) -> DataFrame:
     """``node, block, neighbors ARRAY<STRING>`` for every node.
 
@@ -151,8 +152,18 @@ def adjacency(
     A node with at most ``block_size`` out-edges has exactly one row. A longer
     list is cut by target hash into several rows, numbered by ``block``, and
     blocks of one hub are collected by different tasks.
+
+    With ``ranks`` (``node, rank``) the rows are node state: the nodes that have
+    a rank, and the full rank on every row. The rank joins the degrees, one row
+    per node, so a hub's blocks never meet in one task.
     """
-    degrees = stored_node_table(edges, universe=universe).select("node", "out_degree")
+    ensure_checkpoint_dir(edges.sparkSession)
+    table = node_table(edges, universe=universe).select("node", "out_degree")
+    kept = []
+    if ranks is not None:
+        kept = ["rank"]
+        table = table.join(ranks.select("node", "rank"), "node")
+    degrees = table.checkpoint()
     pairs = merge_parallel(with_weight(edges)).select("src", "dst", "copies")
     slices = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("copies") / block_size) - 1))
     pieces = pairs.withColumn("slice", slices).withColumn(
@@ -164,10 +175,11 @@ def adjacency(
         join_sources(pieces, facts, min_hot_degree=min_hot_degree),
         F.pmod(F.xxhash64("dst", "slice"), blocks),
         F.array_repeat("dst", F.col("size").cast("int")),
+        *kept,
     )
-    filled = lists.select("node", "block", F.array_sort(F.flatten("items")).alias("neighbors"))
+    filled = lists.select("node", "block", *kept, F.array_sort(F.flatten("items")).alias("neighbors"))
     empty = degrees.where("out_degree = 0").select(
-        "node", F.lit(0).alias("block"), F.array().cast("array<string>").alias("neighbors")
+        "node", F.lit(0).alias("block"), *kept, F.array().cast("array<string>").alias("neighbors")
     )
     return filled.unionByName(empty)
 
@@ -191,13 +203,6 @@ def weighted_adjacency(
     return lists.select("node", "block", F.array_sort("items").alias("neighbors"))
 
 
-def with_rank(lists: DataFrame, ranks: DataFrame) -> DataFrame:
-    """Join ranks to adjacency rows: ``node, block, rank, neighbors``."""
-    return lists.join(ranks.select("node", "rank"), "node").select(
-        "node", "block", "rank", "neighbors"
-    )
-
-
 def summary(nodes: DataFrame) -> DataFrame:
     """One row of counts from a node table: nodes, edges, dangling nodes."""
     return nodes.agg(

@@ -35,9 +35,17 @@ class Layout:
     hot: DataFrame | None  # src, dst, w: edges of hot sources, by pair
     partitions: int
     dangling: int  # number of nodes without out-weight
+    source: DataFrame | None = None  # held edges from which the layout is built
+
+    def release_source(self) -> None:
+        """Free the edges as they came, once the layout itself is stored."""
+        if self.source is not None:
+            self.source.unpersist()
+            self.source = None
 
     def release(self) -> None:
         """Free the stored edges."""
+        self.release_source()
         self.spread.unpersist()
         if self.hot is not None:
             self.hot.unpersist()

@@ -14,6 +14,7 @@ import math
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,30 +104,52 @@ def step(state: DataFrame, layout: Layout, rule: StepRule, dangling_mass: float)
     return joined.selectExpr(*kept, f"{rank} AS rank", "rank AS previous")
 
 
-# What is measured about every new state.
-_METRICS = (
-    "sum(abs(rank - previous)) AS delta",
-    "sum(IF(out_weight = 0, rank, 0D)) AS dangling_mass",
-    "sum(rank) AS total",
-)
+def _metrics(unit_digits: int | None = None) -> tuple[str, ...]:
+    """What is measured about every new state.
+
+    With ``unit_digits`` the change of every node counts in whole units of
+    ``10 ** -unit_digits``, halves rounded up.
+    """
+    change = "abs(rank - previous)"
+    delta = f"sum({change})"
+    if unit_digits is not None:
+        scale = _double(10.0**unit_digits)
+        delta = f"sum(CAST(floor({change} * {scale} + 0.5D) AS BIGINT)) / {scale}"
+    return (
+        f"{delta} AS delta",
+        "sum(IF(out_weight = 0, rank, 0D)) AS dangling_mass",
+        "sum(rank) AS total",
+    )
 
 
 def state_metrics(state: DataFrame) -> DataFrame:
     """One row: L1 change, rank held by dangling nodes, total rank."""
-    return state.selectExpr(*_METRICS)
+    return state.selectExpr(*_metrics())
 
 
-def settle(state: DataFrame) -> tuple[DataFrame, dict[str, float]]:
+def settle(
+    state: DataFrame, unit_digits: int | None = None
+) -> tuple[DataFrame, dict[str, float]]:
     """Checkpoint a state and measure it in the same job.
 
     The metrics sit in the last stage of the job, where Spark counts every
     partition exactly once even if tasks are retried.
     """
     seen = Observation()
-    settled = state.observe(seen, *[F.expr(metric) for metric in _METRICS]).checkpoint()
+    metrics = [F.expr(metric) for metric in _metrics(unit_digits)]
+    settled = state.observe(seen, *metrics).checkpoint()
     return settled, seen.get
 
 
+def discard(state: DataFrame) -> None:
+    """Delete the files of a checkpointed state that nothing reads any more."""
+    spark = state.sparkSession
+    written = state._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if written.isDefined():
+        folder = spark._jvm.org.apache.hadoop.fs.Path(written.get())
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def _restart_scores(
     spark: SparkSession, personalization: Mapping[str, float] | DataFrame
 ) -> DataFrame:
@@ -151,6 +174,8 @@ def prepare(
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     flat = graph.with_weight(drop_null_endpoints(edges), weighted)
+    if not edges.is_cached:  # the node table and the layout read it, hot sources once more
+        flat = flat.persist(StorageLevel.MEMORY_AND_DISK)
     # A meaningless weight turns its source's out-weight into NaN.
     marked = F.when(graph.is_bad_weight(F.col("w")), F.lit(float("nan"))).otherwise(F.col("w"))
     checked = flat.withColumn("w", marked)
@@ -170,12 +195,16 @@ def prepare(
         F.count_if(F.col("out_weight") == 0).alias("dangling"),
         (F.sum("teleport") if personalization is not None else F.lit(1.0)).alias("restart"),
     ).first()
+    problem = None
     if facts["nodes"] == 0:
-        raise ValueError("there are no nodes to rank")
-    if not math.isfinite(facts["max_weight"]):  # NaN sorts above every number
-        raise ValueError("edge weights must be finite and not negative")
-    if not facts["restart"] > 0:
-        raise ValueError("no node has a positive restart score")
+        problem = "there are no nodes to rank"
+    elif not math.isfinite(facts["max_weight"]):  # NaN sorts above every number
+        problem = "edge weights must be finite and not negative"
+    elif not facts["restart"] > 0:
+        problem = "no node has a positive restart score"
+    if problem is not None:
+        flat.unpersist()
+        raise ValueError(problem)
 
     if partitions is None:
         configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -184,6 +213,7 @@ def prepare(
     layout = build_layout(
         flat, table, partitions, hot_degree, facts["max_degree"], facts["dangling"]
     )
+    layout.source = flat if flat.is_cached else None
     if personalization is None:
         restart = _double(1.0 / facts["nodes"])
     else:
@@ -197,6 +227,20 @@ def initial_state(layout: Layout, start: float) -> DataFrame:
     return layout.nodes.withColumn("rank", value).withColumn("previous", value)
 
 
+def stored_state(layout: Layout, ranks: DataFrame, precision: int | None = None) -> DataFrame:
+    """The state that goes on from stored ranks (``node, rank``).
+
+    Several rows of one node (slices of a hub) carry the same rank and count
+    once; a node without a rank starts at 0, an unknown node is left out.
+    """
+    own = layout.nodes.schema["node"].dataType
+    known = ranks.select(F.col("node").cast(own), F.col("rank").cast("double").alias("rank"))
+    known = known.groupBy("node").agg(F.max("rank").alias("rank"))
+    joined = layout.nodes.join(known, "node", "left")
+    rank = _rounded("coalesce(rank, 0D)", precision)
+    return joined.selectExpr(*layout.nodes.columns, f"{rank} AS rank", f"{rank} AS previous")
+
+
 def step_conf(layout: Layout) -> dict[str, str]:
     """Settings under which a step keeps the layout's partitioning.
 
@@ -220,48 +264,63 @@ def run(
     personalization: Mapping[str, float] | DataFrame | None = None,
     nodes: DataFrame | None = None,
     dangling: str = "teleport",
-    init: str = "uniform",
+    init: str | DataFrame = "uniform",
     precision: int | None = None,
     share_precision: int | None = None,
+    unit_digits: int | None = None,
     partitions: int | None = None,
     hot_degree: int | None = None,
 ) -> RankResult:
     """Rank the nodes of a graph.
 
-    The edges are read twice, so store an expensive source first (``persist`` or
-    a written table).
+    The source of the edges is evaluated once and held until the first step is
+    done, unless the caller holds it already. At most two states are on disk at
+    any time. One run per session at a time: a run sets its session's partition
+    count and adaptive execution, and puts them back.
 
     ``weighted`` uses column ``w``. ``personalization`` maps nodes to restart
     scores (a mapping, or a DataFrame ``node, score``). ``nodes`` (column
     ``node``) adds isolated nodes. ``dangling`` is ``"teleport"`` (rank of
-    dangling nodes restarts) or ``"drop"``. ``init`` is ``"uniform"`` (1/N) or
-    ``"one"``. ``precision`` rounds the state in every step, ``share_precision``
-    the rank sent per unit of weight. ``epsilon=0`` runs exactly ``max_iter``
-    steps.
+    dangling nodes restarts) or ``"drop"``. ``init`` is ``"uniform"`` (1/N),
+    ``"one"``, or a DataFrame ``node, rank`` from which the run goes on.
+    ``precision`` rounds the state in every step, ``share_precision`` the rank
+    sent per unit of weight. ``unit_digits`` lets the run stop by the change
+    counted in whole units of that many decimals. ``epsilon=0`` runs exactly
+    ``max_iter`` steps.
     """
     if not 0.0 <= damping < 1.0:
         raise ValueError(f"damping is {damping}; it must be at least 0 and under 1")
     if dangling not in ("teleport", "drop"):
         raise ValueError(f"dangling must be 'teleport' or 'drop', got {dangling!r}")
-    if init not in ("uniform", "one"):
-        raise ValueError(f"init must be 'uniform' or 'one', got {init!r}")
+    resumed = isinstance(init, DataFrame)
+    if not resumed and init not in ("uniform", "one"):
+        raise ValueError(f"init must be 'uniform', 'one' or a DataFrame, got {init!r}")
 
     spark = edges.sparkSession
     layout, restart, count = prepare(
         edges, weighted, personalization, nodes, partitions, hot_degree
     )
     rule = StepRule(damping, restart, dangling == "teleport", precision, share_precision)
-    start = 1.0 / count if init == "uniform" else 1.0
+    start = 1.0 if not resumed and init == "one" else 1.0 / count
     if precision is not None:
         start = round(start, precision)
     history: list[tuple[int, float, float, float]] = []
     converged = False
     try:
         with scoped_conf(spark, step_conf(layout)):
-            state = initial_state(layout, start)
-            held = layout.dangling * start
+            if resumed:
+                state, seen = settle(stored_state(layout, init, precision))
+                held = seen["dangling_mass"]
+            else:
+                state = initial_state(layout, start)
+                held = layout.dangling * start
             for iteration in range(1, max_iter + 1):
-                state, seen = settle(step(state, layout, rule, held))
+                before = state
+                state, seen = settle(step(before, layout, rule, held), unit_digits)
+                if iteration == 1:
+                    layout.release_source()
+                if iteration > 1 or resumed:
+                    discard(before)
                 history.append((iteration, seen["delta"], seen["dangling_mass"], seen["total"]))
                 held = seen["dangling_mass"]
                 if seen["delta"] < epsilon:

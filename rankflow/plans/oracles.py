@@ -15,6 +15,7 @@ _GRAPHS = {
     "trade_unweighted": (lenses.TRADE_SQL, "1e0"),
     "nation_trade": (lenses.NATION_TRADE_SQL, "w"),
     "repaired": (None, "1e0"),  # defined by the query that uses it
+    "ids": (None, "1e0"),  # likewise
 }
 
 
@@ -49,6 +50,7 @@ def rank_ctes(
     redistribute: bool = True,
     init: str = "1e0 / n",
     precision: int | None = None,
+    share_precision: int | None = None,
     name: str = "",
 ) -> str:
     """``r0 … rK`` (node, rank) and ``dm0 … dmK`` (dangling mass) of a run.
@@ -75,9 +77,13 @@ def rank_ctes(
         )
         if precision is not None:
             rank = f"round({rank}, {precision})"
+        flow = f"sum(prob * rank) AS s FROM tr{name} JOIN r{name}{k - 1} ON src = node"
+        if share_precision is not None:
+            flow = f"""sum(w * round(rank / out_weight, {share_precision})) AS s FROM e{name}
+    JOIN r{name}{k - 1} ON src = node JOIN nodes{name} USING (node) WHERE out_weight > 0"""
         parts.append(f"""r{name}{k} AS MATERIALIZED (
   SELECT tp{name}.node, {rank} AS rank FROM tp{name} LEFT JOIN (
-    SELECT dst, sum(prob * rank) AS s FROM tr{name} JOIN r{name}{k - 1} ON src = node GROUP BY dst) x
+    SELECT dst, {flow} GROUP BY dst) x
   ON tp{name}.node = x.dst, dm{name}{k - 1})""")
         parts.append(_dangling(name, k))
     return ",\n".join(parts)
@@ -88,15 +94,35 @@ def _dangling(name: str, k: int) -> str:
   SELECT coalesce(sum(rank), 0e0) AS mass FROM r{name}{k} JOIN nodes{name} USING (node) WHERE out_weight = 0)"""
 
 
-def history_cte(steps: int, name: str = "") -> str:
+def history_cte(steps: int, name: str = "", change: str = "sum(abs(a.rank - b.rank))") -> str:
     """``history``: one row per step of a run."""
     rows = [
-        f"""SELECT {k} AS iteration, (SELECT sum(abs(a.rank - b.rank)) FROM r{name}{k} a JOIN r{name}{k - 1} b
+        f"""SELECT {k} AS iteration, (SELECT {change} FROM r{name}{k} a JOIN r{name}{k - 1} b
     USING (node)) AS delta, (SELECT mass FROM dm{name}{k}) AS dangling_mass,
     (SELECT sum(rank) FROM r{name}{k}) AS total"""
         for k in range(1, steps + 1)
     ]
-    return "history AS MATERIALIZED (" + " UNION ALL ".join(rows) + ")"
+    return f"history{name} AS MATERIALIZED (" + " UNION ALL ".join(rows) + ")"
+
+
+def finished_ctes(graph: str, steps: int, stop: float, name: str = "", **options) -> str:
+    """A run that stops: ``history``, ``stopped`` (k, converged) and ``done`` (node, rank).
+
+    The twin of a run with ``epsilon=stop`` and at most ``steps`` steps.
+    """
+    under = f"FILTER (WHERE delta < {stop!r})"
+    states = " UNION ALL ".join(
+        f"SELECT node, rank FROM r{name}{k} WHERE {k} = (SELECT k FROM stopped{name})"
+        for k in range(1, steps + 1)
+    )
+    return ",\n".join([
+        rank_ctes(graph, steps, name=name, **options),
+        history_cte(steps, name),
+        f"""stopped{name} AS MATERIALIZED (
+  SELECT coalesce(min(iteration) {under}, max(iteration)) AS k, count(*) {under} > 0 AS converged
+  FROM history{name})""",
+        f"done{name} AS MATERIALIZED ({states})",
+    ])
 
 
 def query(ctes: str, select: str) -> str:

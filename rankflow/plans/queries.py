@@ -16,17 +16,22 @@ from pyspark.sql import functions as F
 
 from rankflow.operators import compare, graph, measure, order, rank, synth
 from rankflow.plans import lenses, oracles
+from rankflow.plans.variants import VARIANTS
 from rankflow.session import scoped_conf, shared_path
 from rankflow.sources import edges as edge_source
 from rankflow.sources import ranks as rank_source
 from rankflow.sources import runs as run_source
 from rankflow.sources import state as state_source
 
+# Queries about a fixed number of steps.
 STEPS = 10
-FEW = 5
 DIGITS = 10
-# Small-scale stop threshold of the convergence queries.
+# All other runs go on until the change is under STOP; BUDGET is out of reach at
+# damping 0.85, where it takes log(2 / STOP) / log(1 / 0.85) = 47 steps at most.
 STOP = 1e-3
+BUDGET = 50
+# Without restarts of dangling mass the trade graph settles in three steps.
+BRIEF = 5
 
 
 @dataclass(frozen=True)
@@ -54,7 +59,7 @@ def rounded(name: str, digits: int = DIGITS) -> Column:
 
 @contextmanager
 def held(edges: DataFrame) -> Iterator[DataFrame]:
-    """Keep an aggregated lens while runs read it; each run reads it twice."""
+    """Keep an aggregated lens while several runs read it."""
     edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield edges
@@ -67,10 +72,14 @@ def fixed_run(edges: DataFrame, steps: int = STEPS, **options) -> rank.RankResul
     return rank.run(edges, epsilon=0.0, max_iter=steps, **options)
 
 
+def finished(edges: DataFrame, **options) -> rank.RankResult:
+    """A run to its end."""
+    return rank.run(edges, epsilon=STOP, max_iter=BUDGET, **options)
+
+
 def trade_run(spark: SparkSession, folder: str, steps: int = STEPS, **options) -> rank.RankResult:
     """A run of exactly ``steps`` steps on the trade graph."""
-    with held(lenses.trade(spark, folder)) as edges:
-        return fixed_run(edges, steps, **options)
+    return fixed_run(lenses.trade(spark, folder), steps, **options)
 
 
 def rounded_ranks(result: rank.RankResult, digits: int = DIGITS) -> DataFrame:
@@ -254,7 +263,7 @@ def graph_summary(spark, folder):
 
 def _state(spark: SparkSession, folder: str) -> DataFrame:
     ranks = trade_run(spark, folder, 1).ranks
-    return graph.with_rank(graph.adjacency(lenses.trade(spark, folder)), ranks)
+    return graph.adjacency(lenses.trade(spark, folder), ranks=ranks)
 
 
 def _shown_state(state: DataFrame, digits: int) -> DataFrame:
@@ -425,8 +434,8 @@ def rank_weighted_personalized(spark, folder):
     scores = suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("n_name").alias("node"), "score"
     )
-    with held(lenses.nation_trade(spark, folder)) as edges:
-        return rounded_ranks(fixed_run(edges, weighted=True, personalization=scores))
+    edges = lenses.nation_trade(spark, folder)
+    return rounded_ranks(fixed_run(edges, weighted=True, personalization=scores))
 
 
 @register("rank_node_universe", _ranks_sql(graph="trade", universe=True))
@@ -451,21 +460,32 @@ def rank_rounded_state(spark, folder):
     return rounded_ranks(result, 6)
 
 
+@register(
+    "rank_rounded_share",
+    _ranks_sql(
+        digits=6, graph="trade_unweighted", redistribute=False, init="1e0", precision=8, share_precision=10
+    ),
+)
+def rank_rounded_share(spark, folder):
+    options = VARIANTS["unit_start_text"] | {"max_iter": STEPS, "epsilon": 0.0}
+    return rounded_ranks(rank.run(lenses.trade(spark, folder), **options), 6)
+
+
 # --- convergence -----------------------------------------------------------------
 
-_HISTORY_SQL = oracles.rank_ctes("trade", STEPS) + "," + oracles.history_cte(STEPS)
+_CONVERGED_SQL = oracles.finished_ctes("trade", BUDGET, STOP)
 
 
 def _history(spark: SparkSession, folder: str) -> DataFrame:
-    return trade_run(spark, folder, weighted=True).history
+    return finished(lenses.trade(spark, folder), weighted=True).history
 
 
 @register(
     "rank_history",
     oracles.query(
-        _HISTORY_SQL,
+        _CONVERGED_SQL,
         f"""SELECT iteration, round(delta, {DIGITS}) AS delta, round(dangling_mass, {DIGITS}) AS dangling_mass,
-  round(total, {DIGITS}) AS total FROM history""",
+  round(total, {DIGITS}) AS total FROM history JOIN stopped ON iteration <= k""",
     ),
 )
 def rank_history(spark, folder):
@@ -477,10 +497,10 @@ def rank_history(spark, folder):
 @register(
     "history_monotone",
     oracles.query(
-        _HISTORY_SQL,
+        _CONVERGED_SQL,
         f"""SELECT iteration, round(delta, {DIGITS}) AS delta, round(before, {DIGITS}) AS previous_delta,
   before IS NULL OR delta <= before + 1e-12 AS falling
-  FROM (SELECT *, lag(delta) OVER (ORDER BY iteration) AS before FROM history)""",
+  FROM (SELECT *, lag(delta) OVER (ORDER BY iteration) AS before FROM history JOIN stopped ON iteration <= k)""",
     ),
 )
 def history_monotone(spark, folder):
@@ -490,11 +510,7 @@ def history_monotone(spark, folder):
 
 @register(
     "iterations_to_converge",
-    oracles.query(
-        _HISTORY_SQL,
-        f"""SELECT coalesce(min(iteration) FILTER (WHERE delta < {STOP!r}), max(iteration)) AS iterations,
-  count(*) FILTER (WHERE delta < {STOP!r}) > 0 AS converged FROM history""",
-    ),
+    oracles.query(_CONVERGED_SQL, "SELECT k AS iterations, converged FROM stopped"),
 )
 def iterations_to_converge(spark, folder):
     return compare.iterations_to_converge(_history(spark, folder), STOP)
@@ -503,21 +519,30 @@ def iterations_to_converge(spark, folder):
 @register(
     "rank_until_converged",
     oracles.query(
-        _HISTORY_SQL,
-        "SELECT node, round(rank, %d) AS rank FROM (%s)"
-        % (
-            DIGITS,
-            " UNION ALL ".join(
-                f"""SELECT * FROM r{k} WHERE {k} = (
-    SELECT coalesce(min(iteration) FILTER (WHERE delta < {STOP!r}), max(iteration)) FROM history)"""
-                for k in range(1, STEPS + 1)
-            ),
-        ),
+        _CONVERGED_SQL,
+        f"SELECT node, round(rank, {DIGITS}) AS rank, converged FROM done, stopped",
     ),
 )
 def rank_until_converged(spark, folder):
-    with held(lenses.trade(spark, folder)) as edges:
-        return rounded_ranks(rank.run(edges, epsilon=STOP, max_iter=STEPS, weighted=True))
+    result = finished(lenses.trade(spark, folder), weighted=True)
+    return rounded_ranks(result).withColumn("converged", F.lit(result.converged))
+
+
+_UNITS = "sum(floor(abs(a.rank - b.rank) * 1e8 + 0.5e0)::BIGINT)::BIGINT / 1e8"
+
+
+@register(
+    "rank_counter_stop",
+    oracles.query(
+        oracles.rank_ctes("nation_trade", 20) + "," + oracles.history_cte(20, change=_UNITS),
+        f"""SELECT iteration, round(delta, {DIGITS}) AS delta FROM history WHERE iteration <= (
+  SELECT min(iteration) FROM history WHERE delta < {STOP!r})""",
+    ),
+)
+def rank_counter_stop(spark, folder):
+    edges = lenses.nation_trade(spark, folder)
+    result = rank.run(edges, epsilon=STOP, max_iter=20, weighted=True, unit_digits=8)
+    return result.history.select("iteration", rounded("delta"))
 
 
 _LOW, _HIGH = 0.50, 0.95
@@ -526,114 +551,122 @@ _LOW, _HIGH = 0.50, 0.95
 @register(
     "damping_sensitivity",
     oracles.query(
-        oracles.rank_ctes("supply", FEW, _LOW, name="_low")
+        oracles.finished_ctes("nation_trade", BUDGET, STOP, "_low", damping=_LOW)
         + ",\n"
-        + oracles.rank_ctes("supply", FEW, _HIGH, name="_high"),
+        + oracles.finished_ctes("nation_trade", BUDGET, STOP, "_high", damping=_HIGH),
         f"""SELECT round(max(abs(a.rank - b.rank)), {DIGITS}) AS max_abs_diff
-  FROM r_low{FEW} a JOIN r_high{FEW} b USING (node)""",
+  FROM done_low a JOIN done_high b USING (node)""",
     ),
 )
 def damping_sensitivity(spark, folder):
-    edges = lenses.supply(spark, folder)
-    low = fixed_run(edges, FEW, damping=_LOW).ranks
-    high = fixed_run(edges, FEW, damping=_HIGH).ranks
+    with held(lenses.nation_trade(spark, folder)) as edges:
+        low = finished(edges, weighted=True, damping=_LOW).ranks
+        high = finished(edges, weighted=True, damping=_HIGH).ranks
     return compare.max_abs_diff(low, high).select(rounded("max_abs_diff"))
 
 
 # --- finished ranks ----------------------------------------------------------------
 
 
-def _few_ranks(spark: SparkSession, folder: str) -> DataFrame:
-    """Ranks after a few steps, rounded so that ties order alike everywhere."""
-    return rounded_ranks(fixed_run(lenses.supply(spark, folder), FEW))
+def _supply_ranks(spark: SparkSession, folder: str) -> DataFrame:
+    """Ranks of a finished run, rounded so that ties order alike everywhere."""
+    return rounded_ranks(finished(lenses.supply(spark, folder)))
+
+
+_SUPPLY_SQL = oracles.finished_ctes("supply", BUDGET, STOP) + f""",
+ranks AS (SELECT node, round(rank, {DIGITS}) AS rank FROM done)"""
 
+_DROP_SQL = oracles.finished_ctes("trade", BRIEF, STOP, redistribute=False)
 
-_FEW_SQL = oracles.rank_ctes("supply", FEW) + f""",
-ranks AS (SELECT node, round(rank, {DIGITS}) AS rank FROM r{FEW})"""
+
+def _drop_ranks(spark: SparkSession, folder: str) -> DataFrame:
+    return finished(lenses.trade(spark, folder), weighted=True, dangling="drop").ranks
 
 
 @register(
-    "top_n", oracles.query(_FEW_SQL, "SELECT node, rank FROM ranks ORDER BY rank DESC, node LIMIT 20")
+    "top_n", oracles.query(_SUPPLY_SQL, "SELECT node, rank FROM ranks ORDER BY rank DESC, node LIMIT 20")
 )
 def top_n(spark, folder):
-    return order.top_n(_few_ranks(spark, folder), 20)
+    return order.top_n(_supply_ranks(spark, folder), 20)
 
 
-@register("rank_sorted", oracles.query(_FEW_SQL, "SELECT node, rank FROM ranks ORDER BY rank DESC, node"))
+@register("rank_sorted", oracles.query(_SUPPLY_SQL, "SELECT node, rank FROM ranks ORDER BY rank DESC, node"))
 def rank_sorted(spark, folder):
-    return order.sorted_ranks(_few_ranks(spark, folder))
+    return order.sorted_ranks(_supply_ranks(spark, folder))
 
 
 @register(
     "rank_position",
     oracles.query(
-        _FEW_SQL, "SELECT node, rank, row_number() OVER (ORDER BY rank DESC, node) AS position FROM ranks"
+        _SUPPLY_SQL, "SELECT node, rank, row_number() OVER (ORDER BY rank DESC, node) AS position FROM ranks"
     ),
 )
 def rank_position(spark, folder):
-    return order.positions(_few_ranks(spark, folder))
+    return order.positions(_supply_ranks(spark, folder))
 
 
 @register(
     "rank_export_rows",
-    oracles.query(_FEW_SQL, f"SELECT node, printf('%.8f', rank) AS rank FROM r{FEW}"),
+    oracles.query(_SUPPLY_SQL, "SELECT node, printf('%.8f', rank) AS rank FROM done"),
 )
 def rank_export_rows(spark, folder):
-    return rank_source.export_rows(fixed_run(lenses.supply(spark, folder), FEW).ranks)
+    return rank_source.export_rows(finished(lenses.supply(spark, folder)).ranks)
 
 
-@register("rank_total", oracles.query(_FEW_SQL, f"SELECT round(sum(rank), 6) AS total FROM r{FEW}"))
+@register("rank_total", oracles.query(_SUPPLY_SQL, "SELECT round(sum(rank), 6) AS total FROM done"))
 def rank_total(spark, folder):
-    ranks = fixed_run(lenses.supply(spark, folder), FEW).ranks
+    ranks = finished(lenses.supply(spark, folder)).ranks
     return compare.total(ranks).select(rounded("total", 6))
 
 
 @register(
-    "rank_stddev", oracles.query(_FEW_SQL, f"SELECT round(stddev_pop(rank), {DIGITS}) AS stddev FROM r{FEW}")
+    "rank_stddev", oracles.query(_SUPPLY_SQL, f"SELECT round(stddev_pop(rank), {DIGITS}) AS stddev FROM done")
 )
 def rank_stddev(spark, folder):
-    ranks = fixed_run(lenses.supply(spark, folder), FEW).ranks
+    ranks = finished(lenses.supply(spark, folder)).ranks
     return compare.spread(ranks).select(rounded("stddev"))
 
 
 @register(
     "mass_leak",
     oracles.query(
-        oracles.rank_ctes("trade", FEW, redistribute=False),
-        f"SELECT round(1 - sum(rank), {DIGITS}) AS leak FROM r{FEW}",
+        _DROP_SQL,
+        f"SELECT round(1 - sum(rank), {DIGITS}) AS leak FROM done",
     ),
 )
 def mass_leak(spark, folder):
-    ranks = trade_run(spark, folder, FEW, weighted=True, dangling="drop").ranks
-    return compare.mass_leak(ranks).select(rounded("leak"))
+    return compare.mass_leak(_drop_ranks(spark, folder)).select(rounded("leak"))
 
 
 @register(
     "rank_invariants",
     oracles.query(
-        oracles.rank_ctes("trade", FEW),
+        _CONVERGED_SQL,
         f"""SELECT abs(sum(rank) - 1) < 1e-6 AS total_is_one,
   count(*) FILTER (WHERE rank IS NULL) AS missing_nodes,
   count(*) FILTER (WHERE out_weight IS NULL) AS extra_nodes,
   count(*) FILTER (WHERE out_weight = 0 AND coalesce(rank, 0) <= 0) AS sinks_without_rank
-  FROM nodes FULL JOIN r{FEW} USING (node)""",
+  FROM nodes FULL JOIN done USING (node)""",
     ),
 )
 def rank_invariants(spark, folder):
-    ranks = trade_run(spark, folder, FEW, weighted=True).ranks
-    return compare.invariants(ranks, graph.node_table(lenses.trade(spark, folder), weighted=True))
+    with held(lenses.trade(spark, folder)) as edges:
+        ranks = finished(edges, weighted=True).ranks
+        nodes = graph.stored_node_table(edges, weighted=True)
+    return compare.invariants(ranks, nodes)
 
 
 _TWO_RUNS_SQL = (
-    oracles.rank_ctes("trade", FEW, name="_w")
+    oracles.finished_ctes("trade", BRIEF, STOP, "_w", redistribute=False)
     + ",\n"
-    + oracles.rank_ctes("trade_unweighted", FEW, name="_u")
+    + oracles.finished_ctes("trade_unweighted", BRIEF, STOP, "_u", redistribute=False)
 )
 
 
 def _two_trade_runs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     with held(lenses.trade(spark, folder)) as edges:
-        return fixed_run(edges, FEW, weighted=True).ranks, fixed_run(edges, FEW).ranks
+        weighted = finished(edges, weighted=True, dangling="drop").ranks
+        return weighted, finished(edges, dangling="drop").ranks
 
 
 @register(
@@ -641,7 +674,7 @@ def _two_trade_runs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFr
     oracles.query(
         _TWO_RUNS_SQL,
         f"""SELECT round(max(abs(a.rank - b.rank)), {DIGITS}) AS max_abs_diff
-  FROM r_w{FEW} a JOIN r_u{FEW} b USING (node)""",
+  FROM done_w a JOIN done_u b USING (node)""",
     ),
 )
 def rank_max_abs_diff(spark, folder):
@@ -654,7 +687,7 @@ def rank_max_abs_diff(spark, folder):
     oracles.query(
         _TWO_RUNS_SQL,
         f"""SELECT node, round(a.rank, {DIGITS}) AS left_rank, round(b.rank, {DIGITS}) AS right_rank,
-  round(abs(a.rank - b.rank), {DIGITS}) AS abs_diff FROM r_w{FEW} a FULL JOIN r_u{FEW} b USING (node)""",
+  round(abs(a.rank - b.rank), {DIGITS}) AS abs_diff FROM done_w a FULL JOIN done_u b USING (node)""",
     ),
 )
 def rank_comparison(spark, folder):
@@ -763,30 +796,70 @@ def state_file_roundtrip(spark, folder):
     return _shown_state(state_source.read_state(spark, path, "pipe"), 8)
 
 
-@register("ranking_file_roundtrip", _ranks_sql(FEW, 8, graph="trade"))
+_DROP_8_SQL = oracles.query(_DROP_SQL, "SELECT node, round(rank, 8) AS rank FROM done")
+
+
+@register("ranking_file_roundtrip", _DROP_8_SQL)
 def ranking_file_roundtrip(spark, folder):
     path = shared_path(spark, "ranking")
-    ranks = trade_run(spark, folder, FEW, weighted=True).ranks
-    rank_source.write_ranking(ranks, path)
+    rank_source.write_ranking(_drop_ranks(spark, folder), path)
     return rank_source.read_ranks(spark, path)
 
 
-@register("rank_text_roundtrip", _ranks_sql(FEW, 8, graph="trade"))
+@register("rank_text_roundtrip", _DROP_8_SQL)
 def rank_text_roundtrip(spark, folder):
     path = shared_path(spark, "ranks")
-    ranks = trade_run(spark, folder, FEW, weighted=True).ranks
-    rank_source.write_rank_text(ranks, path)
+    rank_source.write_rank_text(_drop_ranks(spark, folder), path)
     return rank_source.read_ranks(spark, path)
 
 
-@register("rank_table_roundtrip", _ranks_sql(FEW, graph="trade"))
+@register(
+    "rank_table_roundtrip",
+    oracles.query(_DROP_SQL, f"SELECT node, round(rank, {DIGITS}) AS rank FROM done"),
+)
 def rank_table_roundtrip(spark, folder):
     path = shared_path(spark, "ranks")
-    result = trade_run(spark, folder, FEW, weighted=True)
-    rank_source.write_rank_table(result.ranks, path)
+    rank_source.write_rank_table(_drop_ranks(spark, folder), path)
     return rank_source.read_ranks(spark, path).select("node", rounded("rank"))
 
 
+_IDS_SQL = (
+    _FIELDS.format(comment="AND NOT starts_with(line, '#')")
+    + f""",
+ids AS (SELECT trim(f[1], {_SPACE}) AS src, trim(f[2], {_SPACE}) AS dst FROM fields WHERE len(f) >= 2),
+"""
+    + oracles.rank_ctes("ids", 1)
+)
+
+
+@register("rank_ids_roundtrip", oracles.query(_IDS_SQL, "SELECT node, round(rank, 8) AS rank FROM r1"))
+def rank_ids_roundtrip(spark, folder):
+    """One step on a graph whose ids include the empty one, through ranking text and back."""
+    path = shared_path(spark, "ranks")
+    edges = edge_source.parse_edges(lenses.edge_lines(spark, folder), "core")
+    rank_source.write_rank_text(fixed_run(edges, 1).ranks, path)
+    return rank_source.read_ranks(spark, path)
+
+
+@register("rank_resume", _ranks_sql(7, graph="trade"))
+def rank_resume(spark, folder):
+    """Three steps, the state as text, and four more steps from that text."""
+    path = shared_path(spark, "state")
+    with held(lenses.trade(spark, folder)) as edges:
+        ranks = fixed_run(edges, 3, weighted=True).ranks
+        state_source.write_state(graph.adjacency(edges, ranks=ranks), path, "tsv")
+        state = state_source.read_state(spark, path, "tsv")
+        return rounded_ranks(fixed_run(edges, 4, weighted=True, init=state))
+
+
+@register(
+    "edges_from_state", oracles.query(lenses.TRADE_SQL, "SELECT src, dst FROM trade")
+)
+def edges_from_state(spark, folder):
+    lines = state_source.format_json(_state(spark, folder))
+    return state_source.edges_from_state(state_source.parse_json(lines))
+
+
 @register(
     "bench_file_roundtrip",
     _measured(

@@ -4,10 +4,14 @@ In memory, state is ``node STRING, rank DOUBLE, neighbors ARRAY<STRING>``. A nod
 with very many out-links may own several rows, each with the full rank and a
 bounded slice of its links (see ``graph.adjacency``). The formats keep that
 property: one row is one line, and readers accept several lines for one node.
+A list of only the empty id reads back as no links from ``pipe`` and ``tsv``;
+``json`` keeps it.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,10 +19,12 @@ from rankflow.functions.text import CONTROL_SPACE, UNICODE_SPACE, fixed, number,
 from rankflow.sources.paths import to_uri
 
 
-def _two_columns(lines: DataFrame, exact: bool, skip_comments: bool) -> DataFrame:
-    """Split trimmed lines into ``node`` and ``rest`` at the first TAB."""
+def _two_columns(
+    lines: DataFrame, exact: bool, skip_comments: bool, trim: bool = True
+) -> DataFrame:
+    """Split lines, trimmed or as they are, into ``node`` and ``rest`` at the first TAB."""
     trimmed = CONTROL_SPACE if skip_comments else UNICODE_SPACE
-    line = strip(F.col("value"), trimmed)
+    line = strip(F.col("value"), trimmed) if trim else F.col("value")
     parts = lines.select(F.split(line, "\t", -1 if exact else 2).alias("part"))
     parts = parts.where(F.size("part") == 2)
     if skip_comments:
@@ -37,13 +43,17 @@ def format_pipe(state: DataFrame, digits: int = 8) -> DataFrame:
     )
 
 
-def parse_pipe(lines: DataFrame, exact: bool = True, skip_comments: bool = False) -> DataFrame:
+def parse_pipe(
+    lines: DataFrame, exact: bool = True, skip_comments: bool = False, trim: bool = True
+) -> DataFrame:
     """Read ``node TAB rank|n1,n2,…`` lines; lines without ``|`` are skipped.
 
     ``exact`` asks for exactly two TAB columns; otherwise only the first TAB
-    separates. ``skip_comments`` also trims the two columns.
+    separates. ``skip_comments`` also trims the two columns. Lines are trimmed,
+    as files of other programs need; without ``trim`` an empty id and ids with
+    outer spaces stay as they were written.
     """
-    pairs = _two_columns(lines, exact, skip_comments).where(F.col("rest").contains("|"))
+    pairs = _two_columns(lines, exact, skip_comments, trim).where(F.col("rest").contains("|"))
     rank_text = F.substring_index("rest", "|", 1)
     links = F.substring(F.col("rest"), F.length(rank_text) + 2, F.length("rest"))
     return pairs.select(
@@ -99,12 +109,13 @@ def parse_json(lines: DataFrame) -> DataFrame:
 
 
 _FORMATS = {"pipe": format_pipe, "tsv": format_tsv, "json": format_json}
-_PARSERS = {"pipe": parse_pipe, "tsv": parse_tsv, "json": parse_json}
+_PARSERS = {"pipe": partial(parse_pipe, trim=False), "tsv": parse_tsv, "json": parse_json}
 
 
 def write_state(state: DataFrame, path: str, style: str = "pipe", mode: str = "errorifexists") -> None:
-    """Write node state as text parts, ordered by node."""
-    _FORMATS[style](state.orderBy("node")).write.mode(mode).text(to_uri(path))
+    """Write node state as text parts, ordered by node and block, so that a hub spreads over parts."""
+    keys = [name for name in ("node", "block") if name in state.columns]
+    _FORMATS[style](state.orderBy(*keys)).write.mode(mode).text(to_uri(path))
 
 
 def read_state(spark: SparkSession, path: str, style: str = "pipe") -> DataFrame:

@@ -102,7 +102,7 @@ def test_to_uri(tmp_path):
 @pytest.mark.parametrize("style", ["pipe", "tsv", "json"])
 def test_state_round_trip(spark, tmp_path, leaky, style):
     nodes = graph.node_set(leaky).withColumn("rank", F.lit(0.125))
-    state = graph.with_rank(graph.adjacency(leaky), nodes).drop("block")
+    state = graph.adjacency(leaky, ranks=nodes).drop("block")
     path = str(tmp_path / style)
     state_source.write_state(state, path, style)
     back = state_source.read_state(spark, path, style)
