@@ -315,3 +315,50 @@ def test_history_checks(leaky):
 def test_damping_matters(ring):
     low, high = run(ring, damping=0.5).ranks, run(ring, damping=0.95).ranks
     assert compare.max_abs_diff(low, high).first()[0] > 1e-3
+
+
+def test_resumed_run_equals_one_run(make_edges, ring_weighted):
+    first = run(ring_weighted, epsilon=0.0, max_iter=4, weighted=True)
+    twice = first.ranks.unionAll(first.ranks)  # slices of a hub repeat its rank
+    second = run(ring_weighted, epsilon=0.0, max_iter=3, weighted=True, init=twice)
+    whole = run(ring_weighted, epsilon=0.0, max_iter=7, weighted=True)
+    assert close(as_dict(second.ranks), as_dict(whole.ranks))
+    assert close(dict(enumerate(second.deltas)), dict(enumerate(whole.deltas[4:])))
+
+
+def test_resume_with_missing_and_unknown_nodes(spark, make_edges):
+    state = spark.createDataFrame([("a", 1.0), ("z", 5.0)], "node STRING, rank DOUBLE")
+    edges = make_edges([("a", "b"), ("b", "a"), ("c", "a")])
+    ranks = as_dict(run(edges, epsilon=0.0, max_iter=1, init=state).ranks)
+    assert close(ranks, {"a": 0.05, "b": 0.9, "c": 0.05})
+
+
+def test_stop_by_whole_units(ring):
+    exact = run(ring, epsilon=0.1, max_iter=20)
+    coarse = run(ring, epsilon=0.1, max_iter=20, unit_digits=1)
+    assert coarse.iterations <= exact.iterations
+    assert all(abs(d * 10 - round(d * 10)) < 1e-9 for d in coarse.deltas)
+    fine = run(ring, epsilon=1e-3, max_iter=20, unit_digits=8)
+    assert fine.iterations == 13 and abs(fine.deltas[0] - 0.31166667) < 1e-7
+
+
+def test_at_most_two_states_stay_on_disk(spark, ring):
+    rank.ensure_checkpoint_dir(spark)
+    path = spark._jvm.org.apache.hadoop.fs.Path(spark.sparkContext.getCheckpointDir())
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def folders():
+        return {str(entry.getPath().getName()) for entry in files.listStatus(path)}
+
+    before = folders()
+    result = run(ring, epsilon=0.0, max_iter=20)
+    assert len(folders() - before) <= 3  # the node table and two states
+    assert result.ranks.count() == 10
+
+
+def test_source_is_held_until_released(spark, tmp_path, make_edges):
+    make_edges([("a", "b"), ("b", "c"), ("c", "a"), ("a", "c")]).write.parquet(str(tmp_path / "edges"))
+    built, _, _ = rank.prepare(spark.read.parquet(str(tmp_path / "edges")))
+    assert built.source.is_cached
+    built.release()
+    assert built.source is None

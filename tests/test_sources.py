@@ -14,6 +14,7 @@ from rankflow.session import ensure_checkpoint_dir
 from rankflow.sources import edges as edge_source
 from rankflow.sources import ranks as rank_source
 from rankflow.sources import runs as run_source
+from rankflow.session import scoped_conf
 from rankflow.sources import state as state_source
 from rankflow.sources.paths import to_uri
 
@@ -264,3 +265,25 @@ def test_checkpoint_folder_choice():
     local = _Context("local[2]")
     ensure_checkpoint_dir(_Session(local))
     assert "rankflow-" in local.folder
+
+
+@pytest.mark.parametrize("style", ["pipe", "tsv", "json"])
+def test_state_keeps_the_empty_id(spark, tmp_path, style):
+    rows = [("", 0.5, ["a"]), ("a", 0.25, ["", "node"]), ("node", 0.25, []), (" b ", 0.125, ["a"])]
+    state = spark.createDataFrame(rows, "node STRING, rank DOUBLE, neighbors ARRAY<STRING>")
+    state_source.write_state(state, str(tmp_path / style), style)
+    assert parsed(state_source.read_state(spark, str(tmp_path / style), style)) == parsed(state)
+
+
+def test_blocks_of_a_hub_stay_spread(spark, tmp_path, make_edges):
+    edges = make_edges([("hub", f"n{i}") for i in range(600)] + [("a", "b")])
+    ranks = graph.node_set(edges).withColumn("rank", F.lit(0.125))
+    state = graph.adjacency(edges, block_size=10, min_hot_degree=100, ranks=ranks)
+    path = str(tmp_path / "state")
+    with scoped_conf(spark, {"spark.sql.adaptive.enabled": "false"}):  # it would merge small partitions
+        hub = state.where("node = 'hub'").withColumn("part", F.spark_partition_id())
+        assert hub.select("part").distinct().count() > 1
+        state_source.write_state(state, path)
+    back = state_source.read_state(spark, path).where("node = 'hub'")
+    assert back.select(F.input_file_name()).distinct().count() > 1
+    assert back.select(F.explode("neighbors")).count() == 600
