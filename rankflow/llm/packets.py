@@ -141,9 +141,11 @@ def answer(messages: DataFrame, work: Callable[[list[dict]], Iterator[bytes]]) -
     """Answers of every shard: ``work`` gets the messages of all blocks and yields one answer for each."""
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("block")
-        replies = list(work([thaw(p.as_buffer()) for p in table["payload"]]))
-        return pa.table({"block": table["block"], "shard": table["shard"], "payload": pa.array(replies, pa.binary())})
+        order = np.argsort(table["block"].to_numpy(), kind="stable")
+        payloads = table["payload"]  # read in place, for a sorted copy would hold them twice
+        replies = list(work([thaw(payloads[int(at)].as_buffer()) for at in order]))
+        blocks, shards = table["block"].take(order), table["shard"].take(order)
+        return pa.table({"block": blocks, "shard": shards, "payload": pa.array(replies, pa.binary())})
 
     return messages.groupBy("shard").applyInArrow(run, MESSAGE)
 
