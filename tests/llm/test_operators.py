@@ -245,6 +245,78 @@ def test_licences(spark, odd, none):
     assert all(any(stem in s.lower() for stem in license_scan.STEMS) for s in license_scan.SENTENCES.values())
 
 
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software"""
+MIT = """MIT License
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+
+
+def test_wrapped_licences(spark):
+    notices = {"apache-2.0-header@0": (APACHE, 2), "mit-text@2": (MIT, 2), "bsd-2-clause-text@0": (BSD, 3), "gpl-3.0-notice@0": (GPL, 2)}
+    forms = [
+        lambda t: t,
+        lambda t: t.replace("\n", "\r\n"),
+        lambda t: "\n".join("# " + x for x in t.split("\n")),
+        lambda t: "\n".join(" * " + x for x in t.split("\n")),
+        lambda t: t.replace("1. ", "(1) ").replace("2. ", "b) "),
+        lambda t: " ".join(t.split()) if "MIT License" not in t and "http" not in t else t,
+        lambda t: "\n".join(t.split(" ")) if "1. " not in t and "MIT License" not in t else t,
+    ]
+    texts, want = [], []
+    for rule, (notice, known) in notices.items():
+        for form in forms:
+            texts.append(form(notice))
+            want.append((known, rule))
+    odd = [BSD.replace("2. Redis", "Another line.\n2. Redis"), MIT.replace("copies of the Software, and", "copies of the thing, and"), "All\n# rights\n# reserved", "the\n" * 3000 + MIT, "All rights reserved. " * 3000]
+    texts += odd
+    want += [(3, ""), (1, ""), (1, "proprietary-line@0"), (2, "mit-text@3002"), (3000, ",".join(f"proprietary-line@{i}" for i in range(3000)))]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [(r["n_sentences_known"], r["rules"]) for r in sorted(license_scan.scan(frame).collect())]
+    for text, a, b in zip(texts, got, want, strict=True):
+        assert a == b, text[:300]
+
+
+def test_own_sentences_and_rules(spark):
+    frame = spark.createDataFrame([(1, "Do as\n\nyou wish.\n\n3. No more of it! End"), (2, "You do as you wish. No more of it")], "doc_id long, text string")
+    got = license_scan.scan(frame, {1: "Do as you wish", 2: "No more of it", 3: "as you"}, [("free", "X", [1, 2])]).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 2, "free@0", "X"), (2, 1, "", "")]
+
+
 def test_perspectives(spark):
     turns = [(1, 0, "system", "be kind"), (1, 1, "ann", "hi <|x"), (1, 2, "bob b", None), (1, 3, None, ""), (1, 3, None, ""), (2, 0, "system", "alone"), (None, None, "ann", "first")]
     turns += [(5, i, "ann" if i % 2 else "bob", f"t{i}") for i in range(3000)]
