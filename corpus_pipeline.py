@@ -7,41 +7,52 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankflow.llm import decontaminate, lpf_dedup, quality, sentencepiece_codec, simhash
+from rankflow.llm.common import cut
 from rankflow.session import shared_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _only(docs: DataFrame, chosen: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` whose id is (left_semi) or is not (left_anti) among the chosen."""
-    ids = chosen.select(F.col("doc_id").alias("chosen")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("chosen")), how).select(*COLUMNS)
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Add ``key``, 128 bits of all that a row says: rows share it only if they are the same.
+
+    Ids may be null or repeat; verdicts are joined back by this key instead.
+    """
+    said = [f(F.col(c)) for c in COLUMNS[:4] for f in (F.isnull, lambda x: x)]
+    return docs.withColumn("key", F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(i), *said)), 16, "0") for i in range(2)]))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the rules of their language and source reject."""
-    return _only(docs, quality.judge(docs).where("kept"), "left_semi")
+    docs = _keyed(docs)
+    kept = quality.judge(docs, ("key",)).where("kept").select("key").distinct()
+    return docs.join(kept, "key", "left_semi").select(*COLUMNS)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates keep the document of the smallest id."""
-    grouped = simhash.near_duplicates(docs)
-    return _only(docs, grouped.where(F.col("doc_id").eqNullSafe(F.col("component_id"))), "left_semi")
+    """Of each group of near-duplicates keep one row, of the smallest id."""
+    docs = _keyed(docs)
+    chosen = cut(simhash.representatives(docs, "key"))
+    single = docs.join(chosen.where("n_rows = 1"), "key", "left_semi")
+    # rows that are the same in all columns: any one of them
+    several = docs.join(chosen.where("n_rows > 1"), "key", "left_semi").dropDuplicates(["key"])
+    return single.unionByName(several).select(*COLUMNS)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut passages of 200 bytes or more that occurred before; whole characters only."""
-    left = lpf_dedup.remove_repeats(docs, keep_first=True, whole_characters=True)
-    text = F.decode("kept", "UTF-8")
-    kept = left.select(F.col("doc_id").alias("own"), text.alias("left"))
-    joined = docs.drop("text", "n_chars").join(kept, F.col("doc_id").eqNullSafe(F.col("own")))
-    return joined.select("doc_id", F.col("left").alias("text"), "lang", "source", F.length("left").cast("long").alias("n_chars"))
+    left = lpf_dedup.remove_repeats(docs, keep_first=True, whole_characters=True, extra=("lang", "source"))
+    left = left.withColumn("text", F.decode("kept", "UTF-8"))
+    return left.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that contain a benchmark item."""
-    found = decontaminate.contained(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _only(docs, found, "left_anti")
+    docs = _keyed(docs)
+    texts = docs.select(F.col("key").alias("doc_id"), "text")
+    found = decontaminate.contained(texts, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = found.select(F.col("doc_id").alias("key")).distinct()
+    return docs.join(found, "key", "left_anti").select(*COLUMNS)
 
 
 def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -225,7 +225,7 @@ def _match(length: int, keep_first: bool):
     return work
 
 
-def _remove(whole_characters: bool):
+def _remove(whole_characters: bool, extra: tuple[str, ...]):
     def work(table: pa.Table, replies: dict[int, dict]) -> pa.Table:
         none = np.zeros(0, np.int64)
         rows, begins, ends = (np.concatenate([none, *[r[k] for r in replies.values()]]).astype(np.int64) for k in ("rows", "begins", "ends"))
@@ -253,13 +253,13 @@ def _remove(whole_characters: bool):
         span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
         return pa.table({
             "doc_id": table["doc_id"], "n_bytes": pa.array(sizes, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
-            "spans": pa.array(spans, span), "kept": pa.array(kept, pa.binary()),
+            "spans": pa.array(spans, span), "kept": pa.array(kept, pa.binary()), **{c: table[c] for c in extra},
         })
 
     return work
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_first: bool = True, whole_characters: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_first: bool = True, whole_characters: bool = False, extra: tuple[str, ...] = ()) -> DataFrame:
     """Remove the bytes of passages of ``length`` bytes or more that occur elsewhere too.
 
     ``docs``: doc_id, text, any others. Texts are UTF-8 bytes, matches never cross
@@ -268,13 +268,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep_first: bool = Tru
     ``whole_characters`` keeps a character of which only some bytes would go. Returns
     doc_id, n_bytes, n_removed, spans (maximal, in bytes) and kept (the other bytes).
     Null and empty texts have no bytes; repeated rows repeat each other; null ids come
-    last; an empty table gives no rows.
+    last; string columns named in ``extra`` stay with their row; an empty table gives no rows.
     """
     if length < ANCHOR:
         raise ValueError(f"a passage has at least {ANCHOR} bytes")
-    blocks, weight = pack(docs, BLOCK_BYTES)
+    blocks, weight = pack(docs, BLOCK_BYTES, extra)
     shards = shard_count(weight, SHARD_BYTES)
     repeated = answer(send(blocks, _ask(shards, length)), _repeated)
     factors = settle(blocks, repeated, _send(shards, length), "shard int, payload binary", with_block=True)
     found = answer(factors, _match(length, keep_first))
-    return settle(blocks, found, _remove(whole_characters), RESULT)
+    result = ", ".join([RESULT, *[f"{c} string" for c in extra]])
+    return settle(blocks, found, _remove(whole_characters, extra), result)

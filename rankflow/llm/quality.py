@@ -70,34 +70,46 @@ def repeated_words(ids: np.ndarray, offsets: np.ndarray, size: int = WINDOW) ->
     return sums_by_row((np.cumsum(marked)[:-1] > 0).astype(np.int64), offsets)
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch):
-            texts = raw_texts(part["text"])
-            found = [t.split() for t in texts]
-            offsets = np.concatenate([[0], np.cumsum([len(w) for w in found])]).astype(np.int64)
-            flat = pa.array([w for ws in found for w in ws], type=pa.binary())
-            ids = np.asarray(flat.dictionary_encode().indices, dtype=np.int64)
-            solid = [t.translate(None, BLANKS) for t in texts]
-            lines = [[x for x in t.split(b"\n") if x.strip(BLANKS)] for t in texts]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": part["doc_id"].cast(pa.int64()),
-                    "lang": part["lang"],
-                    "source": part["source"],
-                    "n_words": np.diff(offsets),
-                    "word_chars": [len(s.decode()) for s in solid],
-                    "n_symbols": [len(s) - len(s.translate(None, SYMBOLS)) for s in solid],
-                    "n_dup_lines": [len(x) - len(set(x)) for x in lines],
-                    "n_lines": [len(x) for x in lines],
-                    "n_repeat_words": repeated_words(ids, offsets),
-                }
-            )
-
-
-def measure(docs: DataFrame) -> DataFrame:
-    """Counts and integer measures of every document; rates are per thousand, lengths in hundredths."""
-    counted = docs.select("doc_id", "lang", "source", "text").mapInArrow(_count, _COUNTS)
+def _count(keep: tuple[str, ...]):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                yield _counted(part, keep)
+
+    return work
+
+
+def _counted(part: pa.RecordBatch, keep: tuple[str, ...]) -> pa.RecordBatch:
+    texts = raw_texts(part["text"])
+    found = [t.split() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(w) for w in found])]).astype(np.int64)
+    flat = pa.array([w for ws in found for w in ws], type=pa.binary())
+    ids = np.asarray(flat.dictionary_encode().indices, dtype=np.int64)
+    solid = [t.translate(None, BLANKS) for t in texts]
+    lines = [[x for x in t.split(b"\n") if x.strip(BLANKS)] for t in texts]
+    return pa.RecordBatch.from_pydict(
+        {
+            "doc_id": part["doc_id"].cast(pa.int64()),
+            "lang": part["lang"],
+            "source": part["source"],
+            "n_words": np.diff(offsets),
+            "word_chars": [len(s.decode()) for s in solid],
+            "n_symbols": [len(s) - len(s.translate(None, SYMBOLS)) for s in solid],
+            "n_dup_lines": [len(x) - len(set(x)) for x in lines],
+            "n_lines": [len(x) for x in lines],
+            "n_repeat_words": repeated_words(ids, offsets),
+            **{c: part[c] for c in keep},
+        }
+    )
+
+
+def measure(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Counts and integer measures of every document; rates are per thousand, lengths in hundredths.
+
+    The columns of ``keep`` (strings) go along.
+    """
+    schema = ", ".join([_COUNTS, *[f"{c} string" for c in keep]])
+    counted = docs.select("doc_id", "lang", "source", "text", *keep).mapInArrow(_count(keep), schema)
     return counted.withColumns(
         {
             "symbol_rate": F.expr("n_symbols * 1000 div greatest(n_words, 1)"),
@@ -169,15 +181,16 @@ def thresholds(measured: DataFrame) -> DataFrame:
     return joined.groupBy("group_key").agg(F.max("docs").alias("group_docs"), *fences)
 
 
-def judge(docs: DataFrame) -> DataFrame:
+def judge(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Measure every document and judge it by the fences of its language and source.
 
     ``docs``: doc_id, text, lang, source, any others. Returns the counts, base_failed
     (under 20 words, or over 30 % of the words in repeated 8-word windows) and kept.
     A null text counts as empty; null language or source is a group of its own; rows
-    with equal ids are judged one by one; an empty table gives no rows.
+    with equal ids are judged one by one, string columns named in ``keep`` stay with their
+    row; an empty table gives no rows.
     """
-    measured = cut(measure(docs))
+    measured = cut(measure(docs, keep))
     fences = cut(thresholds(measured))
     total = measured.count()
     judged = join_hot(measured.where("n_words > 0"), fences, "group_key", "group_docs", total)
@@ -189,5 +202,5 @@ def judge(docs: DataFrame) -> DataFrame:
     kept = judged.withColumn("kept", ~F.col("base_failed") & inside)
     empty = measured.where("n_words = 0").withColumn("kept", F.lit(False))
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-    names += [*MEASURES]
+    names += [*MEASURES, *keep]
     return kept.select(*names).unionByName(empty.select(*names))

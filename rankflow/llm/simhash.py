@@ -60,7 +60,8 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for part in slices(batch):
             found = np.array([fingerprint(t) for t in raw_texts(part["text"])], dtype=np.uint64)
             ids = part["doc_id"].cast(pa.int64())
-            yield pa.RecordBatch.from_pydict({"doc_id": ids, "fp": pa.array(found.view(np.int64))})
+            own = {c: part[c] for c in part.schema.names if c not in ("doc_id", "text")}
+            yield pa.RecordBatch.from_pydict({"doc_id": ids, "fp": pa.array(found.view(np.int64)), **own})
 
 
 def _rotated(fp: Column, quarter: int) -> Column:
@@ -137,3 +138,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return join_hot(prints, found, "fp", "copies", prints.count()).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def representatives(docs: DataFrame, key: str) -> DataFrame:
+    """One row of each component of ``docs`` (doc_id, text and a string column ``key``), whatever the ids.
+
+    Returns the key of the row with the smallest doc_id, null ids last, then the smallest
+    key, and n_rows, how many rows have this key.
+    """
+    prints = cut(docs.select("doc_id", "text", key).mapInArrow(_fingerprints, f"doc_id long, fp long, {key} string"))
+    distinct = cut(prints.groupBy("fp").agg(F.count("*").alias("copies")))
+    grouped = components(links(distinct), distinct.select(F.col("fp").alias("node"), F.col("fp").alias("lead")))
+    own = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.col(key).alias("key"))
+    # a fingerprint's first row stands for it, so that only one row of each goes on
+    lead = prints.groupBy("fp").agg(F.min(own).alias("lead"))
+    joined = lead.join(grouped.withColumnRenamed("node", "fp"), "fp", "left")
+    joined = joined.groupBy(F.coalesce("component_id", "fp").alias("component")).agg(F.min("lead").alias("lead"))
+    chosen = cut(joined.select(F.col("lead.key").alias(key)))
+    return prints.groupBy(key).agg(F.count("*").alias("n_rows")).join(chosen, key, "left_semi")
