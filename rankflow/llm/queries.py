@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rankflow.llm import (
     chat,
     decontaminate,
+    hard_negatives,
     license_scan,
     lpf_dedup,
     ngram_lm,
@@ -16,6 +17,7 @@ from rankflow.llm import (
     sentencepiece_codec,
     sharding,
     simhash,
+    topk,
     toxicity,
 )
 
@@ -79,6 +81,16 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"))
 
 
+def op11_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"), "vec_id % 50 = 0")
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    embeddings = table(spark, folder, "embeddings")
+    shifted = F.expr("IF(vec_id % 7 = 0, (label + 1) % 10, label)")
+    return hard_negatives.mine(embeddings.withColumn("label", shifted), "vec_id % 100 = 0")
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -209,6 +221,36 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM m LEFT JOIN fence USING (group_key)"""
 
 
+_INTEGERS_SQL = """
+  SELECT *, row_number() OVER () AS row, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+TOPK_SQL = f"""
+WITH e AS ({_INTEGERS_SQL}),
+s AS (
+  SELECT q.row, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM e q JOIN e c ON q.row <> c.row WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5"""
+
+NEGATIVES_SQL = f"""
+WITH e AS (
+  SELECT row, vec_id, v, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+  FROM ({_INTEGERS_SQL}) WHERE label IS NOT NULL),
+s AS (
+  SELECT a.row, a.vec_id AS anchor_id, c.row AS other, c.vec_id, a.label = c.label AS same, list_inner_product(a.v, c.v)::BIGINT AS score
+  FROM e a JOIN e c ON a.row <> c.row WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT * FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id NULLS LAST) <= {hard_negatives.POSITIVES}),
+n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.row, p.other ORDER BY s.score DESC, s.vec_id NULLS LAST) AS rank
+  FROM p JOIN s ON p.row = s.row AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= {hard_negatives.NEGATIVES}"""
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_simhash": op2_simhash,
@@ -220,6 +262,8 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_sharding": op9_sharding,
     "op10_quality_rules": op10_quality_rules,
+    "op11_topk": op11_topk,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 SQL = {
@@ -227,4 +271,6 @@ SQL = {
     "op6_chat_format": CHAT_SQL,
     "op8_decontamination": decontamination_sql(),
     "op10_quality_rules": quality_sql(),
+    "op11_topk": TOPK_SQL,
+    "op13_hard_negatives": NEGATIVES_SQL,
 }
