@@ -13,6 +13,7 @@ from rankflow.llm import (
     license_scan,
     lpf_dedup,
     ngram_lm,
+    phrases,
     quality,
     sentencepiece_codec,
     sharding,
@@ -85,6 +86,10 @@ def op11_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), "vec_id % 50 = 0")
 
 
+def op12_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     embeddings = table(spark, folder, "embeddings")
     shifted = F.expr("IF(vec_id % 7 = 0, (label + 1) % 10, label)")
@@ -221,6 +226,42 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM m LEFT JOIN fence USING (group_key)"""
 
 
+def phrases_sql(longest: int = phrases.LONGEST) -> str:
+    grams = " UNION ALL ".join(
+        f"SELECT lang, {k} AS n_words, array_to_string(w[i:i + {k - 1}], ' ') AS phrase FROM p, unnest(range(1, len(w) - {k - 2})) AS x(i)"
+        for k in range(1, longest + 1)
+    )
+    cuts = " UNION ALL ".join(
+        f"SELECT lang, phrase, a, {k} AS k, array_to_string(w[:{k}], ' ') AS head, array_to_string(w[{k + 1}:], ' ') AS tail"
+        f" FROM c WHERE n_words > {k}"
+        for k in range(1, longest)
+    )
+    inside = " UNION ALL ".join(
+        f"SELECT lang, a, array_to_string(w[{i}:{i + size - 1}], ' ') AS phrase FROM c WHERE n_words >= {max(i + size - 1, size + 1)}"
+        for size in range(2, longest)
+        for i in range(1, longest - size + 2)
+    )
+    return f"""
+WITH p AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM (
+    SELECT coalesce(lang, '{phrases.UNKNOWN}') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents)),
+s AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM p GROUP BY lang),
+f AS (SELECT lang, n_words, phrase, count(*) AS n FROM ({grams}) GROUP BY ALL HAVING count(*) >= {phrases.LEAST}),
+c AS (SELECT lang, n_words, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE n_words > 1),
+cuts AS ({cuts}),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, a, k, h.n AS l, t.n AS r, s.n, 1000::HUGEINT * a * s.n // (h.n::HUGEINT * t.n) AS score
+  FROM cuts JOIN f h ON cuts.lang = h.lang AND head = h.phrase JOIN f t ON cuts.lang = t.lang AND tail = t.phrase
+  JOIN s ON cuts.lang = s.lang),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (SELECT lang, phrase, max(a) AS longer FROM ({inside}) GROUP BY ALL),
+best AS (
+  SELECT lowest.*, row_number() OVER (PARTITION BY lowest.lang ORDER BY score DESC, a DESC, lowest.phrase) AS rank
+  FROM lowest LEFT JOIN longer USING (lang, phrase) WHERE longer IS NULL OR longer * 100 < a * {phrases.COVER})
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM best WHERE rank <= {phrases.FIRST}"""
+
+
 _INTEGERS_SQL = """
   SELECT *, row_number() OVER () AS row, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS v
   FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
@@ -263,6 +304,7 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_quality_rules": op10_quality_rules,
     "op11_topk": op11_topk,
+    "op12_phrases": op12_phrases,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
@@ -272,5 +314,6 @@ SQL = {
     "op8_decontamination": decontamination_sql(),
     "op10_quality_rules": quality_sql(),
     "op11_topk": TOPK_SQL,
+    "op12_phrases": phrases_sql(),
     "op13_hard_negatives": NEGATIVES_SQL,
 }

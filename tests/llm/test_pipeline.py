@@ -20,14 +20,14 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def test_every_operator_has_one_query():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14))
     assert set(SQL) <= set(QUERIES) <= set(__spark_entry__.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_covers_its_table(spark, name):
     rows = QUERIES[name](spark, FOLDER).collect()
-    if name not in ("op6_chat_format", "op8_decontamination"):
+    if int(name[2:].split("_")[0]) < 11 and name not in ("op6_chat_format", "op8_decontamination"):
         assert len(rows) == pq.read_table(f"{FOLDER}/documents.parquet").num_rows
 
 
