@@ -1,7 +1,7 @@
 """Phrase collocations from lossless counters of word-id n-grams.
 
 Documents are packed into blocks of one language each, their words numbered within the block. Words
-are counted over all blocks; the frequent ones get ids. Then level by level: a phrase of
+are counted over all blocks, in shards by their hash; the frequent ones get ids. Then level by level: a phrase of
 n + 1 words can be frequent only if its first n and its last n words are, so a block packs
 (id of the first n words, id of the next word) into one number wherever both parts are frequent,
 counts the numbers in counting quotient filters, one for each range of permuted numbers, and
@@ -15,6 +15,7 @@ Counts are exact at every level: nothing is sampled, hashed together or cut off.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,6 @@ from pyspark.sql import functions as F
 from rankflow.llm import quotient
 from rankflow.llm.common import cut, raw_texts
 from rankflow.llm.packets import freeze, thaw
-from rankflow.operators.order import dense_index
 from rankflow.session import shared_path
 
 #: A phrase has 2 to LONGEST words and occurs LEAST times or more in its language.
@@ -37,6 +37,8 @@ UNKNOWN = "und"
 BLOCK_BYTES = 8 << 20
 #: Entries that a shard holds at a time, on average.
 SHARD_ENTRIES = 8 << 20
+#: Totals of this many languages at most are broadcast.
+MANY_LANGUAGES = 10_000
 #: Parts in which the best of a language are found before they are compared.
 SALTS = 32
 
@@ -142,24 +144,95 @@ def _count(block: int, at: np.ndarray, gram: np.ndarray, last: np.ndarray, width
     return _rows(block, [STATE, *home[edges[:-1]].tolist()], [0, *edges[:-1].tolist()], [state, *filters])
 
 
-def _begin(blocks: DataFrame, ids: DataFrame, widths: tuple[int, int], shards: int) -> DataFrame:
-    """Filters of word pairs. ``ids``: block, local (the block's number of a word), id."""
+def _listed(words: pa.Table, lang: str) -> bytes:
+    sink = pa.BufferOutputStream()
+    words = words.replace_schema_metadata({"lang": lang})
+    with pa.ipc.new_stream(sink, words.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(words)
+    return sink.getvalue().to_pybytes()
+
+
+def _send_words(blocks: DataFrame, shards: int) -> DataFrame:
+    """Each block's words with their numbers and counts, one message for each shard of words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, (block, lang) in enumerate(zip(batch["block"].to_pylist(), batch["lang"].to_pylist(), strict=True)):
+                words, counts = batch["words"][i].values, batch["counts"][i].values
+                if not len(words):
+                    continue
+                home = np.fromiter((zlib.crc32(w.encode()) for w in words.to_pylist()), np.int64, len(words)) % shards
+                order = np.argsort(home, kind="stable")
+                listed = pa.table({"local": np.arange(len(words)), "word": words.cast(pa.large_string()), "n": counts}).take(order)
+                edges = np.concatenate([[0], np.flatnonzero(np.diff(home[order])) + 1, [len(order)]])
+                payloads = [_listed(listed.slice(a, b - a), lang) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+                yield from _rows(block, home[order][edges[:-1]].tolist(), [0] * len(payloads), payloads).to_batches()
+
+    return blocks.select("block", "lang", "words", "counts").mapInArrow(run, _PACKET)
+
+
+def _merge_words(sent: DataFrame, shards: int, least: int) -> DataFrame:
+    """The frequent words of each shard with their ids, and which of its words these are for each block."""
+
+    def run(table: pa.Table) -> pa.Table:
+        shard, messages = table["shard"][0].as_py(), []
+        for payload in table["payload"]:
+            words = pa.ipc.open_stream(payload.as_buffer()).read_all()
+            messages.append((words.schema.metadata[b"lang"].decode(), words.replace_schema_metadata(None)))
+        named = [words.append_column("lang", pa.repeat(pa.scalar(lang), len(words))) for lang, words in messages]
+        sums = pa.concat_tables(named).group_by(["lang", "word"]).aggregate([("n", "sum")])
+        often = sums.filter(pa.compute.greater_equal(sums["n_sum"], least)).sort_by([("lang", "ascending"), ("word", "ascending")])
+        often = often.append_column("id", pa.array(np.arange(len(often)) * shards + shard, pa.int64())).combine_chunks()
+        out = [(TABLE, len(often), _listed(often, ""))] if len(often) else []
+        langs = np.asarray(often["lang"].to_pylist(), dtype=object)
+        known = {lang: often.filter(pa.array(langs == lang)) for lang in set(langs)}
+        for block, (lang, words) in zip(table["block"].to_pylist(), messages, strict=True):
+            if lang not in known:
+                continue
+            own = known[lang]
+            place = pa.compute.index_in(words["word"].combine_chunks(), value_set=own["word"].combine_chunks())
+            at = np.flatnonzero(np.asarray(place.is_valid()))
+            if len(at):
+                ids = np.asarray(own["id"])[np.asarray(place.take(pa.array(at)))]
+                out.append((block, 0, freeze(entries=np.asarray(words["local"])[at], ids=ids)))
+        return _answers(shard, out)
+
+    return cut(sent.groupBy("shard").applyInArrow(run, _PACKET))
+
+
+def _answers(shard: int, out: list[tuple[int, int, bytes]]) -> pa.Table:
+    columns = list(zip(*out, strict=True)) or [(), (), ()]
+    kinds = (pa.int64(), pa.int64(), pa.binary())
+    block, weight, payload = (pa.array(c, k) for c, k in zip(columns, kinds, strict=True))
+    names = ["block", "shard", "weight", "payload"]
+    return pa.table([block, pa.array([shard] * len(block), pa.int32()), weight, payload], names=names)
+
+
+def _known(size: int, answers: pa.Table) -> np.ndarray:
+    """The id of each of a block's entries by the shards' answers, -1 without one."""
+    known = np.full(size, -1, np.int64)
+    for start, payload in zip(answers["weight"].to_pylist(), answers["payload"], strict=True):
+        reply = thaw(payload.as_py())
+        known[start + reply["entries"].astype(np.int64)] = reply["ids"]
+    return known
+
+
+def _begin(blocks: DataFrame, merged: DataFrame, widths: tuple[int, int], shards: int) -> DataFrame:
+    """Filters of word pairs, from a block's words and the shards' answers."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not right.num_rows:
             return _rows(0, [], [], [])
         own = thaw(left["payload"][0].as_py())
         local = own["local"].astype(np.int64)
-        known = np.full(int(local.max()) + 1, -1, np.int64)
-        known[np.asarray(right["local"])] = np.asarray(right["id"])
         begins = np.unpackbits(own["begins"], count=len(local))
         at = np.arange(len(local)) + np.cumsum(begins, dtype=np.int64)
-        gram = known[local]
+        gram = _known(int(local.max()) + 1, right)[local]
         live = gram >= 0
         return _count(left["block"][0].as_py(), at[live], gram[live], gram[live], widths, shards)
 
-    ids = ids.select(F.col("block").alias("block"), "local", "id")  # a column of its own, though from the same blocks
-    both = blocks.select("block", "payload").groupBy("block").cogroup(ids.groupBy("block"))
+    replies = merged.where(F.col("block") != TABLE).select("block", "weight", "payload")
+    both = blocks.select("block", "payload").groupBy("block").cogroup(replies.groupBy("block"))
     return cut(both.applyInArrow(run, _PACKET))
 
 
@@ -171,11 +244,7 @@ def _go_on(sent: DataFrame, merged: DataFrame, widths: tuple[int, int], shards:
             return _rows(0, [], [], [])
         own = thaw(left["payload"][0].as_py())
         slots = own["slots"].astype(np.int64)
-        known = np.full(int(slots.max()) + 1, -1, np.int64)
-        for start, payload in zip(right["weight"].to_pylist(), right["payload"], strict=True):
-            reply = thaw(payload.as_py())
-            known[start + reply["entries"].astype(np.int64)] = reply["ids"]
-        gram = known[slots]
+        gram = _known(int(slots.max()) + 1, right)[slots]
         live = gram >= 0
         at = np.cumsum(own["gaps"].astype(np.int64))
         return _count(left["block"][0].as_py(), at[live], gram[live], own["last"][live].astype(np.int64), widths, shards)
@@ -210,11 +279,7 @@ def _merge(sent: DataFrame, widths: tuple[int, int], shards: int, least: int) ->
             entries = np.flatnonzero(mine >= 0)
             if len(entries):
                 out.append((block, base, freeze(entries=entries.astype(np.uint32), ids=mine[entries])))
-        columns = list(zip(*out, strict=True)) or [(), (), ()]
-        kinds = (pa.int64(), pa.int64(), pa.binary())
-        block, weight, payload = (pa.array(c, k) for c, k in zip(columns, kinds, strict=True))
-        names = ["block", "shard", "weight", "payload"]
-        return pa.table([block, pa.array([shard] * len(block), pa.int32()), weight, payload], names=names)
+        return _answers(shard, out)
 
     return cut(sent.where(F.col("shard") != STATE).groupBy("shard").applyInArrow(run, _PACKET))
 
@@ -225,6 +290,15 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict(thaw(payload.as_py()))
 
 
+def _unpacked_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for payload in batch["payload"]:
+            words = pa.ipc.open_stream(payload.as_buffer()).read_all()
+            plain = {c: words[c].cast(pa.string()) for c in ("lang", "word")}
+            rows = pa.table({**plain, "n": words["n_sum"].cast(pa.int64()), "id": words["id"]})
+            yield from rows.to_batches()
+
+
 def frequent(
     docs: DataFrame,
     longest: int = LONGEST,
@@ -243,19 +317,17 @@ def frequent(
     if shards is None:
         shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SHARD_ENTRIES))
 
-    listed = blocks.select("lang", "block", F.posexplode(F.arrays_zip("words", "counts")).alias("local", "w"))
-    listed = listed.select("lang", "block", "local", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    often = listed.groupBy("lang", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    vocabulary = cut(dense_index(cut(often), F.col("lang"), F.col("word"), name="id"))
-    n_words = vocabulary.count()
-    word_bits = max(1, n_words.bit_length())
-    known = cut(vocabulary.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("n_words"), "n", "id"))
+    answers = _merge_words(_send_words(blocks, shards), shards, least)
+    tables = answers.where(F.col("block") == TABLE)
+    most = tables.agg(F.coalesce(F.max("weight"), F.lit(0))).first()[0]
+    word_bits = max(1, (most * shards).bit_length())
+    vocabulary = cut(tables.select("payload").mapInArrow(_unpacked_words, "lang string, word string, n long, id long"))
+    known = vocabulary.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("n_words"), "n", "id")
     found = known
     words = vocabulary.select(F.col("id").alias("last"), "word")
-    if n_words and longest > 1:
+    if most and longest > 1:
         widths = (word_bits, word_bits)
-        ids = listed.select("lang", "word", "block", "local").join(vocabulary.drop("n"), ["lang", "word"])
-        sent = _begin(blocks, ids.select("block", "local", "id"), widths, shards)
+        sent = _begin(blocks, answers, widths, shards)
         for level in range(2, longest + 1):
             merged = _merge(sent, widths, shards, least)
             tables = merged.where(F.col("block") == TABLE)
@@ -318,6 +390,8 @@ def collocations(
     cuts = cuts.withColumn("tail", F.array_join(F.expr("slice(w, k + 1, n_words - k)"), " ")).drop("w")
     cuts = cuts.join(parts.select("lang", F.col("part").alias("head"), F.col("of").alias("l")), ["lang", "head"])
     cuts = cuts.join(parts.select("lang", F.col("part").alias("tail"), F.col("of").alias("r")), ["lang", "tail"])
+    if sizes.count() <= MANY_LANGUAGES:
+        sizes = F.broadcast(sizes)
     cuts = cuts.join(sizes, "lang")
     exact = {c: f"CAST({c} AS DECIMAL(17, 0))" for c in ("a", "n", "l", "r")}
     score = f"(CAST(1000 AS DECIMAL(4, 0)) * {exact['a']} * {exact['n']}) div ({exact['l']} * {exact['r']})"
