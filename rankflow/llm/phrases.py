@@ -121,27 +121,38 @@ def _rows(block: int, shards: list[int], weights: list[int], payloads: list[byte
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
-def _count(block: int, at: np.ndarray, gram: np.ndarray, last: np.ndarray, widths: tuple[int, int], shards: int) -> pa.Table:
-    """A block's next state, and its filter for each shard.
+def _entries(at: np.ndarray, gram: np.ndarray, last: np.ndarray, widths: tuple[int, int]) -> tuple[np.ndarray, ...]:
+    """Phrases that are longer by a word: where they are, which entries these are; the entries and their counts.
 
     ``at``: places of frequent phrases in the block, with a gap between pieces; ``gram``: their ids;
     ``last``: ids of their last words. ``widths``: bits of a phrase's and of a word's id.
     """
-    bits = sum(widths)
     near = np.flatnonzero(at[1:] == at[:-1] + 1)
     packed = (gram[near].astype(np.uint64) << np.uint64(widths[1])) | last[near + 1].astype(np.uint64)
-    entries, slots, counts = np.unique(quotient.permute(packed, bits), return_inverse=True, return_counts=True)
-    if not len(entries):
-        return _rows(block, [], [], [])
-    state = freeze(
-        gaps=np.diff(at[near], prepend=0).astype(np.uint32),
-        slots=slots.astype(np.uint32),
-        last=last[near + 1].astype(np.uint64 if widths[1] > 32 else np.uint32),
-    )
+    entries, slots, counts = np.unique(quotient.permute(packed, sum(widths)), return_inverse=True, return_counts=True)
+    return at[near], slots, entries, counts
+
+
+def _filters(block: int, entries: np.ndarray, counts: np.ndarray, bits: int, shards: int, state: bytes | None = None) -> pa.Table:
+    """A block's filter for each shard, and what the block must keep."""
     home = quotient.shard_of(entries, bits, shards)
-    edges = np.concatenate([[0], np.flatnonzero(np.diff(home)) + 1, [len(home)]])
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(home)) + 1, [len(home)]]) if len(home) else np.zeros(1, np.int64)
     filters = [quotient.encode(entries[a:b], counts[a:b], bits) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-    return _rows(block, [STATE, *home[edges[:-1]].tolist()], [0, *edges[:-1].tolist()], [state, *filters])
+    starts = edges[:-1].tolist()
+    if state is None:
+        return _rows(block, home[starts].tolist(), starts, filters)
+    return _rows(block, [STATE, *home[starts].tolist()], [0, *starts], [state, *filters])
+
+
+def _longer(block: int, known: tuple[np.ndarray, np.ndarray], at: np.ndarray, slots: np.ndarray, widths: tuple[int, int], shards: int) -> pa.Table:
+    """Filters of the phrases that follow from the answers (id and last word of each entry), and where they are."""
+    gram, last = known[0][slots], known[1][slots]
+    live = gram >= 0
+    at, slots, entries, counts = _entries(at[live], gram[live], last[live], widths)
+    if not len(entries):
+        return _rows(block, [], [], [])
+    state = freeze(gaps=np.diff(at, prepend=0).astype(np.uint32), slots=slots.astype(np.uint32))
+    return _filters(block, entries, counts, sum(widths), shards, state)
 
 
 def _listed(words: pa.Table, lang: str) -> bytes:
@@ -208,50 +219,80 @@ def _answers(shard: int, out: list[tuple[int, int, bytes]]) -> pa.Table:
     return pa.table([block, pa.array([shard] * len(block), pa.int32()), weight, payload], names=names)
 
 
-def _known(size: int, answers: pa.Table) -> np.ndarray:
-    """The id of each of a block's entries by the shards' answers, -1 without one."""
-    known = np.full(size, -1, np.int64)
-    for start, payload in zip(answers["weight"].to_pylist(), answers["payload"], strict=True):
+def _known(size: int, payloads: list, starts: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Id and last word of each of a block's entries by the shards' answers, -1 without one."""
+    ids, last = np.full(size, -1, np.int64), np.full(size, -1, np.int64)
+    for start, payload in zip(starts, payloads, strict=True):
         reply = thaw(payload.as_py())
-        known[start + reply["entries"].astype(np.int64)] = reply["ids"]
-    return known
+        place = start + reply["entries"].astype(np.int64)
+        ids[place], last[place] = reply["ids"], reply.get("last", reply["ids"])
+    return ids, last
+
+
+def _answered(size: int, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    return _known(size, list(answers["payload"]), answers["weight"].to_pylist())
+
+
+def _places(payload: bytes, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Where a block has frequent words, with a gap between pieces, and their ids."""
+    own = thaw(payload)
+    local = own["local"].astype(np.int64)
+    begins = np.unpackbits(own["begins"], count=len(local))
+    at = np.arange(len(local)) + np.cumsum(begins, dtype=np.int64)
+    gram = _answered(int(local.max()) + 1, answers)[0][local]
+    return at[gram >= 0], gram[gram >= 0]
 
 
-def _begin(blocks: DataFrame, merged: DataFrame, widths: tuple[int, int], shards: int) -> DataFrame:
+def _replies(merged: DataFrame, level: int) -> DataFrame:
+    return merged.where(F.col("block") != TABLE).select("block", F.lit(level).alias("level"), "weight", "payload")
+
+
+def _pairs(blocks: DataFrame, words: DataFrame, widths: tuple[int, int], shards: int) -> DataFrame:
     """Filters of word pairs, from a block's words and the shards' answers."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not right.num_rows:
             return _rows(0, [], [], [])
-        own = thaw(left["payload"][0].as_py())
-        local = own["local"].astype(np.int64)
-        begins = np.unpackbits(own["begins"], count=len(local))
-        at = np.arange(len(local)) + np.cumsum(begins, dtype=np.int64)
-        gram = _known(int(local.max()) + 1, right)[local]
-        live = gram >= 0
-        return _count(left["block"][0].as_py(), at[live], gram[live], gram[live], widths, shards)
-
-    replies = merged.where(F.col("block") != TABLE).select("block", "weight", "payload")
-    both = blocks.select("block", "payload").groupBy("block").cogroup(replies.groupBy("block"))
+        at, gram = _places(left["payload"][0].as_py(), right)
+        _, _, entries, counts = _entries(at, gram, gram, widths)
+        return _filters(left["block"][0].as_py(), entries, counts, sum(widths), shards)
+
+    both = blocks.select("block", "payload").groupBy("block").cogroup(_replies(words, 1).groupBy("block"))
     return cut(both.applyInArrow(run, _PACKET))
 
 
-def _go_on(sent: DataFrame, merged: DataFrame, widths: tuple[int, int], shards: int) -> DataFrame:
+def _triples(
+    blocks: DataFrame, words: DataFrame, pairs: DataFrame, before: tuple[int, int], widths: tuple[int, int], shards: int
+) -> DataFrame:
+    """Filters of three words. Where pairs are is found anew: words take less space than places of pairs."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        level = np.asarray(right["level"])
+        if not (level == 2).any():
+            return _rows(0, [], [], [])
+        at, gram = _places(left["payload"][0].as_py(), right.filter(pa.array(level == 1)))
+        at, slots, entries, _ = _entries(at, gram, gram, before)
+        known = _answered(len(entries), right.filter(pa.array(level == 2)))
+        return _longer(left["block"][0].as_py(), known, at, slots, widths, shards)
+
+    answers = _replies(words, 1).unionByName(_replies(pairs, 2))
+    both = blocks.select("block", "payload").groupBy("block").cogroup(answers.groupBy("block"))
+    return cut(both.applyInArrow(run, _PACKET))
+
+
+def _go_on(sent: DataFrame, merged: DataFrame, level: int, widths: tuple[int, int], shards: int) -> DataFrame:
     """Filters of the next longer phrases, from a block's state and the shards' answers."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not right.num_rows:
+        if not left.num_rows or not right.num_rows:
             return _rows(0, [], [], [])
         own = thaw(left["payload"][0].as_py())
         slots = own["slots"].astype(np.int64)
-        gram = _known(int(slots.max()) + 1, right)[slots]
-        live = gram >= 0
-        at = np.cumsum(own["gaps"].astype(np.int64))
-        return _count(left["block"][0].as_py(), at[live], gram[live], own["last"][live].astype(np.int64), widths, shards)
+        known = _answered(int(slots.max()) + 1, right)
+        return _longer(left["block"][0].as_py(), known, np.cumsum(own["gaps"].astype(np.int64)), slots, widths, shards)
 
     state = sent.where(F.col("shard") == STATE).select("block", "payload")
-    replies = merged.where(F.col("block") != TABLE).select("block", "weight", "payload")
-    return cut(state.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, _PACKET))
+    return cut(state.groupBy("block").cogroup(_replies(merged, level).groupBy("block")).applyInArrow(run, _PACKET))
 
 
 def _merge(sent: DataFrame, widths: tuple[int, int], shards: int, least: int) -> DataFrame:
@@ -264,21 +305,18 @@ def _merge(sent: DataFrame, widths: tuple[int, int], shards: int, least: int) ->
         numbers, sums, went = quotient.merge(decoded)
         often = sums >= least
         ids = np.where(often, (np.cumsum(often) - 1) * shards + shard, -1)
-        packed = quotient.restore(numbers[often], bits)
-        found = freeze(
-            left=(packed >> np.uint64(widths[1])).astype(np.int64),
-            last=(packed & np.uint64((1 << widths[1]) - 1)).astype(np.int64),
-            n=sums[often],
-            id=ids[often],
-        )
+        packed = quotient.restore(numbers, bits)
+        last = (packed & np.uint64((1 << widths[1]) - 1)).astype(np.int64)
+        found = freeze(left=(packed[often] >> np.uint64(widths[1])).astype(np.int64), last=last[often], n=sums[often], id=ids[often])
         out = [(TABLE, int(often.sum()), found)] if often.any() else []
         start = 0
         for block, base, (own, _) in zip(table["block"].to_pylist(), table["weight"].to_pylist(), decoded, strict=True):
-            mine = ids[went[start : start + len(own)]]
+            here = went[start : start + len(own)]
             start += len(own)
-            entries = np.flatnonzero(mine >= 0)
+            entries = np.flatnonzero(ids[here] >= 0)
             if len(entries):
-                out.append((block, base, freeze(entries=entries.astype(np.uint32), ids=mine[entries])))
+                mine = here[entries]
+                out.append((block, base, freeze(entries=entries.astype(np.uint32), ids=ids[mine], last=last[mine])))
         return _answers(shard, out)
 
     return cut(sent.where(F.col("shard") != STATE).groupBy("shard").applyInArrow(run, _PACKET))
@@ -327,7 +365,7 @@ def frequent(
     words = vocabulary.select(F.col("id").alias("last"), "word")
     if most and longest > 1:
         widths = (word_bits, word_bits)
-        sent = _begin(blocks, answers, widths, shards)
+        sent = _pairs(blocks, answers, widths, shards)
         for level in range(2, longest + 1):
             merged = _merge(sent, widths, shards, least)
             tables = merged.where(F.col("block") == TABLE)
@@ -335,16 +373,19 @@ def frequent(
             if not most:
                 break
             rows = tables.select("payload").mapInArrow(_unpacked, "left long, last long, n long, id long")
-            before = known.select(F.col("id").alias("left"), "lang", "phrase")
-            named = rows.join(before, "left").join(words, "last")
+            parts = known.select(F.col("id").alias("left"), "lang", "phrase")
+            named = rows.join(parts, "left").join(words, "last")
             phrase = F.concat_ws(" ", "phrase", "word").alias("phrase")
             known = cut(named.select("lang", phrase, F.lit(level).alias("n_words"), "n", "id"))
             found = found.unionByName(known)
             if level < longest:
-                widths = ((most * shards).bit_length(), word_bits)
+                before, widths = widths, ((most * shards).bit_length(), word_bits)
                 if sum(widths) > 64:
                     raise ValueError(f"phrases of {level + 1} words need {sum(widths)} bits; a packed number has 64")
-                sent = _go_on(sent, merged, widths, shards)
+                if level == 2:
+                    sent = _triples(blocks, answers, merged, before, widths, shards)
+                else:
+                    sent = _go_on(sent, merged, level, widths, shards)
     return found.drop("id"), sizes
 
 

@@ -4,7 +4,7 @@ A number is first permuted by an invertible mixing of its bits, so that sorted n
 spread evenly whatever they mean. Its upper bits, the quotient, are not stored: entries lie
 in sorted order, and a bit string has a one for each entry and a zero after each
 quotient, so an entry's place tells its quotient. The lower bits, the whole remainder, are
-stored in as few bytes as they need. Nothing is lost: quotient and remainder give the permuted
+stored in whole bytes, as many as make entries small. Only entries that occur more than once have a counter. Nothing is lost: quotient and remainder give the permuted
 number, the inverse gives the number back. Filters over one width are sorted alike, so
 they merge by a merge of their entries that adds the counters.
 """
@@ -52,37 +52,50 @@ def shard_of(permuted: np.ndarray, bits: int, shards: int) -> np.ndarray:
     return ((permuted >> np.uint64(bits - top)) * np.uint64(shards) >> np.uint64(top)).astype(np.int64)
 
 
+def _low_bits(permuted: np.ndarray) -> int:
+    """Whole bytes of remainder for which an entry takes the fewest bits, quotients included."""
+    spread = (int(permuted[-1] - permuted[0]) // len(permuted)).bit_length()
+    return min((8 * (spread // 8), 8 * (spread // 8) + 8), key=lambda low: low + 2.0 ** max(0, spread - low))
+
+
 def encode(permuted: np.ndarray, counts: np.ndarray, bits: int) -> bytes:
     """A filter of sorted distinct permuted numbers and their counts."""
     n = len(permuted)
-    spread = int(permuted[-1] - permuted[0]) // n if n else 0
-    low = min(bits, max(0, spread.bit_length()))  # about one entry to a quotient
-    quotient = (permuted >> np.uint64(low)).astype(np.uint64) if low < 64 else np.zeros(n, np.uint64)
+    low = _low_bits(permuted) if n else 0
+    quotient = permuted >> np.uint64(low) if low < 64 else np.zeros(n, np.uint64)
     base = int(quotient[0]) if n else 0
     run = (quotient - np.uint64(base)).astype(np.int64)
     line = np.zeros(n + int(run[-1]) + 1 if n else 0, np.uint8)
     line[np.arange(n) + run] = 1
-    width = -(-low // 8)
-    remainder = (permuted & _mask(low)).astype("<u8").view(np.uint8).reshape(n, 8)[:, :width]
-    large = counts >= LARGE
-    head = np.array([n, bits, low, base, len(line), int(large.sum())], dtype="<u8")
-    small = np.where(large, LARGE, counts).astype(np.uint8)
-    parts = (head, np.packbits(line), np.ascontiguousarray(remainder.T), small, counts[large].astype("<i8"))
+    remainder = permuted.astype("<u8").view(np.uint8).reshape(n, 8)[:, : low // 8]
+    several = counts > 1  # most entries occur once and need no counter
+    more = counts[several]
+    large = more >= LARGE
+    head = np.array([n, low, base, len(line), len(more), int(large.sum())], dtype="<u8")
+    small = np.where(large, LARGE, more).astype(np.uint8)
+    parts = (head, np.packbits(line), np.packbits(several), np.ascontiguousarray(remainder.T), small, more[large].astype("<i8"))
     return b"".join(p.tobytes() for p in parts)
 
 
 def decode(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The sorted permuted numbers and counts of a filter."""
-    n, bits, low, base, length, many = (int(x) for x in np.frombuffer(data, "<u8", 6))
+    n, low, base, length, several, large = (int(x) for x in np.frombuffer(data, "<u8", 6))
     at = 48
-    line = np.unpackbits(np.frombuffer(data, np.uint8, -(-length // 8), at))[:length]
-    at += -(-length // 8)
-    width = -(-low // 8)
+
+    def take(count: int, kind: str = "u1") -> np.ndarray:
+        nonlocal at
+        found = np.frombuffer(data, kind, count, at)
+        at += found.nbytes
+        return found
+
+    line = np.unpackbits(take(-(-length // 8)), count=length)
+    held = np.unpackbits(take(-(-n // 8)), count=n).astype(bool)
     planes = np.zeros((n, 8), np.uint8)
-    planes[:, :width] = np.frombuffer(data, np.uint8, n * width, at).reshape(width, n).T
-    at += n * width
-    counts = np.frombuffer(data, np.uint8, n, at).astype(np.int64)
-    counts[counts == LARGE] = np.frombuffer(data, "<i8", many, at + n)
+    planes[:, : low // 8] = take(n * (low // 8)).reshape(low // 8, n).T
+    more = take(several).astype(np.int64)
+    more[more == LARGE] = take(large, "<i8")
+    counts = np.ones(n, np.int64)
+    counts[held] = more
     quotient = (np.flatnonzero(line) - np.arange(n)).astype(np.uint64) + np.uint64(base)
     upper = quotient << np.uint64(low) if low < 64 else np.zeros(n, np.uint64)
     return upper | planes.reshape(-1).view("<u8"), counts
