@@ -1,8 +1,18 @@
 """Near-duplicates by SimHash, found by a self-join of a binary trie of fingerprints.
 
-A pair of trie nodes at one depth carries the number of bits in which their paths
-differ. The join goes down node pairs together and drops a pair as soon as the
-number exceeds what may still become a link. With a whole budget from the root on,
+Components are asked for, not links, so the budget of differing bits rises step by step, and what is
+known to be one component is not looked at again.
+
+First come links of 2 bits or fewer. Two fingerprints differ in at most 2 bits if and only
+if some number is at most one bit away from both. So each fingerprint goes to 65 numbers, and all
+that meet at one number are of one component; only the smallest and the largest component there
+are noted, again and again until no number joins two components. A group of any density
+costs 65 rows a fingerprint.
+
+Then the trie is walked for links of 3 bits. A pair of trie nodes at one depth carries the number of
+bits in which their paths differ. The join goes down node pairs together and drops a pair as
+soon as the number exceeds what may still become a link, or if all that lies below both nodes is
+one component already. With a whole budget from the root on,
 nearly all node pairs of the upper levels would survive. So the trie is built in
 four rotations, each beginning with another quarter of the bits. If two fingerprints
 differ in at most 3 bits, then in at least one rotation the first quarter differs
@@ -10,15 +20,16 @@ in none, the first two in at most 1 and the first three in at most 2 (else every
 rotation would have a prefix with more than its share, and the shares of all quarters
 would sum to more than 3). These are the budgets of the traversal.
 
-A node pair is expanded by looking up, for each child of one node, the paths within
-the remaining budget among the children of the other: an equi-join on the path, so
-the pairs of all members of a group are never made. A node with one fingerprint below
-it is not paired with itself.
+A node pair is expanded from those children of either node that are not all of the pair's greatest
+component; of two children that are still needed at least one is such. It meets the other node's children
+if these are few, else it looks up, by an equi-join, the paths within the remaining budget: at most
+697 rows for a child and node pair, and the pairs of all members of a group are never made. In a dense group, whose
+members are one component but for some, only the some ask.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -69,55 +80,124 @@ def _rotated(fp: Column, quarter: int) -> Column:
     return F.shiftleft(fp, left).bitwiseOR(F.shiftrightunsigned(fp, BITS - left)) if left else fp
 
 
-def _steps(budget: int) -> Column:
+def _masks(budget: int) -> list[int]:
     """All masks of one quarter with at most ``budget`` bits."""
-    ways = [sum(1 << b for b in bits) for k in range(budget + 1) for bits in combinations(range(STEP), k)]
-    return F.expr(f"array({', '.join(f'{w}L' for w in ways)})")
+    return [sum(1 << b for b in bits) for k in range(budget + 1) for bits in combinations(range(STEP), k)]
+
+
+def _by_rest(budget: int, value: Callable[[int], Column]) -> Column:
+    """``value`` of what the budget leaves, by the number of bits that differ already."""
+    chosen = F.when(F.col("diff") == budget, value(0))
+    for diff in range(budget - 1, -1, -1):
+        chosen = chosen.when(F.col("diff") == diff, value(budget - diff))
+    return chosen
+
+
+def _contracted(prints: DataFrame) -> DataFrame:
+    """fp, comp: components over links of 2 bits or fewer; ``comp`` is one of their fingerprints.
+
+    ``prints``: distinct fingerprints in column fp.
+    """
+    spots = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.expr(f"shiftleft(1L, {i})")) for i in range(BITS)])
+    state = cut(prints.select("fp", F.col("fp").alias("comp")))
+    while True:
+        met = state.select("comp", F.explode(spots).alias("spot")).groupBy("spot")
+        pairs = met.agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b")
+        pairs = cut(pairs.select("a", "b").distinct())
+        if pairs.isEmpty():
+            return state
+        state = cut(_relabelled(state, pairs))
+
+
+def _relabelled(state: DataFrame, pairs: DataFrame) -> DataFrame:
+    """fp, comp after joining the components a < b of ``pairs``."""
+    names = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    joined = components(pairs, names.select("node", F.col("node").alias("lead")))
+    known = state.join(joined.withColumnRenamed("node", "comp"), "comp", "left")
+    return known.select("fp", F.coalesce("component_id", "comp").alias("comp"))
 
 
 def _nodes(trie: DataFrame, depth: int) -> DataFrame:
-    """The nodes of a depth: their parent, their path, and how many fingerprints lie below."""
+    """The nodes of a depth: parent, path, the one component below (else null), and the greatest one."""
     parent, path = F.col(f"p{depth - 1}").alias("parent"), F.col(f"p{depth}").alias("path")
-    return trie.groupBy("quarter", parent, path).agg(F.count("*").alias("below"))
+    facts = trie.groupBy("quarter", parent, path).agg(
+        F.min("comp").alias("least"), F.max("comp").alias("most"), F.max(F.struct("size", "comp")).alias("great")
+    )
+    return facts.select("quarter", "parent", "path", F.when(F.col("least") == F.col("most"), F.col("least")).alias("only"), "great")
 
 
-def _descend(pairs: DataFrame, nodes: DataFrame, budget: int) -> DataFrame:
-    """From node pairs (quarter, p <= q, diff) to the pairs of their children within the budget."""
-    steps = F.when(F.col("diff") == budget, _steps(0))
-    for diff in range(budget - 1, -1, -1):
-        steps = steps.when(F.col("diff") == diff, _steps(budget - diff))
+def _asking(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """quarter, q, c, …: each child c that needs to be compared with the children of q, and how many these are."""
+    # either node's children ask the other's
+    turned = pairs.where("p != q").select("quarter", F.col("q").alias("p"), F.col("p").alias("q"), "diff", "great")
+    child = nodes.select("quarter", F.col("parent").alias("p"), F.col("path").alias("c"), "only", F.col("great").alias("c_great"))
+    asking = pairs.unionByName(turned).join(child, ["quarter", "p"])
+    asking = asking.where(F.col("only").isNull() | (F.col("only") != F.col("great.comp")))
+    kids = nodes.groupBy("quarter", F.col("parent").alias("q")).agg(F.count("*").alias("kids"))
+    return asking.join(kids, ["quarter", "q"]).select("quarter", "q", "c", "only", "c_great", "diff", "kids")
+
+
+def _compared(pairs: DataFrame, nodes: DataFrame, budget: int) -> DataFrame:
+    """Children c and d of node pairs (quarter, p <= q, diff, great), with the bits that differ so far."""
     low = F.lit((1 << STEP) - 1).cast("long")
-    child = nodes.select("quarter", F.col("parent").alias("p"), F.col("path").alias("c"))
-    tried = pairs.join(child, ["quarter", "p"]).select("quarter", "p", "q", "c", "diff", F.explode(steps).alias("mask"))
-    other = F.shiftleft("q", STEP).bitwiseOR(F.col("c").bitwiseAND(low).bitwiseXOR(F.col("mask")))
-    tried = tried.select("quarter", "p", "q", "c", other.alias("d"), (F.col("diff") + F.bit_count("mask")).alias("diff"))
-    tried = tried.where((F.col("p") != F.col("q")) | (F.col("c") <= F.col("d")))
-    met = tried.join(nodes.select("quarter", F.col("path").alias("d"), "below"), ["quarter", "d"])
-    met = met.where((F.col("c") != F.col("d")) | (F.col("below") > 1))
-    return met.select("quarter", F.col("c").alias("p"), F.col("d").alias("q"), "diff")
-
-
-def links(prints: DataFrame) -> DataFrame:
-    """All pairs a < b of the distinct fingerprints in column fp that differ in 3 bits or fewer."""
+    found = nodes.select(
+        "quarter", "parent", F.col("path").alias("d"), F.col("only").alias("d_only"), F.col("great").alias("d_great")
+    )
+    asking = cut(_asking(pairs, nodes))
+    few = F.col("kids") <= _by_rest(budget, lambda rest: F.lit(len(_masks(rest))))
+    own = ("quarter", "c", "only", "c_great")
+    all_kids = asking.where(few).join(found.withColumnRenamed("parent", "q"), ["quarter", "q"])
+    bits = F.col("diff") + F.bit_count(F.col("c").bitwiseXOR(F.col("d")).bitwiseAND(low))
+    all_kids = all_kids.select(*own, "d", "d_only", "d_great", bits.alias("diff")).where(F.col("diff") <= budget)
+    steps = _by_rest(budget, lambda rest: F.expr(f"array({', '.join(f'{m}L' for m in _masks(rest))})"))
+    tried = asking.where(~few).select(*own, "q", "diff", F.explode(steps).alias("mask"))
+    path = F.shiftleft("q", STEP).bitwiseOR(F.col("c").bitwiseAND(low).bitwiseXOR(F.col("mask")))
+    tried = tried.select(*own, path.alias("d"), (F.col("diff") + F.bit_count("mask")).alias("diff"))
+    looked_up = tried.join(found.drop("parent"), ["quarter", "d"])
+    return all_kids.unionByName(looked_up)
+
+
+def _descend(pairs: DataFrame, nodes: DataFrame, budget: int) -> DataFrame:
+    """From node pairs (quarter, p <= q, diff, great) to the pairs of their children within the budget."""
+    met = _compared(pairs, nodes, budget)
+    met = met.where(F.col("only").isNull() | F.col("d_only").isNull() | (F.col("only") != F.col("d_only")))
+    ends = (F.least("c", "d").alias("p"), F.greatest("c", "d").alias("q"))
+    return cut(met.select("quarter", *ends, "diff", F.greatest("c_great", "d_great").alias("great")).distinct())
+
+
+def _joined(contracted: DataFrame) -> DataFrame:
+    """Pairs a < b of components (of fp, comp) between which some fingerprints differ in 3 bits or fewer."""
+    sizes = contracted.groupBy("comp").agg(F.count("*").alias("size"))
     turns = []
     for quarter in range(QUARTERS):
         key = _rotated(F.col("fp"), quarter)
         paths = [F.shiftrightunsigned(key, BITS - STEP * d).alias(f"p{d}") for d in range(1, QUARTERS)]
         turns.append(F.struct(F.lit(quarter).alias("quarter"), *paths, key.alias(f"p{QUARTERS}")))
-    trie = prints.select(F.explode(F.array(*turns)).alias("t")).select("t.*")
+    trie = contracted.join(sizes, "comp").select("comp", "size", F.explode(F.array(*turns)).alias("t"))
+    trie = cut(trie.select("comp", "size", "t.*"))
     # the first quarter has no budget: there a node is paired with itself alone
-    top = trie.groupBy("quarter", F.col("p1").alias("p")).agg(F.count("*").alias("below")).where("below > 1")
-    pairs = top.select("quarter", "p", F.col("p").alias("q"), F.lit(0).alias("diff"))
+    top = trie.groupBy("quarter", F.col("p1").alias("p")).agg(
+        F.min("comp").alias("least"), F.max("comp").alias("most"), F.max(F.struct("size", "comp")).alias("great")
+    )
+    pairs = top.where("least < most").select("quarter", "p", F.col("p").alias("q"), F.lit(0).alias("diff"), "great")
     for depth in range(2, QUARTERS + 1):
         pairs = _descend(pairs, _nodes(trie, depth), BUDGET[depth - 1])
-    a = F.lit(None).cast("long")
-    b = F.lit(None).cast("long")
-    for quarter in range(QUARTERS):
-        here = F.col("quarter") == quarter
-        a = F.when(here, _rotated(F.col("p"), QUARTERS - quarter)).otherwise(a)
-        b = F.when(here, _rotated(F.col("q"), QUARTERS - quarter)).otherwise(b)
-    pairs = pairs.select(a.alias("a"), b.alias("b"))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct()
+    ends = []
+    for end in ("p", "q"):
+        back = F.lit(None).cast("long")
+        for quarter in range(QUARTERS):
+            back = F.when(F.col("quarter") == quarter, _rotated(F.col(end), QUARTERS - quarter)).otherwise(back)
+        ends.append(back.alias(end))
+    links = pairs.select(*ends)
+    for end, name in (("p", "x"), ("q", "y")):
+        links = links.join(contracted.select(F.col("fp").alias(end), F.col("comp").alias(name)), end).drop(end)
+    return links.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a != b").distinct()
+
+
+def linked(prints: DataFrame) -> DataFrame:
+    """fp, comp: components of the distinct fingerprints in column fp over links of 3 bits or fewer."""
+    contracted = _contracted(prints)
+    return _relabelled(contracted, cut(_joined(contracted)))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -131,10 +211,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     prints = cut(docs.select("doc_id", "text").mapInArrow(_fingerprints, "doc_id long, fp long"))
     distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("lead"), F.count("*").alias("copies")))
-    grouped = components(links(distinct), distinct.select(F.col("fp").alias("node"), "lead"))
-    found = distinct.join(grouped.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "copies", F.coalesce("component_id", "lead").alias("component_id")
-    )
+    members = distinct.join(linked(distinct.select("fp")), "fp")
+    leads = members.groupBy("comp").agg(F.min("lead").alias("component_id"))
+    found = members.join(leads, "comp").select("fp", "copies", "component_id")
     return join_hot(prints, found, "fp", "copies", prints.count()).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
@@ -147,12 +226,9 @@ def representatives(docs: DataFrame, key: str) -> DataFrame:
     key, and n_rows, how many rows have this key.
     """
     prints = cut(docs.select("doc_id", "text", key).mapInArrow(_fingerprints, f"doc_id long, fp long, {key} string"))
-    distinct = cut(prints.groupBy("fp").agg(F.count("*").alias("copies")))
-    grouped = components(links(distinct), distinct.select(F.col("fp").alias("node"), F.col("fp").alias("lead")))
     own = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.col(key).alias("key"))
     # a fingerprint's first row stands for it, so that only one row of each goes on
-    lead = prints.groupBy("fp").agg(F.min(own).alias("lead"))
-    joined = lead.join(grouped.withColumnRenamed("node", "fp"), "fp", "left")
-    joined = joined.groupBy(F.coalesce("component_id", "fp").alias("component")).agg(F.min("lead").alias("lead"))
+    lead = cut(prints.groupBy("fp").agg(F.min(own).alias("lead")))
+    joined = lead.join(linked(lead.select("fp")), "fp").groupBy("comp").agg(F.min("lead").alias("lead"))
     chosen = cut(joined.select(F.col("lead.key").alias(key)))
     return prints.groupBy(key).agg(F.count("*").alias("n_rows")).join(chosen, key, "left_semi")

@@ -6,7 +6,7 @@ import hashlib
 import math
 import random
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -105,18 +105,70 @@ def test_simhash_fingerprints_and_components(odd, none):
     assert simhash.near_duplicates(none).count() == 0
 
 
-def test_trie_finds_all_links(spark):
-    rng = random.Random(5)
+def as_signed(prints):
+    return sorted(p - (1 << 64) if p >> 63 else p for p in prints)
+
+
+def near(rng, base: int, most: int) -> int:
+    for bit in rng.sample(range(64), rng.randint(0, most)):
+        base ^= 1 << bit
+    return base
+
+
+def linked_by_brute_force(signed, most: int) -> set[frozenset]:
+    parts = {p: {p} for p in signed}
+    for i, a in enumerate(signed):
+        for b in signed[i + 1 :]:
+            if ((a ^ b) & (1 << 64) - 1).bit_count() <= most and parts[a] is not parts[b]:
+                parts[a] |= parts[b]
+                for p in parts[b]:
+                    parts[p] = parts[a]
+    return {frozenset(p) for p in parts.values()}
+
+
+def groups(rows) -> set[frozenset]:
+    found = defaultdict(set)
+    for r in rows:
+        found[r["comp"]].add(r["fp"])
+    return {frozenset(p) for p in found.values()}
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_trie_finds_all_components(spark, seed):
+    rng = random.Random(seed)
     prints = {rng.getrandbits(64) for _ in range(300)}
     centre = rng.getrandbits(64)
-    for base in [*list(prints)[:60], *[centre] * 200]:
-        for bit in rng.sample(range(64), rng.randint(0, 4)):
-            base ^= 1 << bit
-        prints.add(base)
-    signed = sorted(p - (1 << 64) if p >> 63 else p for p in prints)
-    want = {(a, b) for i, a in enumerate(signed) for b in signed[i + 1 :] if ((a ^ b) & (1 << 64) - 1).bit_count() <= 3}
-    got = simhash.links(spark.createDataFrame([(p,) for p in signed], "fp long")).collect()
-    assert {(r["a"], r["b"]) for r in got} == want and len(got) == len(want) > 100
+    prints |= {near(rng, p, 4) for p in list(prints)[:60]}
+    prints |= {near(rng, centre, 4) for _ in range(120)} | {near(rng, ~centre & (1 << 64) - 1, 9) for _ in range(80)}
+    for p in list(prints)[:20]:  # chains of links of exactly 3 bits
+        for step in range(5):
+            p ^= 0b111 << (7 * step + seed)
+            prints.add(p)
+    signed = as_signed(prints)
+    frame = spark.createDataFrame([(p,) for p in signed], "fp long")
+    assert groups(simhash._contracted(frame).collect()) == linked_by_brute_force(signed, 2)
+    want = linked_by_brute_force(signed, 3)
+    assert groups(simhash.linked(frame).collect()) == want
+    assert 1 < len(want) < len(linked_by_brute_force(signed, 2)) < len(signed)
+
+
+def test_dense_groups_cost_lookups_in_proportion(spark, monkeypatch):
+    """Fingerprints within 6 bits of one centre: the walk's rows grow with their number, not its square."""
+    counts = []
+    plain = simhash._compared
+
+    def counted(*args):
+        counts.append(plain(*args).count())
+        return plain(*args)
+
+    monkeypatch.setattr(simhash, "_compared", counted)
+    rng, centre, seen = random.Random(1), 0x0123456789ABCDEF, []
+    pool = list(dict.fromkeys(near(rng, centre, 6) for _ in range(8_000)))
+    for size in (500, 1000, 2000):
+        counts.clear()
+        simhash.linked(spark.createDataFrame([(p,) for p in as_signed(pool[:size])], "fp long")).count()
+        seen.append(sum(counts))
+    assert all(rows <= 12 * size for rows, size in zip(seen, (500, 1000, 2000), strict=True)), seen
 
 
 @pytest.mark.parametrize("first", [False, True])
