@@ -1,11 +1,12 @@
 """Quality rules with thresholds that adapt to each language and source.
 
-Every measure of a document is an integer. Its distribution per language and source
+Every measure of a document is an integer. Its distribution per language and source, over the
+documents that the base rules leave,
 is kept as a mergeable quantile sketch: counts of values cut to their leading bits,
 so any quantile is known to one part in 2 ** (KEEP_BITS - 1). Sketches merge by
 adding counts; a small group takes the sketch of its language, a small language that
-of all documents. Outlier fences read from the sketches replace fixed cutoffs and are
-joined to the documents.
+of all documents. A fence lies beyond a high quantile, by a multiple of that quantile's distance
+to the median; the fences replace fixed cutoffs and are joined to the documents.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankflow.llm.common import BLANKS, cut, join_hot, mix64, null_safe_key, raw_texts, slices, sums_by_row
@@ -25,14 +26,15 @@ WINDOW = 8
 KEEP_BITS = 7
 #: Fewer documents than this borrow the sketch of the next wider group.
 LEAST_DOCS = 100
-#: A fence lies this many interquartile ranges beyond the quartile.
-REACH = 3
-#: The least distance of a fence from the quartile, by measure; +1 upper fence only, 2 both.
+#: A fence lies beyond its quantile by so many times the quantile's distance to the median.
+REACH = 2
+#: By measure: the upper quantile, the lower one if it has a fence below (both per thousand), and
+#: what is added against rounding, so that a group of equal values doesn't lose the next value.
 MEASURES = {
-    "symbol_rate": (1, 150),
-    "dup_line_rate": (1, 500),
-    "repeat_rate": (1, 300),
-    "word_length": (2, 150),
+    "symbol_rate": (900, None, 20),
+    "dup_line_rate": (980, None, 20),
+    "repeat_rate": (980, None, 20),
+    "word_length": (900, 50, 5),
 }
 _COUNTS = "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_lines long, n_repeat_words long"
 
@@ -127,7 +129,7 @@ def sketches(measured: DataFrame) -> DataFrame:
     """lang_key, group_key, measure, bucket, n: the quantile sketch of every language and source."""
     pairs = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("v")) for m in MEASURES])
     return (
-        measured.where("n_words > 0")
+        measured.where("NOT base_failed")
         .select("lang_key", "group_key", F.explode(pairs).alias("p"))
         .select("lang_key", "group_key", "p.measure", "p.v")
         .withColumn("cut", F.expr(f"greatest(0, length(bin(v)) - {KEEP_BITS})"))
@@ -137,48 +139,59 @@ def sketches(measured: DataFrame) -> DataFrame:
     )
 
 
-def quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """Merge sketches by keys and measure; return docs, q1 and q3 of each."""
+def _level(side: int) -> Column:
+    """The quantile of a row's measure, per thousand; none if it has no fence on that side."""
+    level = F.lit(None).cast("int")
+    for name, row in MEASURES.items():
+        level = F.when(F.col("measure") == name, F.lit(row[side]).cast("int")).otherwise(level)
+    return level
+
+
+def quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
+    """Merge sketches by keys and measure; return docs, low, middle and high of each."""
     by = [*keys, "measure"]
     merged = sketch.groupBy(*by, "bucket").agg(F.sum("n").alias("n"))
     run = F.sum("n").over(Window.partitionBy(*by).orderBy("bucket"))
     whole = F.sum("n").over(Window.partitionBy(*by))
     marked = merged.withColumn("run", run).withColumn("docs", whole)
+
+    def at(level: Column, name: str) -> Column:
+        return F.min(F.when(F.col("run") * 1000 >= F.col("docs") * level, F.col("bucket"))).alias(name)
+
     return marked.groupBy(*by).agg(
-        F.max("docs").alias("docs"),
-        F.min(F.when(F.col("run") * 4 >= F.col("docs"), F.col("bucket"))).alias("q1"),
-        F.min(F.when(F.col("run") * 4 >= F.col("docs") * 3, F.col("bucket"))).alias("q3"),
+        F.max("docs").alias("docs"), at(_level(1), "low"), at(F.lit(500), "middle"), at(_level(0), "high")
     )
 
 
 def thresholds(measured: DataFrame) -> DataFrame:
-    """One row per language and source: its documents and the fences of each measure."""
+    """One row per language and source of which the base rules leave documents: the fences of each measure."""
     sketch = cut(sketches(measured))
-    own = quartiles(sketch, ["lang_key", "group_key"])
-    wide = quartiles(sketch, ["lang_key"])
-    every = quartiles(sketch, [])
-    names = ("docs", "q1", "q3")
+    own = quantiles(sketch, ["lang_key", "group_key"])
+    wide = quantiles(sketch, ["lang_key"])
+    every = quantiles(sketch, [])
+    names = ("docs", "low", "middle", "high")
     wide = wide.select("lang_key", "measure", *[F.col(c).alias(f"lang_{c}") for c in names])
     every = every.select("measure", *[F.col(c).alias(f"all_{c}") for c in names])
     # every has one row per measure: a size fixed by MEASURES
     joined = own.join(wide, ["lang_key", "measure"]).join(F.broadcast(every), "measure")
 
-    def pick(c: str):
+    def pick(c: str) -> Column:
         return (
             F.when(F.col("docs") >= LEAST_DOCS, F.col(c))
             .when(F.col("lang_docs") >= LEAST_DOCS, F.col(f"lang_{c}"))
             .otherwise(F.col(f"all_{c}"))
         )
 
-    joined = joined.withColumn("low_q", pick("q1")).withColumn("high_q", pick("q3"))
+    joined = joined.withColumns({f"own_{c}": pick(c) for c in names[1:]})
     fences = []
-    for name, (sides, slack) in MEASURES.items():
+    for name, (_, low, slack) in MEASURES.items():
         here = F.col("measure") == name
-        width = F.greatest((F.col("high_q") - F.col("low_q")) * REACH, F.lit(slack))
-        fences.append(F.max(F.when(here, F.col("high_q") + width)).alias(f"{name}_most"))
-        if sides == 2:
-            fences.append(F.max(F.when(here, F.col("low_q") - width)).alias(f"{name}_least"))
-    return joined.groupBy("group_key").agg(F.max("docs").alias("group_docs"), *fences)
+        high, middle = F.col("own_high"), F.col("own_middle")
+        fences.append(F.max(F.when(here, high + (high - middle) * REACH + slack)).alias(f"{name}_most"))
+        if low is not None:
+            least = F.col("own_low") - (middle - F.col("own_low")) * REACH - slack
+            fences.append(F.max(F.when(here, least)).alias(f"{name}_least"))
+    return joined.groupBy("group_key").agg(*fences)
 
 
 def judge(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -191,16 +204,17 @@ def judge(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     row; an empty table gives no rows.
     """
     measured = cut(measure(docs, keep))
-    fences = cut(thresholds(measured))
-    total = measured.count()
-    judged = join_hot(measured.where("n_words > 0"), fences, "group_key", "group_docs", total)
+    left = measured.where("NOT base_failed")
+    sizes = left.groupBy("group_key").agg(F.count("*").alias("group_docs"))
+    fences = cut(thresholds(measured).join(sizes, "group_key"))
+    judged = join_hot(left, fences, "group_key", "group_docs", left.count())
     inside = F.lit(True)
-    for name, (sides, _) in MEASURES.items():
+    for name, (_, low, _) in MEASURES.items():
         inside &= F.col(name) <= F.col(f"{name}_most")
-        if sides == 2:
+        if low is not None:
             inside &= F.col(name) >= F.col(f"{name}_least")
-    kept = judged.withColumn("kept", ~F.col("base_failed") & inside)
-    empty = measured.where("n_words = 0").withColumn("kept", F.lit(False))
+    kept = judged.withColumn("kept", inside)
+    failed = measured.where("base_failed").withColumn("kept", F.lit(False))
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     names += [*MEASURES, *keep]
-    return kept.select(*names).unionByName(empty.select(*names))
+    return kept.select(*names).unionByName(failed.select(*names))

@@ -171,25 +171,37 @@ GROUP BY doc_id, item_id HAVING count(*) * 100 >= any_value(n_shingles) * {decon
 def quality_sql() -> str:
     keep, window = quality.KEEP_BITS, quality.WINDOW
     pairs = " UNION ALL ".join(
-        f"SELECT lang_key, group_key, '{m}' AS measure, {m} AS v FROM m WHERE n_words > 0" for m in quality.MEASURES
+        f"SELECT lang_key, group_key, '{m}' AS measure, {m} AS v FROM m WHERE NOT base_failed" for m in quality.MEASURES
     )
     spans = []
     verdict = ["NOT base_failed"]
-    for name, (sides, slack) in quality.MEASURES.items():
-        width = f"greatest((q3 - q1) * {quality.REACH}, {slack})"
-        spans.append(f"max(CASE WHEN measure = '{name}' THEN q3 + {width} END) AS {name}_most")
-        spans.append(f"max(CASE WHEN measure = '{name}' THEN q1 - {width} END) AS {name}_least")
+    for name, (_, low, slack) in quality.MEASURES.items():
+        most = f"high + (high - middle) * {quality.REACH} + {slack}"
+        spans.append(f"max(CASE WHEN measure = '{name}' THEN {most} END) AS {name}_most")
         verdict.append(f"{name} <= {name}_most")
-        if sides == 2:
+        if low is not None:
+            least = f"low - (middle - low) * {quality.REACH} - {slack}"
+            spans.append(f"max(CASE WHEN measure = '{name}' THEN {least} END) AS {name}_least")
             verdict.append(f"{name} >= {name}_least")
+    side = {
+        c: "CASE measure " + " ".join(f"WHEN '{m}' THEN {row[i] or 'NULL'}" for m, row in quality.MEASURES.items()) + " END"
+        for c, i in (("high", 0), ("low", 1))
+    }
+    names = ("low", "middle", "high")
     levels = []
     for level, keys in (("own", "lang_key, group_key, "), ("wide", "lang_key, "), ("every", "")):
         by = f"{keys}measure"
+        marks = ", ".join(
+            f"min(CASE WHEN run * 1000 >= docs * {side.get(c, 500)} THEN bucket END) AS {c}" for c in names
+        )
         levels.append(f"""
 {level}_n AS (SELECT {by}, bucket, sum(n) AS n FROM sketch GROUP BY {by}, bucket),
 {level}_r AS (SELECT *, sum(n) OVER (PARTITION BY {by} ORDER BY bucket) AS run, sum(n) OVER (PARTITION BY {by}) AS docs FROM {level}_n),
-{level} AS (SELECT {by}, max(docs) AS docs, min(CASE WHEN run * 4 >= docs THEN bucket END) AS q1,
-  min(CASE WHEN run * 4 >= docs * 3 THEN bucket END) AS q3 FROM {level}_r GROUP BY {by})""")
+{level} AS (SELECT {by}, max(docs) AS docs, {marks} FROM {level}_r GROUP BY {by})""")
+    least = quality.LEAST_DOCS
+    picks = ", ".join(
+        f"CASE WHEN own.docs >= {least} THEN own.{c} WHEN wide.docs >= {least} THEN wide.{c} ELSE every.{c} END AS {c}" for c in names
+    )
     return f"""
 WITH t AS (
   SELECT row_number() OVER () AS row, doc_id, coalesce('=' || lang, '0') AS lang_key,
@@ -216,13 +228,10 @@ v AS (SELECT *, greatest(0, length(bin(v)) - {keep}) AS cut FROM ({pairs})),
 sketch AS (SELECT lang_key, group_key, measure, (v >> cut) << cut AS bucket, count(*) AS n FROM v GROUP BY ALL),
 {",".join(levels)},
 picked AS (
-  SELECT group_key, measure,
-    CASE WHEN own.docs >= {quality.LEAST_DOCS} THEN own.q1 WHEN wide.docs >= {quality.LEAST_DOCS} THEN wide.q1 ELSE every.q1 END AS q1,
-    CASE WHEN own.docs >= {quality.LEAST_DOCS} THEN own.q3 WHEN wide.docs >= {quality.LEAST_DOCS} THEN wide.q3 ELSE every.q3 END AS q3
-  FROM own JOIN wide USING (lang_key, measure) JOIN every USING (measure)),
+  SELECT group_key, measure, {picks} FROM own JOIN wide USING (lang_key, measure) JOIN every USING (measure)),
 fence AS (SELECT group_key, {", ".join(spans)} FROM picked GROUP BY group_key)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  n_words > 0 AND coalesce({" AND ".join(verdict)}, false) AS kept, {", ".join(quality.MEASURES)}
+  coalesce({" AND ".join(verdict)}, false) AS kept, {", ".join(quality.MEASURES)}
 FROM m LEFT JOIN fence USING (group_key)"""
 
 
