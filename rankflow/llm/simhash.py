@@ -4,15 +4,15 @@ Components are asked for, not links, so the budget of differing bits rises step
 known to be one component is not looked at again.
 
 First come links of 2 bits or fewer. Two fingerprints differ in at most 2 bits if and only
-if some number is at most one bit away from both. So each fingerprint goes to 65 numbers, and all
-that meet at one number are of one component; only the smallest and the largest component there
-are noted, again and again until no number joins two components. A group of any density
-costs 65 rows a fingerprint.
+if some number is at most one bit away from both. So each fingerprint goes to 65 numbers, and of those
+that meet at a number the smallest and the largest are linked: 65 rows a fingerprint, however dense a
+group is. Hanging each on the smallest that it is linked to, a few times over, gives labels that never join
+different components and leave little to do in a dense group.
 
-Then the trie is walked for links of 3 bits. A pair of trie nodes at one depth carries the number of
+Then the trie is walked for all links of 3 bits or fewer between different labels. A pair of trie nodes at one depth carries the number of
 bits in which their paths differ. The join goes down node pairs together and drops a pair as
-soon as the number exceeds what may still become a link, or if all that lies below both nodes is
-one component already. With a whole budget from the root on,
+soon as the number exceeds what may still become a link, or if all that lies below both nodes has
+one label. Components of the labels that are linked, either way, are components of fingerprints. With a whole budget from the root on,
 nearly all node pairs of the upper levels would survive. So the trie is built in
 four rotations, each beginning with another quarter of the bits. If two fingerprints
 differ in at most 3 bits, then in at least one rotation the first quarter differs
@@ -44,6 +44,8 @@ from rankflow.llm.components import components
 SHINGLE = 3
 BITS, QUARTERS = 64, 4
 STEP = BITS // QUARTERS
+#: Times that labels are replaced by the labels of their labels.
+JUMPS = 3
 #: Differing bits allowed in the first 1, 2, 3 and 4 quarters of a rotation.
 BUDGET = (0, 1, 2, 3)
 
@@ -93,28 +95,29 @@ def _by_rest(budget: int, value: Callable[[int], Column]) -> Column:
     return chosen
 
 
-def _contracted(prints: DataFrame) -> DataFrame:
-    """fp, comp: components over links of 2 bits or fewer; ``comp`` is one of their fingerprints.
-
-    ``prints``: distinct fingerprints in column fp.
-    """
+def _spot_links(prints: DataFrame) -> DataFrame:
+    """Stored pairs a < b of the distinct fingerprints in column fp that differ in 2 bits or fewer; not all."""
     spots = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.expr(f"shiftleft(1L, {i})")) for i in range(BITS)])
-    state = cut(prints.select("fp", F.col("fp").alias("comp")))
-    while True:
-        met = state.select("comp", F.explode(spots).alias("spot")).groupBy("spot")
-        pairs = met.agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b")
-        pairs = cut(pairs.select("a", "b").distinct())
-        if pairs.isEmpty():
-            return state
-        state = cut(_relabelled(state, pairs))
-
-
-def _relabelled(state: DataFrame, pairs: DataFrame) -> DataFrame:
-    """fp, comp after joining the components a < b of ``pairs``."""
-    names = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    joined = components(pairs, names.select("node", F.col("node").alias("lead")))
-    known = state.join(joined.withColumnRenamed("node", "comp"), "comp", "left")
-    return known.select("fp", F.coalesce("component_id", "comp").alias("comp"))
+    met = prints.select("fp", F.explode(spots).alias("spot")).groupBy("spot")
+    pairs = met.agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a < b")
+    return cut(pairs.select("a", "b").distinct())
+
+
+def _labels(links: DataFrame) -> DataFrame:
+    """Stored fp, comp for the larger ends of links a < b: a smaller fingerprint of the same component."""
+    hung = links.groupBy(F.col("b").alias("fp")).agg(F.min("a").alias("comp"))
+    for _ in range(JUMPS):
+        above = hung.select(F.col("fp").alias("comp"), F.col("comp").alias("next"))
+        hung = hung.join(above, "comp", "left").select("fp", F.coalesce("next", "comp").alias("comp"))
+    return cut(hung)
+
+
+def _named(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of fingerprints (a, b) as pairs a < b of their labels."""
+    for end in ("a", "b"):
+        own = labels.select(F.col("fp").alias(end), "comp")
+        pairs = pairs.join(own, end, "left").withColumn(end, F.coalesce("comp", end)).drop("comp")
+    return pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def _nodes(trie: DataFrame, depth: int) -> DataFrame:
@@ -165,8 +168,8 @@ def _descend(pairs: DataFrame, nodes: DataFrame, budget: int) -> DataFrame:
     return cut(met.select("quarter", *ends, "diff", F.greatest("c_great", "d_great").alias("great")).distinct())
 
 
-def _joined(contracted: DataFrame) -> DataFrame:
-    """Pairs a < b of components (of fp, comp) between which some fingerprints differ in 3 bits or fewer."""
+def _walked(contracted: DataFrame) -> DataFrame:
+    """All pairs a, b of fingerprints with different labels (of fp, comp) that differ in 3 bits or fewer."""
     sizes = contracted.groupBy("comp").agg(F.count("*").alias("size"))
     turns = []
     for quarter in range(QUARTERS):
@@ -188,16 +191,19 @@ def _joined(contracted: DataFrame) -> DataFrame:
         for quarter in range(QUARTERS):
             back = F.when(F.col("quarter") == quarter, _rotated(F.col(end), QUARTERS - quarter)).otherwise(back)
         ends.append(back.alias(end))
-    links = pairs.select(*ends)
-    for end, name in (("p", "x"), ("q", "y")):
-        links = links.join(contracted.select(F.col("fp").alias(end), F.col("comp").alias(name)), end).drop(end)
-    return links.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a != b").distinct()
+    return pairs.select(*ends).toDF("a", "b")
 
 
 def linked(prints: DataFrame) -> DataFrame:
     """fp, comp: components of the distinct fingerprints in column fp over links of 3 bits or fewer."""
-    contracted = _contracted(prints)
-    return _relabelled(contracted, cut(_joined(contracted)))
+    close = _spot_links(prints)
+    labels = _labels(close)
+    labelled = cut(prints.join(labels, "fp", "left").select("fp", F.coalesce("comp", "fp").alias("comp")))
+    edges = cut(_named(close.unionByName(_walked(labelled)), labels).distinct())
+    names = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    joined = components(edges, names.select("node", F.col("node").alias("lead")))
+    known = labelled.join(joined.withColumnRenamed("node", "comp"), "comp", "left")
+    return known.select("fp", F.coalesce("component_id", "comp").alias("comp"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

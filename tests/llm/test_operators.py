@@ -146,8 +146,10 @@ def test_trie_finds_all_components(spark, seed):
             prints.add(p)
     signed = as_signed(prints)
     frame = spark.createDataFrame([(p,) for p in signed], "fp long")
-    assert groups(simhash._contracted(frame).collect()) == linked_by_brute_force(signed, 2)
     want = linked_by_brute_force(signed, 3)
+    whole = {p: part for part in linked_by_brute_force(signed, 2) for p in part}
+    labels = simhash._labels(simhash._spot_links(frame)).collect()
+    assert len(labels) > 80 and all(whole[r["fp"]] == whole[r["comp"]] for r in labels)
     assert groups(simhash.linked(frame).collect()) == want
     assert 1 < len(want) < len(linked_by_brute_force(signed, 2)) < len(signed)
 
@@ -461,3 +463,32 @@ def test_kept_digest_is_of_all_other_bytes(spark):
     docs = spark.createDataFrame([(1, "x" + PASSAGE), (2, PASSAGE)], "doc_id long, text string")
     got = {r["doc_id"]: bytes(r["kept"]) for r in lpf_dedup.remove_repeats(docs, keep_first=False).collect()}
     assert hashlib.sha256(got[1]).hexdigest() == hashlib.sha256(b"x").hexdigest() and got[2] == b""
+
+
+def quality_rows(lang: str, symbols: int, repeats: int, n: int = 150) -> list[tuple]:
+    """Documents of 200 different words: every fifth has up to ``symbols`` symbol words, every thirtieth ``repeats`` repeated words."""
+    rows = []
+    for i in range(n):
+        own = [f"{lang}{i}w{j}" for j in range(200)]
+        for j in range(symbols * (i % 5 == 0) + (i % 3 == 0)):
+            own[j * 6] = "#"
+        if repeats and i % 30 == 0:
+            own[100 : 100 + repeats] = own[:repeats]
+        rows.append((i, " ".join(own), lang, "s", None, 0, "", 0))
+    return rows
+
+
+def test_quality_fences_follow_their_group(spark):
+    """Two languages with different distributions: the same document passes in one and fails in the other."""
+    probe = " ".join("#" if j % 10 == 3 else f"p{j}" for j in range(200))
+    twice = " ".join([f"r{j}" for j in range(20)] * 2 + [f"x{j}" for j in range(160)])  # 20 % of the words repeat
+    rows = [*quality_rows("aa", 30, 25), *quality_rows("bb", 1, 0)]
+    rows += [(900, probe, "aa", "s", None, 0, "", 0), (901, probe, "bb", "s", None, 0, "", 0)]
+    rows += [(902, twice, "aa", "s", None, 0, "", 0), (903, twice, "bb", "s", None, 0, "", 0)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    fences = {r["group_key"]: r for r in quality.thresholds(quality.measure(frame)).collect()}
+    assert len({r["symbol_rate_most"] for r in fences.values()}) == 2
+    found = {r["doc_id"]: r for r in quality.judge(frame).collect() if r["doc_id"] >= 900}
+    assert [found[i]["kept"] for i in (900, 901)] == [True, False]
+    assert found[903]["repeat_rate"] < 300 and not found[903]["base_failed"] and not found[903]["kept"]
+    assert found[902]["kept"]  # where a thirtieth repeats a quarter of its words, a fifth is no outlier
