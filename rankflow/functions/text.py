@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import re
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Characters removed by the two trimming rules in use.
@@ -45,3 +48,35 @@ def split_list(column: Column, separator: str = ",") -> Column:
     empty = F.array().cast("array<string>")
     text = F.coalesce(column, F.lit(""))
     return F.when(text == "", empty).otherwise(F.split(text, F.lit(f"\\Q{separator}\\E"), -1))
+
+
+_SCORE = re.compile(r"([^=]*)=(.*)", re.DOTALL)
+
+
+def restart_scores(items: Iterable[str]) -> dict[str, float]:
+    """Scores by node from texts such as ``home=1.5``; of several for one node the last holds.
+
+    The first sign of equality ends the node. A text without one, or without a number after
+    it, fails.
+    """
+    found = {item: _SCORE.fullmatch(item) for item in items}
+    unusable = [item for item, match in found.items() if match is None]
+    if unusable:
+        raise ValueError(f"no score in {unusable}")
+    return {match[1].strip(): float(match[2]) for match in found.values()}
+
+
+def score_rows(lines: DataFrame) -> DataFrame:
+    """``node, score`` from lines (column ``value``) such as ``home=1.5``, by the same rules.
+
+    Of several lines for one node the last in the file's order holds; empty lines are skipped.
+    """
+    value = F.col("value")
+    place = F.instr(value, "=")
+    complaint = F.raise_error(F.concat(F.lit("no score in "), value)).cast("string")
+    node = F.when(place > 0, strip(F.substring(value, F.lit(1), place - 1))).otherwise(complaint)
+    score = number(F.substring(value, place + 1, F.length(value)))
+    rows = lines.where(strip(value) != "").select(
+        node.alias("node"), score.alias("score"), F.monotonically_increasing_id().alias("place")
+    )
+    return rows.groupBy("node").agg(F.max_by("score", "place").alias("score"))

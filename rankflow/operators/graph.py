@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankflow.operators.order import dense_index
 from rankflow.operators.skew import MIN_HOT_DEGREE, Split, join_sources
 from rankflow.session import ensure_checkpoint_dir
 
@@ -95,6 +96,15 @@ def nodes_without_out_edges(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("dst").alias("node")).distinct().join(sources, "node", "left_anti")
 
 
+def cyclic_weights(edges: DataFrame, cycle: int = 5) -> DataFrame:
+    """``src, dst, w``: weights 1, 2, …, ``cycle``, 1, … by the place of an edge in the order of its ids.
+
+    Places are numbered without a global window.
+    """
+    placed = dense_index(edges.select("src", "dst"), F.col("src"), F.col("dst"), name="place")
+    return placed.select("src", "dst", (F.col("place") % cycle + 1).cast("double").alias("w"))
+
+
 def merge_parallel(edges: DataFrame) -> DataFrame:
     """One row per ``(src, dst)``: total weight and number of parallel edges.
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from rankflow.functions.draws import draw_below
 from rankflow.operators import graph
 from rankflow.operators.order import dense_index
+from rankflow.session import ensure_checkpoint_dir
 from rankflow.sources.edges import write_edges
 
 # Attachment degree, seed, batch sizes, and the weight range.
@@ -35,8 +36,8 @@ def integer_weight(seed: int, *key: Column) -> Column:
     return (draw_below(seed, F.lit(MAX_WEIGHT).cast("long"), F.lit("w"), *key) + 1).cast("double")
 
 
-def _traced_slot(edge: Column, m: int, seed: int) -> Column:
-    """The even slot, or first-link odd slot, that edge's target comes from.
+def _older_node(slot: Column, m: int, seed: int) -> Column:
+    """The node that a slot of the flat edge list holds.
 
     Edge ``k`` owns slot ``2k`` (its new node ``m + k div m``) and slot ``2k+1``
     (its target). The first new node links to the seed nodes ``0..m-1``; any
@@ -49,7 +50,26 @@ def _traced_slot(edge: Column, m: int, seed: int) -> Column:
         earlier = F.floor(owner / m) * (2 * m)
         return F.when(open_target, draw_below(seed, earlier, slot)).otherwise(slot)
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(_HOPS)), edge * 2 + 1, hop)
+    end = F.aggregate(F.sequence(F.lit(1), F.lit(_HOPS)), slot, hop)
+    owner = F.floor(end / 2)
+    node = F.when(end % 2 == 0, m + F.floor(owner / m)).when(owner < m, owner)
+    # the odds are 2 ** -_HOPS an edge; an invented target would be worse than a failure
+    return F.coalesce(node, F.raise_error(F.lit("an edge was not traced to its end")).cast("long"))
+
+
+def _drawn_targets(first: int, stop: int, m: int, seed: int) -> Column:
+    """Draws ``first .. stop-1`` of a node, repeats included.
+
+    The first ``m`` are the node's own slots; further ones are drawn for the node and
+    the number of the draw, from the edges of all earlier nodes as well.
+    """
+    before = (F.col("node") - m) * m  # edges of earlier nodes
+
+    def target(draw: Column) -> Column:
+        again = draw_below(seed, before * 2, F.lit("again"), F.col("node"), draw)
+        return _older_node(F.when(draw < m, (before + draw) * 2 + 1).otherwise(again), m, seed)
+
+    return F.transform(F.sequence(F.lit(first).cast("long"), F.lit(stop - 1).cast("long")), target)
 
 
 def scale_free_edges(
@@ -57,24 +77,32 @@ def scale_free_edges(
 ) -> DataFrame:
     """Scale-free directed edges over the nodes ``id = 0 .. count-1``.
 
-    Every node from ``m`` on links to up to ``m`` earlier nodes, oriented from
-    the lower to the higher id. Repeated targets of one node are merged, so the
-    edge count is slightly under ``m * (count - m)``.
+    Every node from ``m`` on links to ``m`` different earlier nodes, oriented from
+    the lower to the higher id: ``m * (count - m)`` edges. A target that is drawn
+    again for a node is replaced by the node's next draw. Nodes that are still short
+    draw on in rounds, twice as often in each, row by row and without a shuffle;
+    their number falls by a large factor every time.
     """
     if count <= m:
         raise ValueError(f"{m} links per node need more than {count} nodes")
+    ensure_checkpoint_dir(nodes.sparkSession)
     new = nodes.where(F.col("id") >= m).select(F.col("id").cast("long").alias("node"))
-    slots = new.select("node", F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("link"))
-    traced = slots.select(
-        "node", _traced_slot((F.col("node") - m) * m + F.col("link"), m, seed).alias("slot")
-    )
-    owner = F.floor(F.col("slot") / 2)
-    target = F.when(F.col("slot") % 2 == 0, m + F.floor(owner / m)).when(owner < m, owner)
-    # the odds are 2 ** -_HOPS an edge; an invented target would be worse than a failure
-    older = F.coalesce(target, F.raise_error(F.lit("an edge was not traced to its end")).cast("long"))
-    edges = traced.select(
-        older.cast("string").alias("src"), F.col("node").cast("string").alias("dst")
-    ).distinct()
+    short = new.withColumn("targets", F.array().cast("array<bigint>"))
+    complete, first, stop = None, 0, 2 * m
+    while True:
+        drawn = F.concat("targets", _drawn_targets(first, stop, m, seed))
+        if first == 0:  # the first new node has its own slots only, and they hold different nodes
+            own = _drawn_targets(0, m, m, seed)
+            drawn = F.when(F.col("node") == m, own).otherwise(drawn)
+        rows = short.withColumn("targets", F.slice(F.array_distinct(drawn), 1, m)).checkpoint()
+        whole = rows.where(F.size("targets") == m)
+        complete = whole if complete is None else complete.unionByName(whole)
+        short = rows.where(F.size("targets") < m)
+        if short.isEmpty():
+            break
+        first, stop = stop, 2 * stop
+    linked = complete.select("node", F.explode("targets").alias("older"))
+    edges = linked.select(F.col("older").cast("string").alias("src"), F.col("node").cast("string").alias("dst"))
     if not weighted:
         return edges
     return edges.withColumn("w", integer_weight(seed, F.col("src"), F.col("dst")))

@@ -6,7 +6,7 @@ query and its SQL check start from the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankflow.operators.measure import summarize
@@ -94,6 +94,47 @@ nation_trade AS (
   GROUP BY 1, 2)"""
 
 
+def _next_line(spark: SparkSession, folder: str) -> DataFrame:
+    """Every order line with the part of the next line of its order.
+
+    Line numbers repeat, so the order of lines goes on to part, supplier and quantity.
+    """
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    in_order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    return lines.withColumn("next_part", F.lead("l_partkey").over(in_order))
+
+
+def copurchase(spark: SparkSession, folder: str) -> DataFrame:
+    """Part → part of the order's next line, weighted by quantity; long cycles, parallel edges, self-loops."""
+    lines = _next_line(spark, folder).where("next_part IS NOT NULL")
+    weight = F.col("l_quantity").cast("double").alias("w")
+    return lines.select(_tagged("p", "l_partkey").alias("src"), _tagged("p", "next_part").alias("dst"), weight)
+
+
+def basket(spark: SparkSession, folder: str) -> DataFrame:
+    """Co-purchases, and part → supplier for every line: cycles that leak into dangling suppliers."""
+    lines = table(spark, folder, "lineitem")
+    weight = F.col("l_quantity").cast("double").alias("w")
+    sourced = lines.select(_tagged("p", "l_partkey").alias("src"), _tagged("s", "l_suppkey").alias("dst"), weight)
+    return copurchase(spark, folder).unionByName(sourced)
+
+
+COPURCHASE_SQL = """
+copurchase AS (
+  SELECT 'p' || l_partkey AS src, 'p' || next_part AS dst, l_quantity::DOUBLE AS w FROM (
+    SELECT *, lead(l_partkey) OVER (
+      PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS next_part FROM lineitem)
+  WHERE next_part IS NOT NULL)"""
+
+BASKET_SQL = (
+    COPURCHASE_SQL
+    + """,
+basket AS (
+  SELECT * FROM copurchase
+  UNION ALL SELECT 'p' || l_partkey, 's' || l_suppkey, l_quantity::DOUBLE FROM lineitem)"""
+)
+
+
 def customer_universe(spark: SparkSession, folder: str) -> DataFrame:
     """Every customer and every supplier nation as nodes, traded or not."""
     customers = table(spark, folder, "customer").select(_tagged("c", "c_custkey").alias("node"))
@@ -148,6 +189,34 @@ edge_lines AS (
       'c' || o_custkey AS src, 'o' || o_orderkey AS dst FROM orders)))"""
 
 
+def quoted_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """One text line per order whose ids hold quotes, comment signs and outer spaces.
+
+    Fields may be empty or missing, and there may be more than two.
+    """
+    src, dst, tab = _tagged("c", "o_custkey"), _tagged("o", "o_orderkey"), F.lit("\t")
+    quote = F.lit('"')
+    line = (
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.concat(quote, src, tab, dst, quote))
+        .when(F.col("o_orderpriority") == "2-HIGH", F.concat(F.lit("# "), src, tab, F.lit("'"), dst, F.lit("' ")))
+        .when(F.col("o_orderpriority") == "3-MEDIUM", F.concat(src, quote, quote, tab, quote, dst, quote, tab, src))
+        .when(F.col("o_orderpriority") == "5-LOW", F.when(F.col("o_orderstatus") == "F", src).otherwise(F.concat(tab, dst)))
+        .otherwise(F.when(F.col("o_orderstatus") == "F", F.lit("")).otherwise(F.concat(src, tab)))
+    )
+    return table(spark, folder, "orders").select(line.alias("value"))
+
+
+QUOTED_SQL = """
+quoted AS (
+  SELECT * FROM (
+    SELECT CASE o_orderpriority WHEN '1-URGENT' THEN '"' || src WHEN '2-HIGH' THEN '# ' || src
+        WHEN '3-MEDIUM' THEN src || '""' END AS src,
+      CASE o_orderpriority WHEN '1-URGENT' THEN dst || '"' WHEN '2-HIGH' THEN chr(39) || dst || chr(39) || ' '
+        WHEN '3-MEDIUM' THEN '"' || dst || '"' END AS dst
+    FROM (SELECT o_orderpriority, 'c' || o_custkey AS src, 'o' || o_orderkey AS dst FROM orders))
+  WHERE src IS NOT NULL)"""
+
+
 def measured_runs(spark: SparkSession, folder: str) -> DataFrame:
     """One measured run per event: type = framework, user = size, value = time.
 

@@ -14,7 +14,11 @@ _GRAPHS = {
     "trade": (lenses.TRADE_SQL, "w"),
     "trade_unweighted": (lenses.TRADE_SQL, "1e0"),
     "nation_trade": (lenses.NATION_TRADE_SQL, "w"),
-    "repaired": (None, "1e0"),  # defined by the query that uses it
+    "copurchase": (lenses.COPURCHASE_SQL, "w"),
+    "basket": (lenses.BASKET_SQL, "w"),
+    "quoted": (lenses.QUOTED_SQL, "1e0"),
+    "cyclic": (None, "w"),  # defined by the query that uses it
+    "repaired": (None, "1e0"),  # likewise
     "ids": (None, "1e0"),  # likewise
 }
 
@@ -51,6 +55,7 @@ def rank_ctes(
     init: str = "1e0 / n",
     precision: int | None = None,
     share_precision: int | None = None,
+    rounding: str = "up",
     name: str = "",
 ) -> str:
     """``r0 … rK`` (node, rank) and ``dm0 … dmK`` (dangling mass) of a run.
@@ -67,7 +72,7 @@ def rank_ctes(
   SELECT node, out_weight, s / sum(s) OVER () AS p FROM (
     SELECT node, out_weight, coalesce(greatest(score, 0e0), 0e0) AS s
     FROM nodes{name} LEFT JOIN ({restart}) USING (node)))""")
-    rank = init if precision is None else f"round({init}, {precision})"
+    rank = init if precision is None else rounded_sql(init, precision, rounding)
     parts.append(f"r{name}0 AS MATERIALIZED (SELECT node, {rank} AS rank FROM nodes{name}, cnt{name})")
     parts.append(_dangling(name, 0))
     for k in range(1, steps + 1):
@@ -76,10 +81,11 @@ def rank_ctes(
             f"{1 - damping!r}::DOUBLE * p + {damping!r}::DOUBLE * (coalesce(s, 0e0) + {mass})"
         )
         if precision is not None:
-            rank = f"round({rank}, {precision})"
+            rank = rounded_sql(f"({rank})", precision, rounding)
         flow = f"sum(prob * rank) AS s FROM tr{name} JOIN r{name}{k - 1} ON src = node"
         if share_precision is not None:
-            flow = f"""sum(w * round(rank / out_weight, {share_precision})) AS s FROM e{name}
+            share = rounded_sql("(rank / out_weight)", share_precision, rounding)
+            flow = f"""sum(w * {share}) AS s FROM e{name}
     JOIN r{name}{k - 1} ON src = node JOIN nodes{name} USING (node) WHERE out_weight > 0"""
         parts.append(f"""r{name}{k} AS MATERIALIZED (
   SELECT tp{name}.node, {rank} AS rank FROM tp{name} LEFT JOIN (
@@ -89,6 +95,22 @@ def rank_ctes(
     return ",\n".join(parts)
 
 
+def rounded_sql(value: str, digits: int, rule: str) -> str:
+    """A non-negative double rounded to decimals, by the rules of ``fixed_point``.
+
+    ``up`` goes through the shortest decimal text; ``even`` through both exact halves of the product.
+    """
+    if rule == "up":
+        return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 28)), {digits}) AS DOUBLE)"
+    scale = f"{10.0**digits!r}::DOUBLE"
+    high = f"({value} * 134217729e0 - ({value} * 134217729e0 - {value}))"
+    low = f"(({value} - {high}) * {scale})"
+    whole = f"(floor({high} * {scale}) + floor({low} + 0.5e0))"
+    over = f"(({high} * {scale} - floor({high} * {scale}) - 0.5e0) + ({low} - floor({low} + 0.5e0)))"
+    step = f"CASE WHEN {over} > 0 OR ({over} = 0 AND {whole} % 2 <> 0) THEN 1e0 WHEN {over} = -1 AND {whole} % 2 <> 0 THEN -1e0 ELSE 0e0 END"
+    return f"(({whole} + {step}) / {scale})"
+
+
 def _dangling(name: str, k: int) -> str:
     return f"""dm{name}{k} AS MATERIALIZED (
   SELECT coalesce(sum(rank), 0e0) AS mass FROM r{name}{k} JOIN nodes{name} USING (node) WHERE out_weight = 0)"""

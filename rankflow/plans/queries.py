@@ -14,10 +14,11 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.operators import compare, graph, measure, order, rank, synth
+from rankflow.functions.text import score_rows
+from rankflow.operators import chain, compare, fixed_point, graph, measure, order, rank, synth
 from rankflow.plans import lenses, oracles
 from rankflow.plans.variants import VARIANTS
-from rankflow.session import scoped_conf, shared_path
+from rankflow.session import shared_path
 from rankflow.sources import edges as edge_source
 from rankflow.sources import ranks as rank_source
 from rankflow.sources import runs as run_source
@@ -30,8 +31,8 @@ DIGITS = 10
 # damping 0.85, where it takes log(2 / STOP) / log(1 / 0.85) = 47 steps at most.
 STOP = 1e-3
 BUDGET = 50
-# Without restarts of dangling mass the trade graph settles in three steps.
-BRIEF = 5
+# The curve and the list of the best go on to a fine threshold, the curve for CURVE steps at most.
+FINE, CURVE, LIMIT = 1e-9, 50, 200
 
 
 @dataclass(frozen=True)
@@ -316,16 +317,15 @@ def rank_from_state(spark, folder):
 # --- single steps ---------------------------------------------------------------
 
 
-def _one_step(edges: DataFrame, redistribute: bool = True) -> DataFrame:
-    """The checkpointed state after one step of a weighted run."""
-    layout, restart, count = rank.prepare(edges, weighted=True)
-    rule = rank.StepRule(rank.DAMPING, restart, redistribute)
-    with scoped_conf(edges.sparkSession, rank.step_conf(layout)):
-        start = rank.initial_state(layout, 1.0 / count)
-        held = layout.dangling / count
-        state, _ = rank.settle(rank.step(start, layout, rule, held))
-    layout.release()
-    return state
+def _one_step(edges: DataFrame, redistribute: bool = True) -> tuple[rank.Batch, DataFrame]:
+    """A weighted run and its stored state after one step, previous ranks included."""
+    spec = rank.RankSpec(weighted=True, dangling="teleport" if redistribute else "drop")
+    batch = rank.prepare(edges, [spec])
+    with batch.settings():
+        start = batch.start()
+        stepped = batch.step(start, batch.held_at_start(start)).checkpoint()
+    batch.layout.release()
+    return batch, stepped
 
 
 _ONE_STEP_SQL = oracles.rank_ctes("trade", 1)
@@ -340,20 +340,24 @@ _ONE_STEP_SQL = oracles.rank_ctes("trade", 1)
     ),
 )
 def contributions_step(spark, folder):
-    layout, _, count = rank.prepare(lenses.trade(spark, folder), weighted=True)
-    inflow = rank.inflow(rank.initial_state(layout, 1.0 / count), layout).checkpoint()
-    layout.release()
-    return inflow.select("node", rounded("inflow"))
+    batch = rank.prepare(lenses.trade(spark, folder), [rank.RankSpec(weighted=True)])
+    inflow = batch.inflow(batch.start()).checkpoint()
+    batch.layout.release()
+    return batch.named(inflow).select("node", F.round("inflow0", DIGITS).alias("inflow"))
+
+
+def _stepped_ranks(batch: rank.Batch, stepped: DataFrame, column: str = "rank0") -> DataFrame:
+    return batch.named(stepped).select("node", F.col(column).alias("rank"))
 
 
 @register("rank_one_step", _ranks_sql(1, graph="trade"))
 def rank_one_step(spark, folder):
-    return _one_step(lenses.trade(spark, folder)).select("node", rounded("rank"))
+    return _stepped_ranks(*_one_step(lenses.trade(spark, folder))).select("node", rounded("rank"))
 
 
 @register("rank_one_step_drop", _ranks_sql(1, graph="trade", redistribute=False))
 def rank_one_step_drop(spark, folder):
-    return _one_step(lenses.trade(spark, folder), False).select("node", rounded("rank"))
+    return _stepped_ranks(*_one_step(lenses.trade(spark, folder), False)).select("node", rounded("rank"))
 
 
 @register(
@@ -361,8 +365,10 @@ def rank_one_step_drop(spark, folder):
     oracles.query(_ONE_STEP_SQL, f"SELECT round(mass, {DIGITS}) AS dangling_mass FROM dm1"),
 )
 def dangling_mass_step(spark, folder):
-    state = _one_step(lenses.trade(spark, folder))
-    return rank.state_metrics(state).select(rounded("dangling_mass"))
+    batch, stepped = _one_step(lenses.trade(spark, folder))
+    limbs = stepped.selectExpr(*[f"{text} AS {name}" for name, text in batch.metrics(0).items()])
+    mass = limbs.selectExpr(f"{fixed_point.joined('mass0h', 'mass0l', batch.bits)} AS dangling_mass")
+    return mass.select(rounded("dangling_mass"))
 
 
 _BOTH = "FROM r1 JOIN r0 USING (node)"
@@ -373,9 +379,8 @@ _BOTH = "FROM r1 JOIN r0 USING (node)"
     oracles.query(_ONE_STEP_SQL, f"SELECT round(sum(abs(r1.rank - r0.rank)), {DIGITS}) AS delta {_BOTH}"),
 )
 def l1_delta_step(spark, folder):
-    state = _one_step(lenses.trade(spark, folder))
-    old = state.select("node", F.col("previous").alias("rank"))
-    return compare.l1_delta(old, state.select("node", "rank")).select(rounded("delta"))
+    step = _one_step(lenses.trade(spark, folder))
+    return compare.l1_delta(_stepped_ranks(*step, "previous0"), _stepped_ranks(*step)).select(rounded("delta"))
 
 
 @register(
@@ -387,9 +392,8 @@ def l1_delta_step(spark, folder):
     ),
 )
 def delta_counter(spark, folder):
-    state = _one_step(lenses.trade(spark, folder))
-    old = state.select("node", F.col("previous").alias("rank"))
-    return compare.delta_counter(old, state.select("node", "rank"))
+    step = _one_step(lenses.trade(spark, folder))
+    return compare.delta_counter(_stepped_ranks(*step, "previous0"), _stepped_ranks(*step))
 
 
 # --- ranking runs ----------------------------------------------------------------
@@ -438,6 +442,41 @@ def rank_weighted_personalized(spark, folder):
     return rounded_ranks(fixed_run(edges, weighted=True, personalization=scores))
 
 
+@register(
+    "rank_scores_text",
+    _ranks_sql(graph="trade", restart="SELECT 'c' || c_custkey AS node, c_acctbal AS score FROM customer"),
+)
+def rank_scores_text(spark, folder):
+    """Restart scores from lines of text; the first line of a node is replaced by its last."""
+    customers = lenses.table(spark, folder, "customer").select(
+        F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit("=")).alias("node"), F.col("c_acctbal").cast("string").alias("score")
+    )
+    lines = customers.select(F.explode(F.array(F.concat("node", F.lit("-1")), F.concat(F.lit(" "), "node", "score"))).alias("value"))
+    path = shared_path(spark, "scores")
+    lines.write.text(path)
+    scores = score_rows(spark.read.text(path))
+    return rounded_ranks(trade_run(spark, folder, weighted=True, personalization=scores))
+
+
+_CYCLIC_SQL = (
+    lenses.TRADE_SQL
+    + """,
+cyclic AS (
+  SELECT src, dst, ((row_number() OVER (ORDER BY src, dst) - 1) % 5 + 1)::DOUBLE AS w FROM trade),"""
+)
+
+
+@register(
+    "rank_cyclic_weights",
+    oracles.query(
+        _CYCLIC_SQL + oracles.rank_ctes("cyclic", STEPS), f"SELECT node, round(rank, {DIGITS}) AS rank FROM r{STEPS}"
+    ),
+)
+def rank_cyclic_weights(spark, folder):
+    """Weights 1 to 5 by the place of an edge."""
+    return rounded_ranks(fixed_run(graph.cyclic_weights(lenses.trade(spark, folder)), weighted=True))
+
+
 @register("rank_node_universe", _ranks_sql(graph="trade", universe=True))
 def rank_node_universe(spark, folder):
     universe = lenses.customer_universe(spark, folder)
@@ -454,21 +493,35 @@ def rank_init_one(spark, folder):
     return rounded_ranks(fixed_run(lenses.supply(spark, folder), dangling="drop", init="one"))
 
 
-@register("rank_rounded_state", _ranks_sql(digits=6, graph="trade", redistribute=False, precision=8))
+# State of 8 decimals leaves nothing to round off: the two sides must agree in every digit.
+
+
+@register(
+    "rank_rounded_state",
+    _ranks_sql(digits=8, graph="trade", redistribute=False, precision=8, rounding="even"),
+)
 def rank_rounded_state(spark, folder):
-    result = trade_run(spark, folder, weighted=True, dangling="drop", precision=8)
-    return rounded_ranks(result, 6)
+    """State through text of 8 decimals, true halves to the even side."""
+    result = trade_run(spark, folder, weighted=True, dangling="drop", precision=8, rounding="even")
+    return rounded_ranks(result, 8)
 
 
 @register(
     "rank_rounded_share",
     _ranks_sql(
-        digits=6, graph="trade_unweighted", redistribute=False, init="1e0", precision=8, share_precision=10
+        digits=8, graph="trade_unweighted", redistribute=False, init="1e0", precision=8, share_precision=10
     ),
 )
 def rank_rounded_share(spark, folder):
+    """Shares of 10 and state of 8 decimals, halves of the shortest decimal text up."""
     options = VARIANTS["unit_start_text"] | {"max_iter": STEPS, "epsilon": 0.0}
-    return rounded_ranks(rank.run(lenses.trade(spark, folder), **options), 6)
+    return rounded_ranks(rank.run(lenses.trade(spark, folder), **options), 8)
+
+
+@register("rank_copurchase", _ranks_sql(graph="copurchase"))
+def rank_copurchase(spark, folder):
+    """A weighted graph with long cycles, parallel edges and self-loops."""
+    return rounded_ranks(fixed_run(lenses.copurchase(spark, folder), weighted=True))
 
 
 # --- convergence -----------------------------------------------------------------
@@ -534,35 +587,76 @@ _UNITS = "sum(floor(abs(a.rank - b.rank) * 1e8 + 0.5e0)::BIGINT)::BIGINT / 1e8"
 @register(
     "rank_counter_stop",
     oracles.query(
-        oracles.rank_ctes("nation_trade", 20) + "," + oracles.history_cte(20, change=_UNITS),
+        oracles.rank_ctes("copurchase", BUDGET) + "," + oracles.history_cte(BUDGET, change=_UNITS),
         f"""SELECT iteration, round(delta, {DIGITS}) AS delta FROM history WHERE iteration <= (
   SELECT min(iteration) FROM history WHERE delta < {STOP!r})""",
     ),
 )
 def rank_counter_stop(spark, folder):
-    edges = lenses.nation_trade(spark, folder)
-    result = rank.run(edges, epsilon=STOP, max_iter=20, weighted=True, unit_digits=8)
+    result = finished(lenses.copurchase(spark, folder), weighted=True, unit_digits=8)
     return result.history.select("iteration", rounded("delta"))
 
 
 _LOW, _HIGH = 0.50, 0.95
+_FAR = 150  # steps that are enough at damping 0.95
+
+
+def _damping_sql(graph: str) -> str:
+    low = oracles.finished_ctes(graph, BUDGET, STOP, "_low", damping=_LOW)
+    high = oracles.finished_ctes(graph, _FAR, STOP, "_high", damping=_HIGH)
+    return oracles.query(
+        f"{low},\n{high}",
+        f"""SELECT round(max(abs(a.rank - b.rank)), {DIGITS}) AS max_abs_diff,
+  any_value(l.k) AS low_iterations, any_value(h.k) AS high_iterations
+  FROM done_low a JOIN done_high b USING (node), stopped_low l, stopped_high h""",
+    )
+
+
+def _damping_report(edges: DataFrame, **options) -> DataFrame:
+    """How far two dampings differ when each has run to its threshold; one pass for both."""
+    specs = [rank.RankSpec(damping=d, epsilon=STOP, max_iter=_FAR, **options) for d in (_LOW, _HIGH)]
+    low, high = rank.run_many(edges, specs)
+    report = compare.max_abs_diff(low.ranks, high.ranks).select(rounded("max_abs_diff"))
+    steps = {"low_iterations": F.lit(low.iterations), "high_iterations": F.lit(high.iterations)}
+    return report.withColumns(steps)
+
+
+@register("damping_sensitivity", _damping_sql("supply"))
+def damping_sensitivity(spark, folder):
+    return _damping_report(lenses.supply(spark, folder))
+
+
+@register("damping_sensitivity_weighted", _damping_sql("copurchase"))
+def damping_sensitivity_weighted(spark, folder):
+    return _damping_report(lenses.copurchase(spark, folder), weighted=True)
 
 
 @register(
-    "damping_sensitivity",
+    "convergence_curve",
     oracles.query(
-        oracles.finished_ctes("nation_trade", BUDGET, STOP, "_low", damping=_LOW)
-        + ",\n"
-        + oracles.finished_ctes("nation_trade", BUDGET, STOP, "_high", damping=_HIGH),
-        f"""SELECT round(max(abs(a.rank - b.rank)), {DIGITS}) AS max_abs_diff
-  FROM done_low a JOIN done_high b USING (node)""",
+        oracles.finished_ctes("basket", CURVE, FINE),
+        f"""SELECT iteration, round(delta, {DIGITS}) AS delta FROM history JOIN stopped ON iteration <= k""",
     ),
 )
-def damping_sensitivity(spark, folder):
-    with held(lenses.nation_trade(spark, folder)) as edges:
-        low = finished(edges, weighted=True, damping=_LOW).ranks
-        high = finished(edges, weighted=True, damping=_HIGH).ranks
-    return compare.max_abs_diff(low, high).select(rounded("max_abs_diff"))
+def convergence_curve(spark, folder):
+    """Change by step, to a fine threshold or the end of the budget."""
+    result = rank.run(lenses.basket(spark, folder), epsilon=FINE, max_iter=CURVE, weighted=True)
+    return result.history.select("iteration", rounded("delta"))
+
+
+@register(
+    "top_ten",
+    oracles.query(
+        oracles.finished_ctes("basket", LIMIT, FINE),
+        f"""SELECT node, round(rank, {DIGITS}) AS rank, k AS iterations FROM done, stopped
+  ORDER BY 2 DESC, node LIMIT 10""",
+    ),
+)
+def top_ten(spark, folder):
+    """The best ten of a run to a fine threshold; all nodes if there are fewer."""
+    result = rank.run(lenses.basket(spark, folder), epsilon=FINE, max_iter=LIMIT, weighted=True)
+    best = order.top_n(rounded_ranks(result), 10)
+    return best.withColumn("iterations", F.lit(result.iterations))
 
 
 # --- finished ranks ----------------------------------------------------------------
@@ -576,11 +670,12 @@ def _supply_ranks(spark: SparkSession, folder: str) -> DataFrame:
 _SUPPLY_SQL = oracles.finished_ctes("supply", BUDGET, STOP) + f""",
 ranks AS (SELECT node, round(rank, {DIGITS}) AS rank FROM done)"""
 
-_DROP_SQL = oracles.finished_ctes("trade", BRIEF, STOP, redistribute=False)
+_DROP_SQL = oracles.finished_ctes("basket", BUDGET, STOP, redistribute=False)
 
 
 def _drop_ranks(spark: SparkSession, folder: str) -> DataFrame:
-    return finished(lenses.trade(spark, folder), weighted=True, dangling="drop").ranks
+    """Ranks of a run that loses mass until it settles."""
+    return finished(lenses.basket(spark, folder), weighted=True, dangling="drop").ranks
 
 
 @register(
@@ -656,44 +751,72 @@ def rank_invariants(spark, folder):
     return compare.invariants(ranks, nodes)
 
 
-_TWO_RUNS_SQL = (
-    oracles.finished_ctes("trade", BRIEF, STOP, "_w", redistribute=False)
-    + ",\n"
-    + oracles.finished_ctes("trade_unweighted", BRIEF, STOP, "_u", redistribute=False)
-)
+_COMPARED_SQL = f"""SELECT node, round(a.rank, {DIGITS}) AS left_rank, round(b.rank, {DIGITS}) AS right_rank,
+  round(abs(a.rank - b.rank), {DIGITS}) AS abs_diff FROM done_a a FULL JOIN done_b b USING (node)"""
 
 
-def _two_trade_runs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    with held(lenses.trade(spark, folder)) as edges:
-        weighted = finished(edges, weighted=True, dangling="drop").ranks
-        return weighted, finished(edges, dangling="drop").ranks
+def _compared(left: rank.RankResult, right: rank.RankResult) -> DataFrame:
+    table = compare.compare(left.ranks, right.ranks)
+    return table.select("node", rounded("left_rank"), rounded("right_rank"), rounded("abs_diff"))
 
 
 @register(
-    "rank_max_abs_diff",
+    "rank_comparison",
     oracles.query(
-        _TWO_RUNS_SQL,
-        f"""SELECT round(max(abs(a.rank - b.rank)), {DIGITS}) AS max_abs_diff
-  FROM done_w a JOIN done_u b USING (node)""",
+        oracles.finished_ctes("trade", BUDGET, STOP, "_a")
+        + ",\n"
+        + oracles.finished_ctes("trade_unweighted", BUDGET, STOP, "_b"),
+        _COMPARED_SQL,
     ),
 )
-def rank_max_abs_diff(spark, folder):
-    weighted, plain = _two_trade_runs(spark, folder)
-    return compare.max_abs_diff(weighted, plain).select(rounded("max_abs_diff"))
+def rank_comparison(spark, folder):
+    """Weighted and plain ranks of the trade graph, each run to its threshold, in one pass."""
+    specs = [rank.RankSpec(epsilon=STOP, max_iter=BUDGET, weighted=weighted) for weighted in (True, False)]
+    return _compared(*rank.run_many(lenses.trade(spark, folder), specs))
 
 
 @register(
-    "rank_comparison",
+    "rank_comparison_supply",
     oracles.query(
-        _TWO_RUNS_SQL,
-        f"""SELECT node, round(a.rank, {DIGITS}) AS left_rank, round(b.rank, {DIGITS}) AS right_rank,
-  round(abs(a.rank - b.rank), {DIGITS}) AS abs_diff FROM done_w a FULL JOIN done_u b USING (node)""",
+        oracles.finished_ctes("supply", BUDGET, STOP, "_a")
+        + ",\n"
+        + oracles.finished_ctes("supply", BUDGET, STOP, "_b", damping=0.7),
+        _COMPARED_SQL,
     ),
 )
-def rank_comparison(spark, folder):
-    weighted, plain = _two_trade_runs(spark, folder)
-    table = compare.compare(weighted, plain)
-    return table.select("node", rounded("left_rank"), rounded("right_rank"), rounded("abs_diff"))
+def rank_comparison_supply(spark, folder):
+    """Two dampings on the supply graph; they stop at different steps of one pass."""
+    specs = [rank.RankSpec(epsilon=STOP, max_iter=BUDGET, damping=damping) for damping in (rank.DAMPING, 0.7)]
+    return _compared(*rank.run_many(lenses.supply(spark, folder), specs))
+
+
+def _worst_sql(graph: str) -> str:
+    exact = oracles.finished_ctes(graph, BUDGET, STOP, "_a")
+    text = oracles.finished_ctes(graph, BUDGET, STOP, "_b", precision=8, rounding="even")
+    return oracles.query(
+        f"{exact},\n{text}",
+        f"SELECT round(max(abs(a.rank - b.rank)), {DIGITS}) AS max_abs_diff FROM done_a a JOIN done_b b USING (node)",
+    )
+
+
+def _worst(edges: DataFrame, **options) -> DataFrame:
+    """The largest error of state with 8 decimals against full precision, at the same stop rule."""
+    specs = [
+        rank.RankSpec(epsilon=STOP, max_iter=BUDGET, **options),
+        rank.RankSpec(epsilon=STOP, max_iter=BUDGET, precision=8, rounding="even", **options),
+    ]
+    exact, text = rank.run_many(edges, specs)
+    return compare.max_abs_diff(exact.ranks, text.ranks).select(rounded("max_abs_diff"))
+
+
+@register("rank_max_abs_diff", _worst_sql("trade"))
+def rank_max_abs_diff(spark, folder):
+    return _worst(lenses.trade(spark, folder), weighted=True)
+
+
+@register("rank_max_abs_diff_supply", _worst_sql("supply"))
+def rank_max_abs_diff_supply(spark, folder):
+    return _worst(lenses.supply(spark, folder))
 
 
 @register(
@@ -806,6 +929,21 @@ def ranking_file_roundtrip(spark, folder):
     return rank_source.read_ranks(spark, path)
 
 
+@register("ranking_file_merged", _DROP_8_SQL)
+def ranking_file_merged(spark, folder):
+    """One ordered file with one header, joined from parts by the file system."""
+    path = shared_path(spark, "ranking")
+    rank_source.write_ranking_file(_drop_ranks(spark, folder), path)
+    return rank_source.read_ranks(spark, path)
+
+
+@register("state_file_merged", _state_sql(8))
+def state_file_merged(spark, folder):
+    path = shared_path(spark, "state")
+    state_source.write_state_file(_state(spark, folder), path, "pipe")
+    return _shown_state(state_source.read_state(spark, path, "pipe"), 8)
+
+
 @register("rank_text_roundtrip", _DROP_8_SQL)
 def rank_text_roundtrip(spark, folder):
     path = shared_path(spark, "ranks")
@@ -823,6 +961,23 @@ def rank_table_roundtrip(spark, folder):
     return rank_source.read_ranks(spark, path).select("node", rounded("rank"))
 
 
+@register(
+    "relation_file_roundtrip", oracles.query(lenses.QUOTED_SQL, "SELECT src, dst FROM quoted")
+)
+def relation_file_roundtrip(spark, folder):
+    """Ids that hold quotes, through text and a loader that doesn't quote."""
+    path = shared_path(spark, "relation")
+    lenses.quoted_lines(spark, folder).write.text(path)
+    return edge_source.read_relation(spark, path)
+
+
+@register("rank_quoted_ids", _ranks_sql(2, graph="quoted"))
+def rank_quoted_ids(spark, folder):
+    path = shared_path(spark, "relation")
+    lenses.quoted_lines(spark, folder).write.text(path)
+    return rounded_ranks(fixed_run(edge_source.read_relation(spark, path), 2))
+
+
 _IDS_SQL = (
     _FIELDS.format(comment="AND NOT starts_with(line, '#')")
     + f""",
@@ -852,6 +1007,14 @@ def rank_resume(spark, folder):
         return rounded_ranks(fixed_run(edges, 4, weighted=True, init=state))
 
 
+@register("rank_chain", _ranks_sql(5, graph="trade_unweighted", redistribute=False))
+def rank_chain(spark, folder):
+    """Two steps from files to files, and three more from what the folder holds."""
+    path = shared_path(spark, "chain")
+    chain.run_chain(lenses.trade(spark, folder), path, epsilon=0.0, max_iter=2)
+    return rounded_ranks(chain.run_chain(None, path, epsilon=0.0, max_iter=5, spark=spark))
+
+
 @register(
     "edges_from_state", oracles.query(lenses.TRADE_SQL, "SELECT src, dst FROM trade")
 )
@@ -883,17 +1046,30 @@ def _draw_sql(seed: int, *key: str) -> str:
 
 
 _M, _SEED = synth.ATTACHMENT, synth.SEED
-_SCALE_FREE_SQL = f"""
+#: Draws that are more than enough for any node of the test tables.
+_DRAWS = 40
+
+
+def _scale_free_sql(below: str = "") -> str:
+    """``synthetic``: the generated edges over the customers, or over those below a count."""
+    own = f"2 * ((c_custkey - {_M}) * {_M} + link) + 1"
+    again = f"{_draw_sql(_SEED, repr('again'), 'c_custkey', 'link')} % greatest(2 * {_M} * (c_custkey - {_M}), 1)"
+    return f"""
 trace AS (
-  SELECT c_custkey AS node, 2 * ((c_custkey - {_M}) * {_M} + link) + 1 AS slot
-  FROM customer, range({_M}) x(link) WHERE c_custkey >= {_M}
+  SELECT c_custkey AS node, link, CASE WHEN link < {_M} THEN {own} ELSE {again} END AS slot
+  FROM customer, range({_DRAWS}) x(link) WHERE c_custkey >= {_M} {below} AND (c_custkey > {_M} OR link < {_M})
   UNION ALL
-  SELECT node, {_draw_sql(_SEED, "slot")} % ((slot // 2) // {_M} * {2 * _M})
+  SELECT node, link, {_draw_sql(_SEED, "slot")} % ((slot // 2) // {_M} * {2 * _M})
   FROM trace WHERE slot % 2 = 1 AND slot // 2 >= {_M}),
+drawn AS (
+  SELECT node, CASE WHEN slot % 2 = 0 THEN {_M} + (slot // 2) // {_M} ELSE slot // 2 END AS older, min(link) AS link
+  FROM trace WHERE slot % 2 = 0 OR slot // 2 < {_M} GROUP BY 1, 2),
 synthetic AS (
-  SELECT DISTINCT CAST(CASE WHEN slot % 2 = 0 THEN {_M} + (slot // 2) // {_M} ELSE slot // 2 END AS VARCHAR) AS src,
-    CAST(node AS VARCHAR) AS dst
-  FROM trace WHERE slot % 2 = 0 OR slot // 2 < {_M})"""
+  SELECT CAST(older AS VARCHAR) AS src, CAST(node AS VARCHAR) AS dst FROM drawn
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY link) <= {_M})"""
+
+
+_SCALE_FREE_SQL = _scale_free_sql()
 
 
 def _customer_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -911,6 +1087,31 @@ def synth_scale_free(spark, folder):
     return synth.scale_free_edges(ids, ids.count(), weighted=True)
 
 
+@register(
+    "synth_edge_count",
+    "SELECT n AS nodes, " + f"{synth.ATTACHMENT} * (n - {synth.ATTACHMENT}) AS edges"
+    """, 0::BIGINT AS repeated, 0::BIGINT AS backward
+  FROM (SELECT unnest([count(*) // 4, count(*) // 2, count(*)]) AS n FROM customer)""",
+)
+def synth_edge_count(spark, folder):
+    """Graphs of three sizes: m (N - m) edges, none twice, all from the lower to the higher node."""
+    ids = _customer_ids(spark, folder)
+    customers = ids.count()
+    sizes = None
+    for count in (customers // 4, customers // 2, customers):
+        edges = synth.scale_free_edges(ids.where(F.col("id") < count), count)
+        pairs = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
+        backward = F.col("src").cast("long") >= F.col("dst").cast("long")
+        row = pairs.agg(
+            F.lit(count).cast("long").alias("nodes"),
+            F.sum("copies").alias("edges"),
+            F.coalesce(F.sum(F.col("copies") - 1), F.lit(0).cast("long")).alias("repeated"),
+            F.count_if(backward).alias("backward"),
+        )
+        sizes = row if sizes is None else sizes.unionByName(row)
+    return sizes
+
+
 def _repair_sql(edges: str) -> str:
     return f"""
 listed AS (SELECT node, row_number() OVER (ORDER BY node) - 1 AS i, count(*) OVER () AS n

@@ -100,6 +100,21 @@ def read_edge_table(spark: SparkSession, path: str, weighted: bool = False) -> D
     return drop_null_endpoints(table)
 
 
+def parse_relation(lines: DataFrame, fields: tuple[str, ...] = ("src", "dst"), separator: str = "\t") -> DataFrame:
+    """Delimited text as a relation of strings, the way loaders without quoting read it.
+
+    Quotes, comment signs and outer spaces are part of a field. An empty or missing field is
+    null, further fields are ignored, and an empty line is a row of nulls.
+    """
+    part = F.split("value", f"\\Q{separator}\\E", -1)
+    return lines.select(*[F.nullif(F.get(part, F.lit(i)), F.lit("")).alias(name) for i, name in enumerate(fields)])
+
+
+def read_relation(spark: SparkSession, path: str) -> DataFrame:
+    """Read TAB-separated edges without quoting; rows that lack an endpoint are dropped."""
+    return drop_null_endpoints(parse_relation(spark.read.text(to_uri(path))))
+
+
 def write_edges(edges: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write edges as TAB-separated text parts, ids verbatim; edges without an endpoint are left out."""
     edges = drop_null_endpoints(edges)

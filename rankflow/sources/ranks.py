@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankflow.functions.text import fixed, number, strip
 from rankflow.operators.order import sorted_ranks
+from rankflow.sources.files import merge_parts
 from rankflow.sources.paths import to_uri
 
 # Column titles of an exported ranking.
@@ -41,6 +44,17 @@ def write_ranking(
     export_rows(ranks).write.mode(mode).options(**_TSV).csv(to_uri(path), header=True)
 
 
+def write_ranking_file(ranks: DataFrame, path: str) -> str:
+    """Write a sorted ranking as one file with one header; never overwrites.
+
+    Ranges are sorted and written in parallel; the file system joins the parts.
+    """
+    spark = ranks.sparkSession
+    parts = f"{path}.{uuid.uuid4().hex}"
+    export_rows(ranks).write.options(**_TSV).csv(to_uri(parts), header=False)
+    return merge_parts(spark, parts, path, "\t".join(HEADER))
+
+
 def write_rank_text(ranks: DataFrame, path: str) -> None:
     """Write ``node TAB rank`` with 8 decimals, no header; never overwrites."""
     line = F.concat_ws("\t", "node", fixed(F.col("rank")))

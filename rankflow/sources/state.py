@@ -10,12 +10,14 @@ A list of only the empty id reads back as no links from ``pipe`` and ``tsv``;
 
 from __future__ import annotations
 
+import uuid
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankflow.functions.text import CONTROL_SPACE, UNICODE_SPACE, fixed, number, split_list, strip
+from rankflow.sources.files import merge_parts
 from rankflow.sources.paths import to_uri
 
 
@@ -118,6 +120,13 @@ def write_state(state: DataFrame, path: str, style: str = "pipe", mode: str = "e
     _FORMATS[style](state.orderBy(*keys)).write.mode(mode).text(to_uri(path))
 
 
+def write_state_file(state: DataFrame, path: str, style: str = "pipe") -> str:
+    """Write node state as one text file, ordered as ``write_state`` does; never overwrites."""
+    parts = f"{path}.{uuid.uuid4().hex}"
+    write_state(state, parts, style)
+    return merge_parts(state.sparkSession, parts, path)
+
+
 def read_state(spark: SparkSession, path: str, style: str = "pipe") -> DataFrame:
     """Read node state written in one of the styles."""
     return _PARSERS[style](spark.read.text(to_uri(path)))

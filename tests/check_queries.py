@@ -63,7 +63,7 @@ def compare(spark, connection, folder: str, name: str) -> str:
 def main() -> None:
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(entry.queries())
-    spark = local_session("check", "8")
+    spark = local_session("check", os.environ.get("TEST_CPUS", "8"))
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(folder)
     bad = 0

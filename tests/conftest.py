@@ -21,7 +21,7 @@ def pairs(text):
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session("tests", "8", "4g")
+    session = local_session("tests", os.environ.get("TEST_CPUS", "8"), "4g")
     session.conf.set("spark.sql.shuffle.partitions", "4")
     session.sparkContext.setLogLevel("ERROR")
     yield session

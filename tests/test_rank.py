@@ -1,12 +1,16 @@
 """Ranking: published values, brute force, edge cases, errors."""
 
+import json
+import math
+import os
 import random
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from conftest import as_dict, close, golden
 
 from rankflow import run
-from rankflow.operators import compare, graph, layout, rank, sizing
+from rankflow.operators import chain, compare, fixed_point, graph, layout, rank, sizing
 from rankflow.plans.variants import VARIANTS
 
 TIGHT = {"epsilon": 1e-12, "max_iter": 100}
@@ -174,19 +178,45 @@ def test_brute_force_with_and_without_hot_sources(make_edges, hot_degree, redist
     assert close(as_dict(result.ranks), expected, 1e-12)
 
 
-def test_one_source_with_a_third_of_all_edges(spark, make_edges):
+def test_one_source_with_a_third_of_all_edges(make_edges):
     hub = [("hub", f"n{i}", 1.0) for i in range(300)]
     rest = [(f"n{i}", f"n{(i * 7 + 1) % 300}", 1.0) for i in range(600 // 2)] * 2
     edges = hub + rest + [("n1", "hub", 1.0)]
-    built, _, count = rank.prepare(make_edges(edges), partitions=4, hot_degree=50)
-    assert count == 301
+    built = rank.prepare(make_edges(edges), [rank.RankSpec()], partitions=4, hot_degree=50).layout
+    assert (built.facts.nodes, built.hot_ids) == (301, 1)
+    assert built.names.where("id = 0").first()["node"] == "hub"
     assert built.hot is not None and built.hot.count() == 300
-    assert built.spread.where("src = 'hub'").isEmpty()
+    assert built.spread.where("src = 0").isEmpty()
     built.release()
     result = run(make_edges(edges), epsilon=0.0, max_iter=5, partitions=4, hot_degree=50)
     assert close(as_dict(result.ranks), brute_force(edges, 5), 1e-12)
 
 
+def test_numbers_are_dense_and_tell_the_kind_of_node(make_edges):
+    edges = random_graph(3) + [("weightless", "n0", 0.0), ("n1", "sink", 1.0)]
+    built = rank.prepare(make_edges(edges), [rank.RankSpec(weighted=True), rank.RankSpec()], partitions=3).layout
+    names = {r["node"]: r["id"] for r in built.names.collect()}
+    assert sorted(names.values()) == list(range(len(names)))
+    weight, degree = dict.fromkeys(names, 0.0), dict.fromkeys(names, 0)
+    for s, _, w in edges:
+        weight[s] += w
+        degree[s] += 1
+    assert {n for n, i in names.items() if i >= built.givers[True]} == {n for n, w in weight.items() if w == 0}
+    assert {n for n, i in names.items() if i >= built.givers[False]} == {n for n, d in degree.items() if d == 0}
+    by_number = sorted((i, degree[n].bit_length()) for n, i in names.items() if weight[n] > 0)
+    assert [bits for _, bits in by_number] == sorted((bits for _, bits in by_number), reverse=True)
+    built.release()
+
+
+def test_hubs_are_translated_by_broadcast(make_edges, monkeypatch):
+    """Neither a hub of sources nor one of targets meets its number in one task."""
+    monkeypatch.setattr(layout, "MIN_HOT_DEGREE", 40)
+    monkeypatch.setattr(layout, "_BROADCAST_BYTES", 0)
+    edges = [("hub", f"n{i}", 1.0) for i in range(100)] + [(f"n{i}", "goal", 2.0) for i in range(100)] + [("goal", "n1", 1.0)]
+    result = run(make_edges(edges), epsilon=0.0, max_iter=4, weighted=True, partitions=3)
+    assert close(as_dict(result.ranks), brute_force(edges, 4), 1e-12)
+
+
 def test_parallel_edges_count_twice(make_edges):
     edges = [("a", "b", 1.0), ("a", "b", 1.0), ("a", "c", 1.0), ("b", "a", 1.0), ("c", "a", 1.0)]
     ranks = as_dict(run(make_edges(edges), epsilon=0.0, max_iter=5).ranks)
@@ -278,20 +308,94 @@ def test_session_settings_are_restored(spark, ring):
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
 
 
-def test_step_shuffles_only_the_inflow(ring, capsys):
-    """No exchange and no sort for edges or state: one exchange per step."""
-    from rankflow.session import scoped_conf
-
-    built, restart, count = rank.prepare(ring, partitions=3)
-    rule = rank.StepRule(0.85, restart)
-    with scoped_conf(ring.sparkSession, rank.step_conf(built)):
-        state, seen = rank.settle(rank.step(rank.initial_state(built, 1 / count), built, rule, 0.0))
-        rank.step(state, built, rule, seen["dangling_mass"]).explain()
+@pytest.mark.parametrize("sets", [1, 3])
+def test_step_shuffles_only_the_inflow(ring, capsys, sets):
+    """No exchange and no sort for edges or state: one exchange per step, whatever the number of sets."""
+    batch = rank.prepare(ring, [rank.RankSpec(damping=0.5 + k / 10) for k in range(sets)], partitions=3)
+    with batch.settings():
+        start = batch.start()
+        held = batch.held_at_start(start)
+        state, seen = batch.settle(batch.step(start, held))
+        assert state.columns == ["id", *[f"rank{k}" for k in range(sets)]]
+        batch.step(state, [batch.measured(seen, k)[1] for k in range(sets)]).explain()
     plan = capsys.readouterr().out.split("InMemoryRelation")[0]
     assert plan.count("Exchange") == 1
     assert plan.count("SortMergeJoin") == 2
     assert plan.count("Sort [") == 1  # the inflow, after its aggregation
-    built.release()
+    batch.layout.release()
+
+
+def test_sets_run_together_as_they_do_alone(spark, make_edges):
+    edges = make_edges(random_graph(11))
+    stored = spark.createDataFrame([("n0", 0.5), ("n3", 0.5)], "node STRING, rank DOUBLE")
+    options = [
+        {"damping": 0.5},
+        {"weighted": True, "epsilon": 1e-6},
+        {"weighted": True, "personalization": {"n1": 1.0, "n2": 3.0}, "max_iter": 4, "epsilon": 0.0},
+        {"dangling": "drop", "init": "one", "precision": 8, "share_precision": 10},
+        {"personalization": {"n5": 1.0}, "epsilon": 1e-2},
+        {"init": stored, "max_iter": 3},
+        {"max_iter": 0},
+    ]
+    together = rank.run_many(edges, [rank.RankSpec(**o) for o in options], partitions=3)
+    assert len({r.iterations for r in together}) > 4
+    for option, result in zip(options, together, strict=True):
+        alone = run(edges, partitions=3, **option)
+        assert (result.iterations, result.converged) == (alone.iterations, alone.converged)
+        assert close(as_dict(result.ranks), as_dict(alone.ranks), 1e-12)
+        assert close(dict(enumerate(result.deltas)), dict(enumerate(alone.deltas)), 1e-12)
+
+
+def test_history_does_not_depend_on_partitions(make_edges):
+    """The same bits at 4 and at 32 partitions, and whatever the order of the edges."""
+    rows = random_graph(5, nodes=300, edges=3000)
+    runs = [
+        run(make_edges(edges).repartition(parts), epsilon=0.0, max_iter=8, weighted=True, partitions=parts)
+        for edges, parts in ((rows, 4), (rows[::-1], 32))
+    ]
+    histories = [[tuple(r) for r in result.history.orderBy("iteration").collect()] for result in runs]
+    assert histories[0] == histories[1]
+    assert as_dict(runs[0].ranks) == as_dict(runs[1].ranks)
+    assert close(as_dict(runs[0].ranks), brute_force(rows, 8), 1e-14)
+    plain = run(make_edges(rows), epsilon=0.0, max_iter=8, weighted=True, exact_sums=False)
+    assert close(as_dict(plain.ranks), as_dict(runs[0].ranks), 1e-14)
+
+
+def test_sums_in_limbs(spark):
+    rng = random.Random(2)
+    values = [rng.random() * 10.0 ** -rng.randint(0, 25) for _ in range(2000)] + [0.0, 1.0]
+    rows = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
+    bits = fixed_point.first_bits(sum(values))
+    high, low = fixed_point.limbs("v", bits)
+    seen = rows.selectExpr(f"sum({high}) AS h", f"sum({low}) AS l").first()
+    assert fixed_point.value(seen["h"], seen["l"], bits) == pytest.approx(math.fsum(values), rel=1e-15)
+    assert fixed_point.value(None, None, bits) == 0.0
+
+
+def test_rounding_rules(spark):
+    """Halves: of the shortest decimal text, or of the exact value; true halves are rare."""
+    values = [0.5, 1.5, 2.5, 0.125, 0.375, 2.675, 1.005, 0.285, 0.1, 1e-9, 0.3, 1 / 3, 4.5, 0.0625, 0.1875]
+    rng = random.Random(9)
+    values += [round(rng.random(), d) + 5 * 10.0 ** -(d + 1) for d in range(1, 11) for _ in range(40)]
+    rows = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
+    for digits in (0, 1, 2, 3, 4, 8, 10, 11):
+        texts = [f"{fixed_point.rounded('v', digits, rule)} AS {rule}" for rule in ("up", "even")]
+        for value, row in zip(values, rows.selectExpr(*texts).collect(), strict=True):
+            assert row["even"] == float(f"{value:.{digits}f}"), (value, digits)
+            short = Decimal(repr(value)).quantize(Decimal(1).scaleb(-digits), ROUND_HALF_UP)
+            assert row["up"] == float(short), (value, digits)
+    assert float(f"{2.5:.0f}") == 2.0 and float(f"{0.125:.2f}") == 0.12 and float(f"{2.675:.2f}") == 2.67
+    with pytest.raises(ValueError, match="digits"):
+        fixed_point.rounded("v", 12, "even")
+
+
+def test_rounding_rules_differ_in_a_run(make_edges):
+    """Four nodes share a half, so each of their ranks ends in a true half at three digits."""
+    edges = make_edges([("a", "b"), ("b", "a"), ("c", "a"), ("d", "a"), ("e", "a"), ("f", "a"), ("g", "a"), ("h", "a")])
+    up, even = rank.run_many(
+        edges, [rank.RankSpec(damping=0.5, epsilon=0.0, max_iter=1, precision=3, rounding=rule) for rule in ("up", "even")]
+    )
+    assert as_dict(up.ranks)["c"] == 0.063 and as_dict(even.ranks)["c"] == 0.062
 
 
 def test_partition_choice():
@@ -358,7 +462,55 @@ def test_at_most_two_states_stay_on_disk(spark, ring):
 
 def test_source_is_held_until_released(spark, tmp_path, make_edges):
     make_edges([("a", "b"), ("b", "c"), ("c", "a"), ("a", "c")]).write.parquet(str(tmp_path / "edges"))
-    built, _, _ = rank.prepare(spark.read.parquet(str(tmp_path / "edges")))
+    built = rank.prepare(spark.read.parquet(str(tmp_path / "edges")), [rank.RankSpec()]).layout
     assert built.source.is_cached
     built.release()
     assert built.source is None
+
+
+@pytest.mark.parametrize("rule", [{}, {"dangling": "teleport"}, {"init": "one", "precision": 8, "share_precision": 10}])
+def test_chain_of_files_equals_a_run(tmp_path, leaky, rule):
+    result = chain.run_chain(leaky, str(tmp_path / "chain"), chain.ChainRule(**rule), epsilon=1e-3, max_iter=50)
+    alone = run(leaky, **({"dangling": "drop"} | rule))
+    assert (result.iterations, result.converged, result.num_nodes) == (alone.iterations, True, 6)
+    assert close(as_dict(result.ranks), as_dict(alone.ranks), 1e-12)
+    assert close(dict(enumerate(result.deltas)), dict(enumerate(alone.deltas)), 1e-12)
+
+
+@pytest.mark.parametrize("style", ["tsv", "json", "pipe"])
+def test_broken_chain_goes_on_from_the_last_whole_state(spark, tmp_path, ring, monkeypatch, style):
+    folder, rule = str(tmp_path / "chain"), chain.ChainRule(style=style, precision=8)
+    commit = chain.Manifest.commit
+
+    def killed(self, entry):
+        if entry["iteration"] == 4:  # the state is written, its entry isn't
+            raise KeyboardInterrupt
+        commit(self, entry)
+
+    monkeypatch.setattr(chain.Manifest, "commit", killed)
+    with pytest.raises(KeyboardInterrupt):
+        chain.run_chain(ring, folder, rule, epsilon=0.0, max_iter=7)
+    monkeypatch.undo()
+    assert {"state-000003", "state-000004"} <= set(os.listdir(folder))
+    marked = os.path.join(folder, "state-000004", "part-damaged")
+    with open(marked, "w", encoding="utf-8") as out:
+        out.write("half a line")
+    result = chain.run_chain(None, folder, rule, epsilon=0.0, max_iter=7, spark=spark)
+    assert result.iterations == 7 and not os.path.exists(marked)
+    assert [n for n in os.listdir(folder) if n.startswith("state")] == ["state-000007"]
+    whole = run(ring, dangling="drop", precision=8, epsilon=0.0, max_iter=7)
+    assert close(as_dict(result.ranks), as_dict(whole.ranks), 1e-12)
+    assert [r["iteration"] for r in result.history.collect()] == list(range(1, 8))
+    again = chain.run_chain(None, folder, rule, epsilon=0.0, max_iter=7, spark=spark)
+    assert as_dict(again.ranks) == as_dict(result.ranks)
+    with pytest.raises(ValueError, match="begun with"):
+        chain.run_chain(None, folder, chain.ChainRule(damping=0.5), spark=spark)
+    with open(os.path.join(folder, "manifest", "000003.json"), encoding="utf-8") as entry:
+        assert json.loads(entry.read())["iteration"] == 3
+
+
+def test_chain_needs_a_beginning(spark, tmp_path, make_edges):
+    with pytest.raises(ValueError, match="no committed state"):
+        chain.run_chain(None, str(tmp_path / "none"), spark=spark)
+    with pytest.raises(ValueError, match="no nodes"):
+        chain.run_chain(make_edges([]), str(tmp_path / "empty"))

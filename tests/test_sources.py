@@ -8,13 +8,14 @@ from conftest import as_dict
 from pyspark.sql import functions as F
 
 from rankflow import run
-from rankflow.jobs import build_parser, parse_personalization
+from rankflow.functions.text import restart_scores, score_rows
 from rankflow.operators import graph
 from rankflow.session import ensure_checkpoint_dir, scoped_conf
 from rankflow.sources import edges as edge_source
 from rankflow.sources import ranks as rank_source
 from rankflow.sources import runs as run_source
 from rankflow.sources import state as state_source
+from rankflow.sources.files import Files, merge_parts
 from rankflow.sources.paths import to_uri
 
 LINES = [
@@ -208,27 +209,90 @@ def test_run_measurements(spark, tmp_path):
     assert run_source.read_runs(spark, out).count() == 4
 
 
-def test_personalization_arguments():
-    assert parse_personalization(["a=1", " b =2.5", "a=3", "c=d=1"][:3]) == {"a": 3.0, "b": 2.5}
-    assert parse_personalization([]) is None
-    for bad in (["a"], ["c=d=1"]):
+def test_restart_scores():
+    assert restart_scores(["a=1", " b =2.5", "a=3", "=4"]) == {"a": 3.0, "b": 2.5, "": 4.0}
+    assert restart_scores([]) == {}
+    for bad in (["a"], ["a=1", ""], ["a=b=1"], ["a="]):
         with pytest.raises(ValueError):
-            parse_personalization(bad)
-
-
-def test_rank_job(spark, tmp_path, capsys):
-    path = tmp_path / "edges.txt"
-    path.write_text("a\tb\nb\ta\nc\ta\n", encoding="utf-8")
-    out = str(tmp_path / "ranks")
-    options = build_parser().parse_args(["rank", str(path), out, "--personalize", "a=1"])
-    options.run(spark, options)
-    assert "nodes 3" in capsys.readouterr().out
-    assert as_dict(rank_source.read_ranks(spark, out)).keys() == {"a", "b", "c"}
-    empty = tmp_path / "empty.txt"
-    empty.write_text("# nothing\n", encoding="utf-8")
-    options = build_parser().parse_args(["rank", str(empty), out])
-    with pytest.raises(SystemExit):
-        options.run(spark, options)
+            restart_scores(bad)
+
+
+def test_score_lines(spark):
+    lines = spark.createDataFrame([(x,) for x in ("a=1", " b =2.5", "", "a=3", "=4")], "value STRING").coalesce(1)
+    assert {r["node"]: r["score"] for r in score_rows(lines).collect()} == {"a": 3.0, "b": 2.5, "": 4.0}
+    for bad in ("a", "a=b", "a="):
+        with pytest.raises(Exception, match="no score|not a number"):
+            score_rows(spark.createDataFrame([(bad,)], "value STRING")).collect()
+
+
+def test_relation_without_quoting(spark, tmp_path):
+    rows = ['"a\tb"', "# c\t d ", "e\t", "\tf", "g", "", "h\ti\tj", '""\t"', "k\t\tl"]
+    (tmp_path / "r.txt").write_text("\n".join(rows) + "\n", encoding="utf-8")
+    got = [tuple(r) for r in edge_source.read_relation(spark, str(tmp_path / "r.txt")).collect()]
+    assert sorted(got) == sorted([('"a', 'b"'), ("# c", " d "), ("h", "i"), ('""', '"')])
+    three = edge_source.parse_relation(spark.createDataFrame([("a|b||d",)], "value STRING"), ("x", "y", "z"), "|")
+    assert tuple(three.first()) == ("a", "b", None)
+
+
+def test_merged_ranking_is_one_ordered_file(spark, tmp_path):
+    ranks = spark.range(5000).selectExpr("concat('n', id) AS node", "double(id % 700) / 3e3 AS rank").repartition(7)
+    path = str(tmp_path / "ranking.tsv")
+    assert rank_source.write_ranking_file(ranks, path) in ("concat", "append")
+    want = sorted(ranks.collect(), key=lambda r: (-r["rank"], r["node"]))
+    lines = "".join(f"{r['node']}\t{r['rank']:.8f}\n" for r in want)
+    assert (tmp_path / "ranking.tsv").read_bytes() == b"node\trank\n" + lines.encode()
+    assert [n for n in sorted(os.listdir(tmp_path)) if not n.startswith(".")] == ["ranking.tsv"]
+    assert rank_source.read_ranks(spark, path).count() == 5000
+    with pytest.raises(FileExistsError):
+        rank_source.write_ranking_file(ranks, path)
+
+
+def test_merged_parts_keep_their_bytes(spark, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    for name, text in (("part-1", b"b\n"), ("part-0", b"a\r\n\xc3\xa9"), ("part-2", b""), ("_SUCCESS", b"x"), (".part-0.crc", b"y")):
+        (folder / name).write_bytes(text)
+    merge_parts(spark, str(folder), str(tmp_path / "one"))
+    assert (tmp_path / "one").read_bytes() == b"a\r\n\xc3\xa9b\n" and not folder.exists()
+    folder.mkdir()
+    merge_parts(spark, str(folder), str(tmp_path / "none"))
+    assert (tmp_path / "none").read_bytes() == b""
+
+
+class _Concat:
+    """A file system that can join files in place."""
+
+    def __init__(self, real):
+        self.real, self.calls = real, []
+
+    def __getattr__(self, name):
+        return getattr(self.real, name)
+
+    def concat(self, first, rest):
+        self.calls.append([p.getName() for p in rest])
+        with open(first.toUri().getPath(), "ab") as out:
+            for part in rest:
+                with open(part.toUri().getPath(), "rb") as data:
+                    out.write(data.read())
+                os.remove(part.toUri().getPath())
+
+
+def test_file_systems_that_join_in_place(spark, tmp_path):
+    for name in ("p0", "p1", "p2"):
+        (tmp_path / name).write_bytes(name.encode())
+    files = Files(spark, str(tmp_path))
+    files._system = _Concat(files._system)
+    assert files.joined([str(tmp_path / n) for n in ("p0", "p1", "p2")], str(tmp_path / "all")) == "concat"
+    assert files._system.calls == [["p1", "p2"]]
+    assert (tmp_path / "all").read_bytes() == b"p0p1p2"
+
+
+def test_merged_state_file(spark, tmp_path):
+    rows = [(f"n{i:03d}", i / 64, [f"n{i + 1:03d}"]) for i in range(300)]
+    state = spark.createDataFrame(rows, "node STRING, rank DOUBLE, neighbors ARRAY<STRING>").repartition(5)
+    state_source.write_state_file(state, str(tmp_path / "state"), "tsv")
+    back = state_source.read_state(spark, str(tmp_path / "state"), "tsv")
+    assert [r["node"] for r in back.collect()] == [r[0] for r in rows]
 
 
 class _Context:

@@ -10,7 +10,7 @@ from rankflow.sources import edges as edge_source
 def test_scale_free_shape(spark):
     edges = synth.generate(spark, 3000, remove_dangling=False).cache()
     count = edges.count()
-    assert 0.97 * 3 * (3000 - 3) < count <= 3 * (3000 - 3)
+    assert count == 3 * (3000 - 3)
     assert edges.where(F.col("src").cast("int") >= F.col("dst").cast("int")).isEmpty()
     assert edges.distinct().count() == count
     assert graph.node_set(edges).count() == 3000
@@ -19,6 +19,14 @@ def test_scale_free_shape(spark):
     assert top > 60 and smallest >= 1  # heavy tail: the mean degree is 6
 
 
+@pytest.mark.parametrize(("nodes", "m"), [(2, 1), (9, 4), (60, 12), (700, 5)])
+def test_every_node_has_m_different_targets(spark, nodes, m):
+    edges = synth.scale_free_edges(spark.range(nodes), nodes, m)
+    found = [(int(r["src"]), int(r["dst"])) for r in edges.collect()]
+    assert len(set(found)) == len(found) == m * (nodes - m)
+    assert all(s < d and d >= m for s, d in found)
+
+
 def test_generation_depends_on_the_seed_only(spark):
     first = sorted(map(tuple, synth.generate(spark, 300, seed=1).collect()))
     assert first == sorted(map(tuple, synth.generate(spark, 300, seed=1).repartition(3).collect()))
