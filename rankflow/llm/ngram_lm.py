@@ -1,17 +1,23 @@
 """Language-model scores from an Elias-Fano n-gram trie spread over the cluster.
 
-Word counts, word ids and pair counts each live in shards. A block of documents
-learns the ids and counts of its own words, sends every distinct pair of neighbouring words
-once, with its count in training, to the shard of the pair's context, and gets back one log
-probability for each; which documents hold a pair, and how often, stays with the block. A shard
-builds a trie of its training pairs and looks up all pairs it was
-sent. Contexts so frequent that one would outgrow a shard are spread by the word that
-follows; all that a shard needs besides (the counts of both words) comes with the pair.
-
-Probabilities: p(w) = (c(w) + 1) / (N + V + 1), and p(w | v) = (c(v w) + m p(w)) /
-(c(v) + m) with m = PRIOR_SHARE c(v) + PRIOR, Bayesian smoothing towards p(w) with a
-prior that grows with the context (of a dozen priors tried, the best on held-out text). No count is pruned or capped. Logarithms are stored in
-fixed steps, so scores don't depend on how documents and pairs are spread.
+Word counts, word ids and the counts of each level of n-grams live in shards. A block of documents
+learns the ids and counts of its own words. Then, level by level, it sends every distinct n-gram
+once, with its count in training, to the shard of the n-gram's context (all but its last word), and
+gets back for each the count of the whole corpus, the step of its value in the trie and an id that
+names it as a context of the next level; which documents hold an n-gram, and how often, stays with
+the block, which finds its n-grams in the same order each time. A shard builds a trie of its
+training n-grams and looks up all n-grams it was sent. Contexts so frequent that one would outgrow
+a shard are spread by the word that follows; all that a shard needs besides (the count of the
+context, the value of the n-gram without its first word) comes with the n-gram. From level 3 on
+many n-grams can stand in no other block, held out or not, for their context or what is left without
+their first word doesn't. These the block looks up in a trie of its own.
+
+Probabilities: p(w) = (c(w) + 1) / (N + V + 1), and with a context h, and h' without its first
+word, p(w | h) = (c(h w) + m p(w | h')) / (c(h) + m) with m = PRIOR_SHARE c(h) + PRIOR, Bayesian
+smoothing towards the shorter context with a prior that grows with the context (of a dozen priors
+tried for pairs, the best on held-out text). A context without training places leaves the shorter
+one's probability. No count is pruned or capped. Logarithms are stored in
+fixed steps, so scores don't depend on how documents and n-grams are spread.
 """
 
 from __future__ import annotations
@@ -22,13 +28,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from rankflow.llm.common import mix64, sums_by_row
+from rankflow.llm.common import cut, mix64
 from rankflow.llm.elias_fano import Codebook, Levels, Trie
 from rankflow.llm.packets import answer, binary, freeze, pack, send, settle, shard_count, strings, thaw
 
 PRIOR_SHARE, PRIOR = 2.0, 2.0
-#: Small blocks: a block's pairs are held as a dozen arrays of 8 bytes a word.
+#: Words of the longest n-grams.
+ORDER = 3
+#: Small blocks: a block's n-grams are held as two dozen arrays of 8 bytes a word.
 BLOCK_BYTES, SHARD_BYTES = 5 << 20, 16 << 20
 #: Stands for the end of a text; no word holds a line feed.
 END = b"\n"
@@ -40,6 +49,15 @@ def prior(context_count: np.ndarray) -> np.ndarray:
     return PRIOR_SHARE * context_count + PRIOR
 
 
+def _weight(context_count: np.ndarray) -> np.ndarray:
+    """log10 of what the probability under the shorter context counts for if the n-gram isn't in training."""
+    return np.log10(prior(context_count) / (context_count + prior(context_count)))
+
+
+def _steps(values: np.ndarray) -> np.ndarray:
+    return np.rint(-values / Codebook.STEP).astype(np.int64)
+
+
 def in_training(doc_id: int | None, folds: int, fold: int) -> bool:
     """Documents of one fold by the CRC of the id as text are held out; a null id counts as empty text."""
     return zlib.crc32(b"" if doc_id is None else b"%d" % doc_id) % folds != fold
@@ -101,138 +119,224 @@ def _number(messages: list[dict]) -> Iterator[bytes]:
         yield freeze(rank=rank[own], count=counts[own].astype(np.uint64), totals=totals)
 
 
-def _pairs(shards: int, folds: int, fold: int):
-    """Per block: what the documents sum up to without pairs, and the pairs for every shard."""
+def _looked_up(context: np.ndarray, word: np.ndarray, trained: np.ndarray, seen: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """Steps of distinct n-grams, in order of context and word (under 2 ** 32): of log10 p, or of the context's weight.
 
-    def work(table: pa.Table, replies: dict[int, dict]) -> pa.Table:
-        words, index, counts = tokens(table)
+    Builds the trie of those with places in training (``trained``). ``seen``: counts of the contexts,
+    ``lower``: probabilities of the word under the shorter context.
+    """
+    own = trained > 0
+    value = np.log10((trained + prior(seen) * lower) / (seen + prior(seen)))[own]
+    weight = _weight(seen)
+    trie = Trie(context[own], word[own], value, weight[own])
+    known, back_off, found, value = trie.find(context, word)
+    # a context without an n-gram here may have one elsewhere: the step that stands for its weight is the same
+    elsewhere = Codebook(weight, Levels()).get(np.arange(len(weight)))
+    return _steps(np.where(found, value, np.where(known, back_off, elsewhere)))
+
+
+class _Block:
+    """What a block of documents knows about its tokens, level by level.
+
+    For every token: ``log``, log10 of its probability under the longest context so far, and
+    ``slot``, the number of the n-gram that ends there (-1 if it can't be in training). For every
+    n-gram: its count in training (``seen``), the step of its value (``code``), whether it stands in
+    no other block (``only``) and, if a shard holds it, its id as a context (``ids``).
+    """
+
+    def __init__(self, table: pa.Table, replies: dict[int, dict], shards: int, folds: int, fold: int):
+        self.replies, self.shards = replies, shards
+        words, self.index, self.counts = tokens(table)
         order, _ = _home(words, shards)
-        rank, count = np.empty(len(words), dtype=np.int64), np.empty(len(words), dtype=np.int64)
-        rank[order] = np.concatenate([replies[s]["rank"] for s in sorted(replies)])
-        count[order] = np.concatenate([replies[s]["count"] for s in sorted(replies)]).astype(np.int64)
-        home = np.empty(len(words), dtype=np.int64)
-        home[order] = np.repeat(sorted(replies), [len(replies[s]["rank"]) for s in sorted(replies)])
-        total, kinds = np.sum([replies[s]["totals"] for s in sorted(replies)], axis=0)
+        listed = [replies[s] for s in range(shards)]
+        rank, count, home = (np.empty(len(words), dtype=np.int64) for _ in range(3))
+        rank[order] = np.concatenate([m["rank"] for m in listed])
+        count[order] = np.concatenate([m["count"] for m in listed]).astype(np.int64)
+        home[order] = np.repeat(np.arange(shards), [len(m["rank"]) for m in listed])
+        self.total, kinds = np.sum([m["totals"] for m in listed], axis=0)
+        self.norm = self.total + kinds + 1
         ids = np.where(rank < 0, UNKNOWN_ID, FIRST_ID + rank * shards + home)
-
-        rows = np.repeat(np.arange(len(counts)), counts)
-        trained = _training(table, folds, fold)
-        begins = np.cumsum(counts) - counts
-        w, cw = ids[index], count[index]
-        v, cv = np.roll(w, 1), np.roll(cw, 1)
-        end_count = int(count[words.index(pa.scalar(END, pa.binary())).as_py()])
-        v[begins], cv[begins] = BEGIN_ID, end_count  # as many begins as ends
-        plain = np.log10((cw + 1) / (total + kinds + 1))
-        base = np.bincount(rows, plain, len(counts))
-        alone = (cv == 0) | (cw == 0)  # no training pair can hold these
-        near = np.where(cv == 0, 0.0, np.log10(prior(cv) / (cv + prior(cv)))) + plain
-        partial = np.bincount(rows[alone], near[alone], len(counts))
-        known = np.bincount(rows, cw > 0, len(counts)).astype(np.int64)
-        sent = np.nonzero(~alone)[0]
-        v, w, cv, cw, rows = v[sent], w[sent], cv[sent], cw[sent], rows[sent]
-        spread = mix64(v) + np.where(cv * 2 * shards > total, mix64(w), np.uint64(0))
-        home = mix64(spread) % np.uint64(shards)
-        order = np.lexsort((w, v, home))
-        new = np.append(True, (np.diff(v[order]) != 0) | (np.diff(w[order]) != 0))[: len(order)]  # a pair has one home
-        slots = np.empty(len(order), dtype=np.int64)
+        self.in_training = _training(table, folds, fold)
+        self.trained = np.repeat(self.in_training, self.counts)
+        self.begins = np.cumsum(self.counts) - self.counts
+        self.w, self.cw = ids[self.index], count[self.index]
+        self.base = np.log10((self.cw + 1) / self.norm)
+        self.end_count = int(count[words.index(pa.scalar(END, pa.binary())).as_py()])
+        self.level = 1
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        return np.bincount(np.repeat(np.arange(len(self.counts)), self.counts), values, len(self.counts))
+
+    def rise(self) -> None:
+        """On to the n-grams of the next level: which there are, and whose shards they are."""
+        self.level += 1
+        places, context, ccount, lower = self._pairs() if self.level == 2 else self._longer()
+        w = self.w[places]
+        spread = mix64(context) + np.where(ccount * 2 * self.shards > self.total, mix64(w), np.uint64(0))
+        home = mix64(spread) % np.uint64(self.shards)
+        order = np.lexsort((w, context, home))
+        new = np.append(True, (np.diff(context[order]) != 0) | (np.diff(w[order]) != 0))[: len(order)]  # an n-gram has one home
+        first, slots = order[new], np.empty(len(order), dtype=np.int64)
         slots[order] = np.cumsum(new) - 1
-        often = np.bincount(slots[trained[rows]], minlength=int(new.sum()))
-        first = order[new]
-        ends = np.searchsorted(home[first], np.arange(shards + 1))
-        state = freeze(
-            doc_id=np.array([i or 0 for i in table["doc_id"].to_pylist()], dtype=np.int64),
-            no_id=np.array([i is None for i in table["doc_id"].to_pylist()], dtype=np.uint8),
-            trained=trained.astype(np.uint8), counts=counts, known=known, base=base, partial=partial, total=np.array([total]),
-            slots=slots.astype(np.uint32), held=np.bincount(rows, minlength=len(counts)).astype(np.uint32),
-        )
-        listed = [(-1, state)]
-        for shard in range(shards):
-            own = first[ends[shard] : ends[shard + 1]]
-            if len(own):
-                seen = often[ends[shard] : ends[shard + 1]]
-                listed.append((shard, _message(v[own], w[own], cv[own], cw[own], seen, total + kinds + 1)))
+        self.often = np.bincount(slots[self.trained[places]], minlength=len(first))
+        self.ends = np.searchsorted(home[first], np.arange(self.shards + 1))
+        self.slot = np.full(len(self.w), -1, dtype=np.int64)
+        self.slot[places] = slots
+        self.asked = (context[first], w[first], ccount[first], lower[first])
+
+    def _pairs(self) -> tuple[np.ndarray, ...]:
+        """Tokens whose pair may be in training; its context, the context's count, the count of the word."""
+        v, cv = np.roll(self.w, 1), np.roll(self.cw, 1)
+        v[self.begins], cv[self.begins] = BEGIN_ID, self.end_count  # as many begins as ends
+        places = np.nonzero((cv > 0) & (self.cw > 0))[0]
+        self.log = np.where(cv > 0, _weight(cv), 0.0) + self.base
+        self.short, self.own, self.own_slots = self.base, None, None
+        return places, v[places], cv[places], self.cw[places]
+
+    def _longer(self) -> tuple[np.ndarray, ...]:
+        """Tokens whose n-gram may be in training, here and elsewhere; its context, that one's count, the shorter n-gram's step."""
+        front = np.roll(self.slot, 1)
+        front[self.begins] = -1  # no context begins before the text
+        known = np.nonzero(front >= 0)[0]
+        known = known[self.seen[front[known]] > 0]
+        there = self.slot[known] >= 0
+        there[there] = self.seen[self.slot[known[there]]] > 0
+        less = known[~there]  # without their first word they aren't in training either
+        self.short = self.log
+        self.log = self.log.copy()
+        self.log[less] -= _steps(_weight(self.seen[front[less]])) * Codebook.STEP
+        places = known[there]
+        front, back = front[places], self.slot[places]
+        here = self.only[front] | self.only[back]
+        self.own = places[here]
+        keys = front[here] << 32 | (self.index[self.own] + 1)
+        keys, at, self.own_slots = np.unique(keys, return_index=True, return_inverse=True)
+        often = np.bincount(self.own_slots[self.trained[self.own]], minlength=len(keys))
+        lower = 10.0 ** (self.code[back[here][at]] * -Codebook.STEP)
+        self.own_facts = (_looked_up(keys >> 32, keys & 0xFFFFFFFF, often, self.seen[front[here][at]], lower), often)
+        front, back = front[~here], back[~here]
+        return places[~here], self.ids[front], self.seen[front], self.code[back]
+
+    def messages(self) -> Iterator[tuple[int, bytes]]:
+        context, w, ccount, lower = self.asked
+        for shard in range(self.shards):
+            own = slice(self.ends[shard], self.ends[shard + 1])
+            if own.start < own.stop:
+                base = {"cw": lower[own].astype(np.uint64), "norm": np.array([self.norm])} if self.level == 2 else {"lower": lower[own].astype(np.uint16)}
+                yield shard, _message(context[own], w[own], ccount[own], self.often[own], base)
+
+    def learn(self) -> None:
+        """Take in what the shards have told about the n-grams of this level."""
+        homes = np.nonzero(np.diff(self.ends))[0].tolist()
+        told = [self.replies[(self.level - 1) * self.shards + s] for s in homes]
+        none = np.zeros(0, dtype=np.int64)
+        self.code, self.seen = (np.concatenate([none, *[m[k].astype(np.int64) for m in told]]) for k in ("code", "seen"))
+        self.only = np.concatenate([none, *[m["only"] for m in told]]).astype(bool)
+        at = np.concatenate([none, *[np.cumsum(m["at"], dtype=np.int64) for m in told]])
+        self.ids = at * self.shards + np.repeat(np.arange(self.shards), np.diff(self.ends))
+        if self.own is not None:  # numbered behind the others; no shard is asked about longer n-grams of theirs
+            self.slot[self.own] = len(self.code) + self.own_slots
+            code, often = self.own_facts
+            self.code, self.seen = np.append(self.code, code), np.append(self.seen, often)
+            self.only = np.append(self.only, np.ones(len(code), dtype=bool))
+            self.ids = np.append(self.ids, np.zeros(len(code), dtype=np.int64))
+        held = np.nonzero(self.slot >= 0)[0]
+        slot = self.slot[held]
+        self.log[held] = self.code[slot] * -Codebook.STEP + np.where(self.seen[slot] > 0, 0.0, self.short[held])
+
+
+def _ask(level: int, shards: int, folds: int, fold: int):
+    """Per block: the n-grams of a level, for every shard."""
+
+    def work(table: pa.Table, replies: dict[int, dict]) -> pa.Table:
+        block = _Block(table, replies, shards, folds, fold)
+        block.rise()
+        for _ in range(2, level):
+            block.learn()
+            block.rise()
+        listed = list(block.messages())
         return pa.table({"shard": pa.array([s for s, _ in listed], pa.int32()), "payload": pa.array([p for _, p in listed], pa.binary())})
 
     return work
 
 
-def _message(v, w, cv, cw, trained, norm) -> bytes:
-    """Distinct pairs in order: their distinct words with counts, the contexts, the counts in training."""
+def _message(v, w, cv, trained, base: dict[str, np.ndarray]) -> bytes:
+    """Distinct n-grams in order: their distinct words, the contexts with counts, the counts in training; the
+    counts of the words, or for each n-gram the step of the one without its first word."""
     found, at = np.unique(w, return_index=True)
     first = np.nonzero(np.append(True, np.diff(v) != 0))[0]
+    if "cw" in base:
+        base = {**base, "cw": base["cw"][at]}
     return freeze(
-        w=np.diff(found, prepend=0), cw=cw[at].astype(np.uint64),
+        w=np.diff(found, prepend=0),
         v=np.diff(v[first], prepend=0), cv=cv[first].astype(np.uint64),
         under=np.diff(np.append(first, len(v))).astype(np.uint32),
         word=np.searchsorted(found, w).astype(np.uint32),
-        trained=trained.astype(np.uint32), norm=np.array([norm]),
+        trained=trained.astype(np.uint32), **base,
     )
 
 
 def _score(messages: list[dict]) -> Iterator[bytes]:
-    """Build the trie of a shard from all training pairs in it; log10 p of each pair of each message."""
-    if "doc_id" in messages[0]:  # what blocks keep goes on as it is
-        yield from (freeze(**m) for m in messages)
-        return
+    """Build the trie of a shard from all training n-grams in it. Of each n-gram of each message: step, count, whether no other block asks, number."""
     # words and contexts are numbered anew within the shard, so that two numbers fit into one
     contexts, v = np.unique(np.concatenate([np.repeat(np.cumsum(m["v"]), m["under"]) for m in messages]), return_inverse=True)
     words, w = np.unique(np.concatenate([np.cumsum(m["w"])[m["word"]] for m in messages]), return_inverse=True)
     keys = (v << 32 | (w + 1)).view(np.uint64)
     del v, w, contexts, words
-    pairs, at, back = np.unique(keys, return_index=True, return_inverse=True)
+    grams, at, back = np.unique(keys, return_index=True, return_inverse=True)
     del keys
-    trained = np.bincount(back, np.concatenate([m["trained"] for m in messages]), len(pairs))
+    trained = np.bincount(back, np.concatenate([m["trained"] for m in messages]), len(grams))
     cv = np.concatenate([np.repeat(m["cv"], m["under"]) for m in messages])[at].astype(np.float64)
-    cw = np.concatenate([m["cw"][m["word"]] for m in messages])[at]
-    plain = (cw + 1) / float(messages[0]["norm"][0])
-    context, word = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    own = trained > 0
-    smooth = np.log10((trained + prior(cv) * plain) / (cv + prior(cv)))[own]
-    weight = np.log10(prior(cv) / (cv + prior(cv)))
-    trie = Trie(context[own], word[own], smooth, weight[own])
-    known, back_off, seen, value = trie.find(context, word)
-    # a context without a pair here may have one elsewhere: the step that stands for its weight is the same
-    log = np.where(seen, value, np.where(known, back_off, Codebook(weight, Levels()).get(np.arange(len(weight)))) + np.log10(plain))
+    if "cw" in messages[0]:
+        lower = (np.concatenate([m["cw"][m["word"]] for m in messages])[at] + 1) / float(messages[0]["norm"][0])
+    else:
+        lower = 10.0 ** (np.concatenate([m["lower"] for m in messages])[at] * -Codebook.STEP)
+    context, word = (grams >> np.uint64(32)).astype(np.int64), (grams & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    code = _looked_up(context, word, trained, cv, lower).astype(np.uint16)
+    seen, only = trained.astype(np.uint32), (np.bincount(back, minlength=len(grams)) == 1).astype(np.uint8)  # a block asks once
+    del grams, at, cv, lower, context, word, trained
     start = 0
     for m in messages:
-        yield freeze(log=log[back[start : start + len(m["word"])]])
+        own = back[start : start + len(m["word"])]
         start += len(m["word"])
+        yield freeze(code=code[own], seen=seen[own], only=only[own], at=np.diff(own, prepend=0).astype(np.uint32))
+
+
+def _sum(shards: int, folds: int, fold: int, order: int):
+    def work(table: pa.Table, replies: dict[int, dict]) -> pa.Table:
+        block = _Block(table, replies, shards, folds, fold)
+        for _ in range(2, order + 1):
+            block.rise()
+            block.learn()
+        return pa.table({
+            "doc_id": table["doc_id"],
+            "held_out": ~block.in_training,
+            "n_tokens": block.counts, "n_known": block.sums(block.cw > 0).astype(np.int64),
+            "train_tokens": np.full(len(table), int(block.total), dtype=np.int64),
+            "base_score": block.sums(block.base), "score": block.sums(block.log),
+        })
+
+    return work
 
 
-def _sum(table: pa.Table) -> pa.Table:
-    own, parts = None, []
-    for payload in table.sort_by("shard")["payload"]:
-        message = thaw(payload.as_buffer())
-        if "doc_id" in message:
-            own = message
-        else:
-            parts.append(message["log"])
-    # shards answer in the order in which the block numbered its pairs
-    log = np.concatenate([*parts, np.zeros(0)])[own["slots"].astype(np.int64)]
-    held = np.concatenate([[0], np.cumsum(own["held"].astype(np.int64))])
-    score = own["partial"].astype(np.float64) + sums_by_row(log, held)
-    return pa.table({
-        "doc_id": pa.array(own["doc_id"], mask=own["no_id"].astype(bool)),
-        "held_out": pa.array(own["trained"] == 0),
-        "n_tokens": own["counts"], "n_known": own["known"],
-        "train_tokens": np.full(len(score), int(own["total"][0]), dtype=np.int64),
-        "base_score": own["base"], "score": score,
-    })
-
-
-def score(docs: DataFrame, folds: int = 7, fold: int = 2) -> DataFrame:
+def score(docs: DataFrame, folds: int = 7, fold: int = 2, order: int = 2) -> DataFrame:
     """Score every text of ``docs`` (doc_id, text, any others) under a model of those in training.
 
-    Rows whose crc32(doc_id as text) mod ``folds`` is ``fold`` are held out. Returns
-    doc_id, held_out, n_tokens, n_known, train_tokens, base_score (single words) and score (pairs,
-    log10). Null and empty texts hold the end alone. Repeated rows count and are scored one by one;
+    Rows whose crc32(doc_id as text) mod ``folds`` is ``fold`` are held out. The model knows n-grams of up to
+    ``order`` words (2 or more), the begin of a text counted as one. Returns
+    doc_id, held_out, n_tokens, n_known, train_tokens, base_score (single words) and score
+    (log10). Null and empty texts hold the end alone. Repeated rows count and are scored one by one;
     a null id is in training; without training rows every token is unknown; an empty
     table gives no rows.
     """
+    if order < 2:
+        raise ValueError("an n-gram has a context of one word at least")
     blocks, weight = pack(docs, BLOCK_BYTES)
     shards = shard_count(weight, SHARD_BYTES)
-    numbered = answer(send(blocks, _count(shards, folds, fold)), _number)
-    pairs = settle(blocks, numbered, _pairs(shards, folds, fold), "shard int, payload binary", with_block=True)
-    # the plain sums of a block go to a shard of their own kind, as many of them as of the others
-    spread = pairs.selectExpr("block", f"if(shard < 0, -1 - cast(pmod(xxhash64(block), {shards}) as int), shard) as shard", "payload")
-    return answer(spread, _score).groupBy("block").applyInArrow(_sum, RESULT)
+    replies = cut(answer(send(blocks, _count(shards, folds, fold)), _number))
+    for level in range(2, order + 1):  # answers of a level are numbered behind those of the levels below
+        asked = settle(blocks, replies, _ask(level, shards, folds, fold), "shard int, payload binary", with_block=True)
+        told = answer(asked, _score)
+        told = cut(told) if level < order else told
+        replies = replies.unionByName(told.withColumn("shard", F.col("shard") + F.lit((level - 1) * shards)))
+    return settle(blocks, replies, _sum(shards, folds, fold, order), RESULT)

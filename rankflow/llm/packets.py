@@ -88,6 +88,8 @@ def _blocks(size: int, extra: list[str]) -> Callable:
                     held, weight = [], 0
         if held:
             yield write(held, weight)
+        del held
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -133,6 +135,7 @@ def send(blocks: DataFrame, work: Callable[[pa.Table], Iterator[tuple[int, bytes
                         [pa.array([block], pa.int64()), pa.array([shard], pa.int32()), pa.array([message], pa.binary())],
                         ["block", "shard", "payload"],
                     )
+        pa.default_memory_pool().release_unused()
 
     return blocks.select("block", "payload").mapInArrow(run, MESSAGE)
 
@@ -145,6 +148,7 @@ def answer(messages: DataFrame, work: Callable[[list[dict]], Iterator[bytes]]) -
         payloads = table["payload"]  # read in place, for a sorted copy would hold them twice
         replies = list(work([thaw(payloads[int(at)].as_buffer()) for at in order]))
         blocks, shards = table["block"].take(order), table["shard"].take(order)
+        pa.default_memory_pool().release_unused()  # a worker that waits for its next task keeps little
         return pa.table({"block": blocks, "shard": shards, "payload": pa.array(replies, pa.binary())})
 
     return messages.groupBy("shard").applyInArrow(run, MESSAGE)
@@ -162,6 +166,7 @@ def settle(
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         replies = {s: thaw(p.as_buffer()) for s, p in zip(right["shard"].to_pylist(), right["payload"], strict=True)}
         rows = work(unpack(left["payload"][0].as_buffer()), replies)
+        pa.default_memory_pool().release_unused()
         if with_block:
             rows = rows.add_column(0, "block", pa.array([left["block"][0].as_py()] * len(rows), pa.int64()))
         return rows

@@ -59,7 +59,7 @@ def op4_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
-    return ngram_lm.score(table(spark, folder, "documents"))
+    return ngram_lm.score(table(spark, folder, "documents"), order=ngram_lm.ORDER)
 
 
 def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:

@@ -15,6 +15,7 @@ import sentencepiece
 import xxhash
 
 from rankflow.llm import chat, decontaminate, license_scan, lpf_dedup, ngram_lm, quality, sentencepiece_codec, sharding, simhash, toxicity
+from rankflow.llm import queries as llm_queries
 from rankflow.llm.elias_fano import EliasFano, Levels, Trie
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -509,3 +510,62 @@ def test_quality_fences_follow_their_group(spark):
     assert [found[i]["kept"] for i in (900, 901)] == [True, False]
     assert found[903]["repeat_rate"] < 300 and not found[903]["base_failed"] and not found[903]["kept"]
     assert found[902]["kept"]  # where a thirtieth repeats a quarter of its words, a fifth is no outlier
+
+
+def longer_model(rows: list[tuple], order: int) -> dict:
+    """n_tokens and score of each row by its key (id or -1, text), by brute force over n-grams of up to ``order`` words."""
+    held = [zlib.crc32(b"" if r[0] is None else b"%d" % r[0]) % 7 == 2 for r in rows]
+    texts = [[b"", *words(r[1]), b"\n"] for r in rows]
+    grams = Counter()
+    for text, out in zip(texts, held, strict=True):
+        if not out:
+            grams.update(tuple(text[i : i + n]) for n in range(1, order + 1) for i in range(len(text) - n + 1))
+    single = {g: c for g, c in grams.items() if len(g) == 1 and g != (b"",)}
+    norm = sum(single.values()) + len(single) + 1
+
+    def p(gram: tuple) -> float:
+        if len(gram) == 1:
+            return (grams[gram] + 1) / norm
+        c = grams[gram[:-1]]
+        return (grams[gram] + (2 * c + 2) * p(gram[1:])) / (3 * c + 2) if c else p(gram[1:])
+
+    return {
+        (-1 if r[0] is None else r[0], r[1]): (len(text) - 1, sum(math.log10(p(tuple(text[max(0, i - order + 1) : i + 1]))) for i in range(1, len(text))))
+        for r, text in zip(rows, texts, strict=True)
+    }
+
+
+def longer_rows() -> list[tuple]:
+    rng = random.Random(8)
+    lines = [" ".join(f"w{rng.randint(0, 25)}" for _ in range(rng.randint(1, 12))) for _ in range(40)]
+    return [(2000 + i, " ".join(rng.choice(lines) for _ in range(6)), "en", "s", 0, 0, "", 0) for i in range(90)]
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_scores_follow_longer_contexts(spark, odd, monkeypatch, order):
+    """N-grams of every level, in one block and shard and in many, against brute force."""
+    rows = [*odd_rows(), *longer_rows()]
+    docs = odd.unionByName(spark.createDataFrame(longer_rows(), SCHEMA))
+    want = sorted((i, *v) for (i, _), v in ((k, v) for k, v in longer_model(rows, order).items()) if i >= 2000)
+    for blocks, shards, parts in ((None, None, 3), (3_000, 8_000, 5)):
+        if blocks:
+            monkeypatch.setattr(ngram_lm, "BLOCK_BYTES", blocks)
+            monkeypatch.setattr(ngram_lm, "SHARD_BYTES", shards)
+        found = ngram_lm.score(docs.repartition(parts), order=order).collect()
+        got = sorted((r["doc_id"], r["n_tokens"], r["score"]) for r in found if (r["doc_id"] or 0) >= 2000)
+        assert len(found) == len(rows) and [r[:2] for r in got] == [r[:2] for r in want]
+        # a step is at most 1/4096 off, once a level and token
+        assert all(abs(a[2] - b[2]) < a[1] * order / 4000 for a, b in zip(got, want, strict=True))
+
+
+def test_op5_models_more_than_pairs(spark, tmp_path):
+    """The query's score is that of words under two words before them."""
+    rows = longer_rows()
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    three, two = longer_model(rows, 3), longer_model(rows, 2)
+    texts = {r[0]: r[1] for r in rows}
+    found = llm_queries.op5_lm_scoring(spark, str(tmp_path)).collect()
+    for r in found:
+        n, score = three[r["doc_id"], texts[r["doc_id"]]]
+        assert r["n_tokens"] == n and abs(r["score"] - score) < n * 3 / 4000
+    assert abs(sum(r["score"] for r in found) - sum(v[1] for v in two.values())) > 50
