@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankflow.llm import decontaminate, lpf_dedup, quality, sentencepiece_codec, simhash
-from rankflow.llm.common import cut
+from rankflow.llm.common import store
 from rankflow.session import shared_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -32,7 +32,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates keep one row, of the smallest id."""
     docs = _keyed(docs)
-    chosen = cut(simhash.representatives(docs, "key"))
+    chosen = store(simhash.representatives(docs, "key"))
     single = docs.join(chosen.where("n_rows = 1"), "key", "left_semi")
     # rows that are the same in all columns: any one of them
     several = docs.join(chosen.where("n_rows > 1"), "key", "left_semi").dropDuplicates(["key"])

@@ -18,6 +18,8 @@ NON_WORD = r"[\x20\x09-\x0D]+"
 
 #: A key with more than total / HOT_SHARE rows is hot; there can be at most HOT_SHARE such keys.
 HOT_SHARE = 1000
+#: Rows of a file of ``store``, unless there are fewer files than tasks at a time.
+FILE_ROWS = 1 << 16
 
 
 def cut(frame: DataFrame) -> DataFrame:
@@ -26,6 +28,20 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def store(frame: DataFrame) -> DataFrame:
+    """Like ``cut``, in as few files as the rows need.
+
+    A step of many small partitions would write as many tiny files, and a file system that sets
+    rights by a command starts one or two processes for each.
+    """
+    ensure_checkpoint_dir(frame.sparkSession)
+    held = frame.persist()
+    files = max(frame.sparkSession.sparkContext.defaultParallelism, -(-held.count() // FILE_ROWS))
+    stored = held.coalesce(files).checkpoint()  # leaves fewer partitions as they are
+    held.unpersist()
+    return stored
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z only; other letters stay."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

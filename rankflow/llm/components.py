@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankflow.llm.common import cut
+from rankflow.llm.common import store
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -42,10 +42,10 @@ def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
     ``edges``: columns a < b; ``nodes``: node, lead. No links, no rows.
     """
-    edges = cut(edges)
+    edges = store(edges)
     before = _state(edges)
     while before[0]:
-        edges = cut(_star(_star(edges, large=True), large=False))
+        edges = store(_star(_star(edges, large=True), large=False))
         after = _state(edges)
         if after == before:
             break

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankflow.llm.common import cut, join_hot, raw_texts, slices
+from rankflow.llm.common import join_hot, raw_texts, slices, store
 from rankflow.llm.components import components
 
 SHINGLE = 3
@@ -75,6 +75,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             ids = part["doc_id"].cast(pa.int64())
             own = {c: part[c] for c in part.schema.names if c not in ("doc_id", "text")}
             yield pa.RecordBatch.from_pydict({"doc_id": ids, "fp": pa.array(found.view(np.int64)), **own})
+    pa.default_memory_pool().release_unused()  # a worker that waits for its next task keeps little
 
 
 def _rotated(fp: Column, quarter: int) -> Column:
@@ -100,7 +101,7 @@ def _spot_links(prints: DataFrame) -> DataFrame:
     spots = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.expr(f"shiftleft(1L, {i})")) for i in range(BITS)])
     met = prints.select("fp", F.explode(spots).alias("spot")).groupBy("spot")
     pairs = met.agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a < b")
-    return cut(pairs.select("a", "b").distinct())
+    return store(pairs.select("a", "b").distinct())
 
 
 def _labels(links: DataFrame) -> DataFrame:
@@ -109,7 +110,7 @@ def _labels(links: DataFrame) -> DataFrame:
     for _ in range(JUMPS):
         above = hung.select(F.col("fp").alias("comp"), F.col("comp").alias("next"))
         hung = hung.join(above, "comp", "left").select("fp", F.coalesce("next", "comp").alias("comp"))
-    return cut(hung)
+    return store(hung)
 
 
 def _named(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -146,7 +147,7 @@ def _compared(pairs: DataFrame, nodes: DataFrame, budget: int) -> DataFrame:
     found = nodes.select(
         "quarter", "parent", F.col("path").alias("d"), F.col("only").alias("d_only"), F.col("great").alias("d_great")
     )
-    asking = cut(_asking(pairs, nodes))
+    asking = store(_asking(pairs, nodes))
     few = F.col("kids") <= _by_rest(budget, lambda rest: F.lit(len(_masks(rest))))
     own = ("quarter", "c", "only", "c_great")
     all_kids = asking.where(few).join(found.withColumnRenamed("parent", "q"), ["quarter", "q"])
@@ -165,7 +166,7 @@ def _descend(pairs: DataFrame, nodes: DataFrame, budget: int) -> DataFrame:
     met = _compared(pairs, nodes, budget)
     met = met.where(F.col("only").isNull() | F.col("d_only").isNull() | (F.col("only") != F.col("d_only")))
     ends = (F.least("c", "d").alias("p"), F.greatest("c", "d").alias("q"))
-    return cut(met.select("quarter", *ends, "diff", F.greatest("c_great", "d_great").alias("great")).distinct())
+    return store(met.select("quarter", *ends, "diff", F.greatest("c_great", "d_great").alias("great")).distinct())
 
 
 def _walked(contracted: DataFrame) -> DataFrame:
@@ -177,7 +178,7 @@ def _walked(contracted: DataFrame) -> DataFrame:
         paths = [F.shiftrightunsigned(key, BITS - STEP * d).alias(f"p{d}") for d in range(1, QUARTERS)]
         turns.append(F.struct(F.lit(quarter).alias("quarter"), *paths, key.alias(f"p{QUARTERS}")))
     trie = contracted.join(sizes, "comp").select("comp", "size", F.explode(F.array(*turns)).alias("t"))
-    trie = cut(trie.select("comp", "size", "t.*"))
+    trie = store(trie.select("comp", "size", "t.*"))
     # the first quarter has no budget: there a node is paired with itself alone
     top = trie.groupBy("quarter", F.col("p1").alias("p")).agg(
         F.min("comp").alias("least"), F.max("comp").alias("most"), F.max(F.struct("size", "comp")).alias("great")
@@ -198,8 +199,8 @@ def linked(prints: DataFrame) -> DataFrame:
     """fp, comp: components of the distinct fingerprints in column fp over links of 3 bits or fewer."""
     close = _spot_links(prints)
     labels = _labels(close)
-    labelled = cut(prints.join(labels, "fp", "left").select("fp", F.coalesce("comp", "fp").alias("comp")))
-    edges = cut(_named(close.unionByName(_walked(labelled)), labels).distinct())
+    labelled = store(prints.join(labels, "fp", "left").select("fp", F.coalesce("comp", "fp").alias("comp")))
+    edges = store(_named(close.unionByName(_walked(labelled)), labels).distinct())
     names = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     joined = components(edges, names.select("node", F.col("node").alias("lead")))
     known = labelled.join(joined.withColumnRenamed("node", "comp"), "comp", "left")
@@ -215,8 +216,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Repeated rows are kept; null ids count as larger than any other; an empty table
     gives no rows.
     """
-    prints = cut(docs.select("doc_id", "text").mapInArrow(_fingerprints, "doc_id long, fp long"))
-    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("lead"), F.count("*").alias("copies")))
+    prints = store(docs.select("doc_id", "text").mapInArrow(_fingerprints, "doc_id long, fp long"))
+    distinct = store(prints.groupBy("fp").agg(F.min("doc_id").alias("lead"), F.count("*").alias("copies")))
     members = distinct.join(linked(distinct.select("fp")), "fp")
     leads = members.groupBy("comp").agg(F.min("lead").alias("component_id"))
     found = members.join(leads, "comp").select("fp", "copies", "component_id")
@@ -231,10 +232,10 @@ def representatives(docs: DataFrame, key: str) -> DataFrame:
     Returns the key of the row with the smallest doc_id, null ids last, then the smallest
     key, and n_rows, how many rows have this key.
     """
-    prints = cut(docs.select("doc_id", "text", key).mapInArrow(_fingerprints, f"doc_id long, fp long, {key} string"))
+    prints = store(docs.select("doc_id", "text", key).mapInArrow(_fingerprints, f"doc_id long, fp long, {key} string"))
     own = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.col(key).alias("key"))
     # a fingerprint's first row stands for it, so that only one row of each goes on
-    lead = cut(prints.groupBy("fp").agg(F.min(own).alias("lead")))
+    lead = store(prints.groupBy("fp").agg(F.min(own).alias("lead")))
     joined = lead.join(linked(lead.select("fp")), "fp").groupBy("comp").agg(F.min("lead").alias("lead"))
-    chosen = cut(joined.select(F.col("lead.key").alias(key)))
+    chosen = store(joined.select(F.col("lead.key").alias(key)))
     return prints.groupBy(key).agg(F.count("*").alias("n_rows")).join(chosen, key, "left_semi")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -13,10 +14,12 @@ import public_tokenizers
 import pytest
 import sentencepiece
 import xxhash
+from pyspark.sql import functions as F
 
-from rankflow.llm import chat, decontaminate, license_scan, lpf_dedup, ngram_lm, quality, sentencepiece_codec, sharding, simhash, toxicity
+from rankflow.llm import chat, common, decontaminate, license_scan, lpf_dedup, ngram_lm, quality, sentencepiece_codec, sharding, simhash, toxicity
 from rankflow.llm import queries as llm_queries
 from rankflow.llm.elias_fano import EliasFano, Levels, Trie
+from rankflow.session import scoped_conf
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, component_id long, size string, rank int"
@@ -569,3 +572,28 @@ def test_op5_models_more_than_pairs(spark, tmp_path):
         n, score = three[r["doc_id"], texts[r["doc_id"]]]
         assert r["n_tokens"] == n and abs(r["score"] - score) < n * 3 / 4000
     assert abs(sum(r["score"] for r in found) - sum(v[1] for v in two.values())) > 50
+
+
+def test_small_results_are_stored_in_few_files(spark):
+    """What a step of many partitions leaves goes to a few files, and nothing of it stays in the cache."""
+    many = spark.range(1000).repartition(97).withColumn("k", F.col("id") % 7)
+    kept = common.store(many)
+    assert kept.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert sorted(kept.collect()) == [(i, i % 7) for i in range(1000)] and not many.is_cached
+    assert common.store(many.where("false")).count() == 0
+
+
+def test_near_duplicates_leave_few_files(spark, odd, tmp_path):
+    """The steps of the search over 60 partitions: a part file for each task at a time, not for each partition."""
+    parts = []
+    context, before = spark.sparkContext, spark.sparkContext.getCheckpointDir()
+    context.setCheckpointDir(str(tmp_path))
+    try:
+        with scoped_conf(spark, {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+            found = simhash.near_duplicates(odd.repartition(60))
+            parts = [len(list(folder.glob("part-*"))) for folder in tmp_path.glob("*/rdd-*")]
+            assert len(parts) >= 5 and max(parts) <= context.defaultParallelism
+            assert found.count() == odd.count()
+    finally:
+        if before is not None:
+            context.setCheckpointDir(os.path.dirname(before.removeprefix("file:")))
