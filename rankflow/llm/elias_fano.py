@@ -11,8 +11,6 @@ import tempfile
 
 import numpy as np
 
-_BYTES = np.arange(256, dtype=np.uint8)
-_ONES = np.bitwise_count(_BYTES).astype(np.int64)
 _PLACES = np.zeros((256, 8), dtype=np.int64)
 for _b in range(256):
     _set = [i for i in range(8) if _b >> i & 1]
@@ -69,15 +67,15 @@ class EliasFano:
         bits = self.words[word]
         if not bit:
             bits = ~bits
-        place, open_ = word * 64, np.ones(len(k), dtype=bool)
-        for i in range(8):
-            byte = (bits >> np.uint64(8 * i) & np.uint64(255)).astype(np.int64)
-            count = _ONES[byte]
-            here = open_ & (left < count)
-            place[here] += 8 * i + _PLACES[byte[here], left[here]]
-            open_ &= ~here
-            left = np.where(open_, left - count, left)
-        return place
+        place = word * 64
+        for half in (32, 16, 8):
+            low = bits & np.uint64((1 << half) - 1)
+            count = np.bitwise_count(low).astype(np.int64)
+            above = left >= count
+            left = np.where(above, left - count, left)
+            bits = np.where(above, bits >> np.uint64(half), low)
+            place += above * half
+        return place + _PLACES[bits, left]
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.width:
@@ -119,24 +117,39 @@ class Codebook:
     STEP = 1 / 2048
 
     def __init__(self, values: np.ndarray, levels: Levels):
-        codes = np.rint(-values / self.STEP)
+        self.codes = levels.keep(self.steps(values))
+
+    @classmethod
+    def steps(cls, values: np.ndarray) -> np.ndarray:
+        codes = np.rint(-values / cls.STEP)
         if len(codes) and not (0 <= codes.min() and codes.max() < 1 << 16):
             raise OverflowError("a probability is over 1 or under 10 ** -32")
-        self.codes = levels.keep(codes.astype(np.uint16))
+        return codes.astype(np.uint16)
 
     def get(self, i: np.ndarray) -> np.ndarray:
         return self.codes[i] * -self.STEP
 
 
+class Counts:
+    """Counts, each by its place among the distinct ones, of which there are few."""
+
+    def __init__(self, values: np.ndarray, levels: Levels):
+        self.distinct, at = np.unique(values, return_inverse=True)
+        self.places = levels.keep(at.astype(np.min_scalar_type(len(self.distinct))))
+
+    def get(self, i: np.ndarray) -> np.ndarray:
+        return self.distinct[self.places[i]]
+
+
 class Trie:
-    """Words under their contexts with a quantised value each, and one for each context.
+    """Words under their contexts with a value each, as ``book`` keeps it, and a quantised one for each context if there is a weight.
 
     ``context`` and ``word``: pairs in rising order, words from 1 on. The words of a
     context are stored on top of the last value of the context before, so the whole
     level rises; pointers tell where each context begins.
     """
 
-    def __init__(self, context: np.ndarray, word: np.ndarray, value: np.ndarray, weight: np.ndarray):
+    def __init__(self, context: np.ndarray, word: np.ndarray, value: np.ndarray, weight: np.ndarray | None, book: type = Codebook):
         levels = Levels()
         begins = np.nonzero(np.diff(context, prepend=-1))[0] if len(context) else np.zeros(0, dtype=np.int64)
         ends = np.append(begins[1:], len(context)) if len(begins) else begins
@@ -145,21 +158,27 @@ class Trie:
         self.pointers = EliasFano(np.append(begins, len(context)), levels)
         base = np.cumsum(last) - last
         self.words = EliasFano(word.astype(np.int64) + np.repeat(base, ends - begins), levels)
-        self.value, self.weight = Codebook(value, levels), Codebook(weight[begins], levels)
+        self.value, self.weight = book(value, levels), None if weight is None else Codebook(weight[begins], levels)
 
     def find(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """For each query: is the context known, its weight, is the pair known, its value."""
         n = len(context)
-        weight, value, pair = np.zeros(n), np.zeros(n), np.zeros(n, dtype=bool)
-        zero = np.zeros(n, dtype=np.int64)
+        value, pair = np.zeros(n), np.zeros(n, dtype=bool)
+        new = np.append(True, np.diff(context) != 0)[:n]  # neighbours with one context look it up once
+        run, context = np.cumsum(new) - 1, context[new]
+        zero = np.zeros(len(context), dtype=np.int64)
         at, known = self.contexts.successor(context, zero, zero + self.contexts.size)
-        own = np.nonzero(known)[0]
-        if len(own):
-            k = at[own]
-            weight[own] = self.weight.get(k)
-            begin, end = self.pointers.get(k).astype(np.int64), self.pointers.get(k + 1).astype(np.int64)
-            base = np.where(begin > 0, self.words.get(np.maximum(begin - 1, 0)).astype(np.int64), 0)
-            j, hit = self.words.successor(base + word[own].astype(np.int64), begin, end)
+        weight = np.zeros(len(context))
+        if known.any():
+            k = at[known]
+            if self.weight:
+                weight[known] = self.weight.get(k)
+            begin, end, base = zero.copy(), zero.copy(), zero.copy()
+            begin[known], end[known] = (self.pointers.get(x).astype(np.int64) for x in (k, k + 1))
+            base[known] = np.where(begin[known] > 0, self.words.get(np.maximum(begin[known] - 1, 0)).astype(np.int64), 0)
+            own = np.nonzero(known[run])[0]
+            of = run[own]
+            j, hit = self.words.successor(base[of] + word[own].astype(np.int64), begin[of], end[of])
             pair[own] = hit
             value[own[hit]] = self.value.get(j[hit])
-        return known, weight, pair, value
+        return known[run], weight[run], pair, value

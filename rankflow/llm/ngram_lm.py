@@ -2,15 +2,16 @@
 
 Word counts, word ids and the counts of each level of n-grams live in shards. A block of documents
 learns the ids and counts of its own words. Then, level by level, it sends every distinct n-gram
-once, with its count in training, to the shard of the n-gram's context (all but its last word), and
-gets back for each the count of the whole corpus, the step of its value in the trie and an id that
-names it as a context of the next level; which documents hold an n-gram, and how often, stays with
-the block, which finds its n-grams in the same order each time. A shard builds a trie of its
-training n-grams and looks up all n-grams it was sent. Contexts so frequent that one would outgrow
-a shard are spread by the word that follows; all that a shard needs besides (the count of the
-context, the value of the n-gram without its first word) comes with the n-gram. From level 3 on
-many n-grams can stand in no other block, held out or not, for their context or what is left without
-their first word doesn't. These the block looks up in a trie of its own.
+once, as the ids of its words, with its count in training, and gets back for each the count of the
+whole corpus. All else that a probability needs, the count of the context (all but the last word)
+and the value of the n-gram without its first word, the block knows from the levels below, so neither
+moves; which documents hold an n-gram, and how often, stays with the block too, which finds its n-grams
+in the same order each time. A shard has all n-grams that begin with some words; words, and contexts, so
+frequent that one would outgrow a shard are spread by the word that follows. It builds a trie
+of its training n-grams and looks up all n-grams it was sent. An n-gram with a word, a context or a rest
+that stands in no other block, held out or not, stands in no other block itself, and none with a context or
+a rest (all but the first word) out of training is in training. The former the block looks up in
+a trie of its own, the latter nowhere.
 
 Probabilities: p(w) = (c(w) + 1) / (N + V + 1), and with a context h, and h' without its first
 word, p(w | h) = (c(h w) + m p(w | h')) / (c(h) + m) with m = PRIOR_SHARE c(h) + PRIOR, Bayesian
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankflow.llm.common import cut, mix64
-from rankflow.llm.elias_fano import Codebook, Levels, Trie
+from rankflow.llm.elias_fano import Codebook, Counts, Trie
 from rankflow.llm.packets import answer, binary, freeze, pack, send, settle, shard_count, strings, thaw
 
 PRIOR_SHARE, PRIOR = 2.0, 2.0
@@ -42,6 +43,8 @@ BLOCK_BYTES, SHARD_BYTES = 5 << 20, 16 << 20
 #: Stands for the end of a text; no word holds a line feed.
 END = b"\n"
 BEGIN_ID, UNKNOWN_ID, FIRST_ID = 0, 1, 2
+#: An odd number that spreads words over shards.
+SPREAD = 0x9E3779B97F4A7C15
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -55,7 +58,7 @@ def _weight(context_count: np.ndarray) -> np.ndarray:
 
 
 def _steps(values: np.ndarray) -> np.ndarray:
-    return np.rint(-values / Codebook.STEP).astype(np.int64)
+    return Codebook.steps(values).astype(np.int64)
 
 
 def in_training(doc_id: int | None, folds: int, fold: int) -> bool:
@@ -65,22 +68,27 @@ def in_training(doc_id: int | None, folds: int, fold: int) -> bool:
 
 def tokens(table: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Distinct tokens of a block, the index of each token, and the tokens per document, ends included."""
-    parts, counts, held = [], [], []
-    for text in table["text"]:
-        own = text.as_py().lower().split()
-        counts.append(len(own) + 1)
-        held += own
-        held.append(END)
-        if len(held) > 1 << 18:
-            parts.append(pa.array(held, pa.binary()))
-            held = []
-    parts.append(pa.array(held, pa.binary()))
-    coded = pa.chunked_array(parts).combine_chunks().dictionary_encode()
-    return coded.dictionary, np.asarray(coded.indices).astype(np.int64), np.array(counts, dtype=np.int64)
+    texts = pa.concat_arrays([pa.array([], pa.binary()), *table["text"].chunks])
+    # bytes that pass for a string: both functions look at single bytes
+    texts = pa.StringArray.from_buffers(len(texts), *texts.buffers()[1:], offset=texts.offset)
+    parts = pa.compute.ascii_split_whitespace(pa.compute.ascii_lower(texts))
+    held = parts.flatten()
+    word = np.asarray(pa.compute.binary_length(held)) > 0  # blanks at either end leave empty parts
+    coded = held.filter(pa.array(word)).dictionary_encode()
+    own = np.diff(np.concatenate([[0], np.cumsum(word)])[np.asarray(parts.offsets) - parts.offsets[0].as_py()])
+    words = pa.concat_arrays([coded.dictionary.cast(pa.binary()), pa.array([END], pa.binary())])
+    index = np.full(own.sum() + len(own), len(words) - 1)
+    index[np.arange(own.sum()) + np.repeat(np.arange(len(own)), own)] = np.asarray(coded.indices)
+    return words, index, own + 1
 
 
 def _home(words: pa.Array, shards: int) -> tuple[np.ndarray, np.ndarray]:
-    home = np.fromiter((zlib.crc32(w) % shards for w in words.to_pylist()), np.int64, len(words))
+    """The words in order of their shards, and where each shard's begin; by a polynomial in the bytes, modulo 2 ** 64."""
+    offsets, data = strings(words)
+    power, back = (np.cumprod(np.append(np.uint64(1), np.full(len(data), x, dtype=np.uint64))) for x in (SPREAD, pow(SPREAD, -1, 1 << 64)))
+    sums = np.append(np.uint64(0), np.cumsum((data + np.uint64(1)) * power[:-1]))
+    home = mix64((sums[offsets[1:]] - sums[offsets[:-1]]) * back[offsets[:-1]]) % np.uint64(shards)
+    home = home.astype(np.min_scalar_type(shards))
     order = np.argsort(home, kind="stable")
     return order, np.searchsorted(home[order], np.arange(shards + 1))
 
@@ -104,10 +112,11 @@ def _count(shards: int, folds: int, fold: int):
 
 
 def _number(messages: list[dict]) -> Iterator[bytes]:
-    """Ranks (most frequent first; -1 without training counts) and counts of the words of each block."""
+    """Of the words of each block: ranks (most frequent first; -1 without training counts), counts, whether no other block has them."""
     asked = [binary(np.concatenate([[0], np.cumsum(m["lengths"])]), m["data"]) for m in messages]
     index = np.asarray(pa.concat_arrays(asked).dictionary_encode().indices).astype(np.int64)
     counts = np.bincount(index, np.concatenate([m["seen"] for m in messages]), index.max(initial=-1) + 1).astype(np.int64)
+    only = np.bincount(index, minlength=len(counts)) == 1  # a block names a word once
     rank = np.empty(len(counts), dtype=np.int64)
     rank[np.argsort(-counts, kind="stable")] = np.arange(len(counts))
     rank[counts == 0] = -1
@@ -116,53 +125,79 @@ def _number(messages: list[dict]) -> Iterator[bytes]:
     for words in asked:
         own = index[at : at + len(words)]
         at += len(words)
-        yield freeze(rank=rank[own], count=counts[own].astype(np.uint64), totals=totals)
+        yield freeze(rank=rank[own], count=_narrow(counts[own]), only=np.packbits(only[own]), totals=totals)
 
 
-def _looked_up(context: np.ndarray, word: np.ndarray, trained: np.ndarray, seen: np.ndarray, lower: np.ndarray) -> np.ndarray:
-    """Steps of distinct n-grams, in order of context and word (under 2 ** 32): of log10 p, or of the context's weight.
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """In as few bytes as the largest needs."""
+    return counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
 
-    Builds the trie of those with places in training (``trained``). ``seen``: counts of the contexts,
-    ``lower``: probabilities of the word under the shorter context.
-    """
+
+def _distinct(front: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of numbers under 2 ** 31, in order: both parts, a place of each; and which of them stands at each place."""
+    bits = int(word.max(initial=0)).bit_length()
+    keys = front << bits | word
+    own = len(keys).bit_length()
+    if int(keys.max(initial=0)).bit_length() + own < 64:  # places fit beside the keys, and plain numbers are sorted fastest
+        keys = np.sort(keys << own | np.arange(len(keys)))
+        at, keys = keys & (1 << own) - 1, keys >> own
+    else:
+        at = np.argsort(keys, kind="stable")
+        keys = keys[at]
+    new = np.append(True, np.diff(keys) != 0)[: len(keys)]
+    which = np.empty(len(keys), dtype=np.int64)
+    which[at] = np.cumsum(new) - 1
+    keys = keys[new]
+    return keys >> bits, keys & (1 << bits) - 1, at[new], which
+
+
+def _counts(context: np.ndarray, word: np.ndarray, trained: np.ndarray) -> np.ndarray:
+    """Counts of distinct n-grams, in order of context and word (from 1 on), looked up in the trie of those in training."""
     own = trained > 0
-    value = np.log10((trained + prior(seen) * lower) / (seen + prior(seen)))[own]
-    weight = _weight(seen)
-    trie = Trie(context[own], word[own], value, weight[own])
-    known, back_off, found, value = trie.find(context, word)
-    # a context without an n-gram here may have one elsewhere: the step that stands for its weight is the same
-    elsewhere = Codebook(weight, Levels()).get(np.arange(len(weight)))
-    return _steps(np.where(found, value, np.where(known, back_off, elsewhere)))
+    *_, found, count = Trie(context[own], word[own], trained[own], None, Counts).find(context, word)
+    return np.where(found, count, 0).astype(np.int64)
 
 
 class _Block:
     """What a block of documents knows about its tokens, level by level.
 
-    For every token: ``log``, log10 of its probability under the longest context so far, and
-    ``slot``, the number of the n-gram that ends there (-1 if it can't be in training). For every
-    n-gram: its count in training (``seen``), the step of its value (``code``), whether it stands in
-    no other block (``only``) and, if a shard holds it, its id as a context (``ids``).
+    Its words are numbered in order of their ids, the begin of a text first. For every token: ``log``,
+    log10 of its probability under the longest context so far, and ``slot``, the number of the n-gram
+    that ends there (-1 if it can't be in training). For every n-gram, in order of its words: ``grams``, the
+    numbers of its words, its count in the whole training (``seen``), the step of its value (``code``), whether it
+    stands in no other block (``only``) and the number that its home is drawn from (``spread``).
     """
 
     def __init__(self, table: pa.Table, replies: dict[int, dict], shards: int, folds: int, fold: int):
         self.replies, self.shards = replies, shards
-        words, self.index, self.counts = tokens(table)
+        words, index, self.counts = tokens(table)
         order, _ = _home(words, shards)
         listed = [replies[s] for s in range(shards)]
-        rank, count, home = (np.empty(len(words), dtype=np.int64) for _ in range(3))
-        rank[order] = np.concatenate([m["rank"] for m in listed])
-        count[order] = np.concatenate([m["count"] for m in listed]).astype(np.int64)
-        home[order] = np.repeat(np.arange(shards), [len(m["rank"]) for m in listed])
+        sizes = [len(m["rank"]) for m in listed]
+        rank = np.concatenate([m["rank"] for m in listed])
+        ids = np.where(rank < 0, UNKNOWN_ID, FIRST_ID + rank * shards + np.repeat(np.arange(shards), sizes))
+        ranked = np.argsort(ids, kind="stable")
+        number = np.empty(len(words), dtype=np.int64)
+        number[order[ranked]] = np.arange(len(words)) + 1
+        self.index = number[index]
+        end = number[words.index(pa.scalar(END, pa.binary())).as_py()]
+
+        def held(column: Iterator[np.ndarray], kind: type) -> np.ndarray:
+            values = np.concatenate(list(column)).astype(kind)[ranked]
+            return np.concatenate([values[end - 1 : end], values])  # as many begins as ends
+
+        self.word_ids = np.concatenate([[BEGIN_ID], ids[ranked]])
+        self.word_counts = held((m["count"] for m in listed), np.int64)
         self.total, kinds = np.sum([m["totals"] for m in listed], axis=0)
         self.norm = self.total + kinds + 1
-        ids = np.where(rank < 0, UNKNOWN_ID, FIRST_ID + rank * shards + home)
         self.in_training = _training(table, folds, fold)
         self.trained = np.repeat(self.in_training, self.counts)
         self.begins = np.cumsum(self.counts) - self.counts
-        self.w, self.cw = ids[self.index], count[self.index]
-        self.base = np.log10((self.cw + 1) / self.norm)
-        self.end_count = int(count[words.index(pa.scalar(END, pa.binary())).as_py()])
-        self.level = 1
+        self.base = np.log10((self.word_counts + 1) / self.norm)[self.index]
+        # single words as n-grams of the first level
+        self.level, self.slot, self.log = 1, self.index, self.base
+        self.grams, self.seen, self.spread = np.arange(len(self.word_ids))[None], self.word_counts, mix64(self.word_ids)
+        self.only = held((np.unpackbits(m["only"], count=n) for m, n in zip(listed, sizes, strict=True)), bool)
 
     def sums(self, values: np.ndarray) -> np.ndarray:
         return np.bincount(np.repeat(np.arange(len(self.counts)), self.counts), values, len(self.counts))
@@ -170,79 +205,58 @@ class _Block:
     def rise(self) -> None:
         """On to the n-grams of the next level: which there are, and whose shards they are."""
         self.level += 1
-        places, context, ccount, lower = self._pairs() if self.level == 2 else self._longer()
-        w = self.w[places]
-        spread = mix64(context) + np.where(ccount * 2 * self.shards > self.total, mix64(w), np.uint64(0))
-        home = mix64(spread) % np.uint64(self.shards)
-        order = np.lexsort((w, context, home))
-        new = np.append(True, (np.diff(context[order]) != 0) | (np.diff(w[order]) != 0))[: len(order)]  # an n-gram has one home
-        first, slots = order[new], np.empty(len(order), dtype=np.int64)
-        slots[order] = np.cumsum(new) - 1
-        self.often = np.bincount(slots[self.trained[places]], minlength=len(first))
-        self.ends = np.searchsorted(home[first], np.arange(self.shards + 1))
-        self.slot = np.full(len(self.w), -1, dtype=np.int64)
-        self.slot[places] = slots
-        self.asked = (context[first], w[first], ccount[first], lower[first])
-
-    def _pairs(self) -> tuple[np.ndarray, ...]:
-        """Tokens whose pair may be in training; its context, the context's count, the count of the word."""
-        v, cv = np.roll(self.w, 1), np.roll(self.cw, 1)
-        v[self.begins], cv[self.begins] = BEGIN_ID, self.end_count  # as many begins as ends
-        places = np.nonzero((cv > 0) & (self.cw > 0))[0]
-        self.log = np.where(cv > 0, _weight(cv), 0.0) + self.base
-        self.short, self.own, self.own_slots = self.base, None, None
-        return places, v[places], cv[places], self.cw[places]
-
-    def _longer(self) -> tuple[np.ndarray, ...]:
-        """Tokens whose n-gram may be in training, here and elsewhere; its context, that one's count, the shorter n-gram's step."""
         front = np.roll(self.slot, 1)
-        front[self.begins] = -1  # no context begins before the text
+        front[self.begins] = 0 if self.level == 2 else -1  # no longer context begins before the text
         known = np.nonzero(front >= 0)[0]
         known = known[self.seen[front[known]] > 0]
         there = self.slot[known] >= 0
         there[there] = self.seen[self.slot[known[there]]] > 0
         less = known[~there]  # without their first word they aren't in training either
-        self.short = self.log
-        self.log = self.log.copy()
-        self.log[less] -= _steps(_weight(self.seen[front[less]])) * Codebook.STEP
+        self.short, self.log = self.log, self.log.copy()
+        weight = _weight(self.seen[front[less]])
+        self.log[less] += weight if self.level == 2 else -_steps(weight) * Codebook.STEP
         places = known[there]
-        front, back = front[places], self.slot[places]
-        here = self.only[front] | self.only[back]
-        self.own = places[here]
-        keys = front[here] << 32 | (self.index[self.own] + 1)
-        keys, at, self.own_slots = np.unique(keys, return_index=True, return_inverse=True)
-        often = np.bincount(self.own_slots[self.trained[self.own]], minlength=len(keys))
-        lower = 10.0 ** (self.code[back[here][at]] * -Codebook.STEP)
-        self.own_facts = (_looked_up(keys >> 32, keys & 0xFFFFFFFF, often, self.seen[front[here][at]], lower), often)
-        front, back = front[~here], back[~here]
-        return places[~here], self.ids[front], self.seen[front], self.code[back]
+        self.front, word, at, slot = _distinct(front[places], self.index[places])
+        back = self.slot[places[at]]
+        self.often = np.bincount(slot[self.trained[places]], minlength=len(word))
+        self.under = self.seen[self.front]
+        self.shorter = self.seen[back] if self.level == 2 else self.code[back]
+        self.own = self.only[self.front] | self.only[back]
+        self.slot = np.full(len(self.index), -1, dtype=np.int64)
+        self.slot[places] = slot
+        self.grams = np.concatenate([self.grams[:, self.front], word[None]])
+        # a home for all that begins with a word; for the frequent with one more word, and so on
+        hot = self.under * 2 * self.shards > self.total
+        self.spread = self.spread[self.front] + np.where(hot, mix64(self.word_ids[word] + self.level), np.uint64(0))
+        asked = np.nonzero(~self.own)[0]
+        home = (mix64(self.spread[asked]) % np.uint64(self.shards)).astype(np.min_scalar_type(self.shards))
+        order = np.argsort(home, kind="stable")
+        self.asked, self.ends = asked[order], np.searchsorted(home[order], np.arange(self.shards + 1))
 
     def messages(self) -> Iterator[tuple[int, bytes]]:
-        context, w, ccount, lower = self.asked
         for shard in range(self.shards):
-            own = slice(self.ends[shard], self.ends[shard + 1])
-            if own.start < own.stop:
-                base = {"cw": lower[own].astype(np.uint64), "norm": np.array([self.norm])} if self.level == 2 else {"lower": lower[own].astype(np.uint16)}
-                yield shard, _message(context[own], w[own], ccount[own], self.often[own], base)
+            own = self.asked[self.ends[shard] : self.ends[shard + 1]]
+            if len(own):
+                yield shard, _message([self.word_ids[column[own]] for column in self.grams], self.often[own])
 
     def learn(self) -> None:
         """Take in what the shards have told about the n-grams of this level."""
-        homes = np.nonzero(np.diff(self.ends))[0].tolist()
-        told = [self.replies[(self.level - 1) * self.shards + s] for s in homes]
-        none = np.zeros(0, dtype=np.int64)
-        self.code, self.seen = (np.concatenate([none, *[m[k].astype(np.int64) for m in told]]) for k in ("code", "seen"))
-        self.only = np.concatenate([none, *[m["only"] for m in told]]).astype(bool)
-        at = np.concatenate([none, *[np.cumsum(m["at"], dtype=np.int64) for m in told]])
-        self.ids = at * self.shards + np.repeat(np.arange(self.shards), np.diff(self.ends))
-        if self.own is not None:  # numbered behind the others; no shard is asked about longer n-grams of theirs
-            self.slot[self.own] = len(self.code) + self.own_slots
-            code, often = self.own_facts
-            self.code, self.seen = np.append(self.code, code), np.append(self.seen, often)
-            self.only = np.append(self.only, np.ones(len(code), dtype=bool))
-            self.ids = np.append(self.ids, np.zeros(len(code), dtype=np.int64))
+        sizes = np.diff(self.ends)
+        told = [(self.replies[(self.level - 1) * self.shards + s], sizes[s]) for s in np.nonzero(sizes)[0].tolist()]
+        self.seen, self.only = np.zeros(len(self.own), dtype=np.int64), self.own.copy()
+        if told:
+            self.seen[self.asked] = np.concatenate([m["seen"] for m, _ in told])
+            if "only" in told[0][0]:
+                self.only[self.asked] = np.concatenate([np.unpackbits(m["only"], count=n) for m, n in told]).astype(bool)
+        # n-grams of which a part stands in no other block; no shard is asked about them
+        own = self.own
+        self.seen[own] = _counts(self.front[own], self.grams[-1][own], self.often[own])
+        seen, m = self.seen, prior(self.under)
+        lower = (self.shorter + 1) / self.norm if self.level == 2 else (10.0 ** (np.arange(1 << 16) * -Codebook.STEP))[self.shorter]
+        self.code = _steps(np.where(seen > 0, np.log10((seen + m * lower) / (self.under + m)), _weight(self.under)))
         held = np.nonzero(self.slot >= 0)[0]
         slot = self.slot[held]
-        self.log[held] = self.code[slot] * -Codebook.STEP + np.where(self.seen[slot] > 0, 0.0, self.short[held])
+        self.log[held] = self.code[slot] * -Codebook.STEP + np.where(seen[slot] > 0, 0.0, self.short[held])
 
 
 def _ask(level: int, shards: int, folds: int, fold: int):
@@ -260,46 +274,60 @@ def _ask(level: int, shards: int, folds: int, fold: int):
     return work
 
 
-def _message(v, w, cv, trained, base: dict[str, np.ndarray]) -> bytes:
-    """Distinct n-grams in order: their distinct words, the contexts with counts, the counts in training; the
-    counts of the words, or for each n-gram the step of the one without its first word."""
-    found, at = np.unique(w, return_index=True)
-    first = np.nonzero(np.append(True, np.diff(v) != 0))[0]
-    if "cw" in base:
-        base = {**base, "cw": base["cw"][at]}
-    return freeze(
-        w=np.diff(found, prepend=0),
-        v=np.diff(v[first], prepend=0), cv=cv[first].astype(np.uint64),
-        under=np.diff(np.append(first, len(v))).astype(np.uint32),
-        word=np.searchsorted(found, w).astype(np.uint32),
-        trained=trained.astype(np.uint32), **base,
-    )
-
-
-def _score(messages: list[dict]) -> Iterator[bytes]:
-    """Build the trie of a shard from all training n-grams in it. Of each n-gram of each message: step, count, whether no other block asks, number."""
-    # words and contexts are numbered anew within the shard, so that two numbers fit into one
-    contexts, v = np.unique(np.concatenate([np.repeat(np.cumsum(m["v"]), m["under"]) for m in messages]), return_inverse=True)
-    words, w = np.unique(np.concatenate([np.cumsum(m["w"])[m["word"]] for m in messages]), return_inverse=True)
-    keys = (v << 32 | (w + 1)).view(np.uint64)
-    del v, w, contexts, words
-    grams, at, back = np.unique(keys, return_index=True, return_inverse=True)
-    del keys
-    trained = np.bincount(back, np.concatenate([m["trained"] for m in messages]), len(grams))
-    cv = np.concatenate([np.repeat(m["cv"], m["under"]) for m in messages])[at].astype(np.float64)
-    if "cw" in messages[0]:
-        lower = (np.concatenate([m["cw"][m["word"]] for m in messages])[at] + 1) / float(messages[0]["norm"][0])
-    else:
-        lower = 10.0 ** (np.concatenate([m["lower"] for m in messages])[at] * -Codebook.STEP)
-    context, word = (grams >> np.uint64(32)).astype(np.int64), (grams & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    code = _looked_up(context, word, trained, cv, lower).astype(np.uint16)
-    seen, only = trained.astype(np.uint32), (np.bincount(back, minlength=len(grams)) == 1).astype(np.uint8)  # a block asks once
-    del grams, at, cv, lower, context, word, trained
-    start = 0
-    for m in messages:
-        own = back[start : start + len(m["word"])]
-        start += len(m["word"])
-        yield freeze(code=code[own], seen=seen[own], only=only[own], at=np.diff(own, prepend=0).astype(np.uint32))
+def _message(columns: list[np.ndarray], trained: np.ndarray) -> bytes:
+    """Distinct n-grams in order, by the ids of their words, and their counts in training.
+
+    Every word stands once under what comes before it: as the difference to the word before it there, the first as it is.
+    """
+    parts = {"trained": _narrow(trained)}
+    new = np.zeros(len(trained), dtype=bool)
+    new[0] = True
+    parents = new.copy()
+    for k, column in enumerate(columns):
+        new[1:] |= np.diff(column) != 0
+        first = np.nonzero(new)[0]
+        if k:
+            parts[f"under{k}"] = _narrow(np.diff(np.append(np.nonzero(parents[first])[0], len(first))))
+        step = np.diff(column[first], prepend=0)
+        opens = parents[first]
+        step[opens] = column[first[opens]]
+        parts[f"word{k}"] = _narrow(step)
+        parents = new.copy()
+    return freeze(**parts)
+
+
+def _words(step: np.ndarray, under: np.ndarray) -> np.ndarray:
+    """Ids from the differences of ``_message``; ``under``: how many stand under each that comes before."""
+    ids = np.cumsum(step, dtype=np.int64)
+    begins = np.cumsum(under, dtype=np.int64) - under
+    return ids - np.repeat(ids[begins] - step[begins].astype(np.int64), under)
+
+
+def _score(level: int, last: bool):
+    """Build the trie of a shard from all training n-grams in it. Of each n-gram of each message: count, whether no other block asks."""
+
+    def work(messages: list[dict]) -> Iterator[bytes]:
+        ids = [np.cumsum(m["word0"], dtype=np.int64) for m in messages]
+        found, at = np.unique(np.concatenate(ids), return_inverse=True)
+        del ids
+        for k in range(1, level):  # n-grams of k + 1 words by the number of their first k words and the last word
+            under = [m.pop(f"under{k}").astype(np.int64) for m in messages]
+            word = np.concatenate([_words(m.pop(f"word{k}"), u) for m, u in zip(messages, under, strict=True)])
+            if word.max() >> 32:  # numbered anew within the shard, so that two numbers fit into one
+                word = np.unique(word, return_inverse=True)[1] + 1
+            found, at = np.unique(np.repeat(at, np.concatenate(under)) << 32 | word, return_inverse=True)
+            del under, word
+        trained = np.bincount(at, np.concatenate([m["trained"] for m in messages]), len(found)).astype(np.int64)
+        seen = _counts(found >> 32, found & 0xFFFFFFFF, trained)
+        only = np.bincount(at, minlength=len(found)) == 1  # a block asks once
+        del found, trained
+        start = 0
+        for m in messages:
+            own = at[start : start + len(m["trained"])]
+            start += len(own)
+            yield freeze(seen=_narrow(seen[own])) if last else freeze(seen=_narrow(seen[own]), only=np.packbits(only[own]))
+
+    return work
 
 
 def _sum(shards: int, folds: int, fold: int, order: int):
@@ -311,7 +339,7 @@ def _sum(shards: int, folds: int, fold: int, order: int):
         return pa.table({
             "doc_id": table["doc_id"],
             "held_out": ~block.in_training,
-            "n_tokens": block.counts, "n_known": block.sums(block.cw > 0).astype(np.int64),
+            "n_tokens": block.counts, "n_known": block.sums(block.word_counts[block.index] > 0).astype(np.int64),
             "train_tokens": np.full(len(table), int(block.total), dtype=np.int64),
             "base_score": block.sums(block.base), "score": block.sums(block.log),
         })
@@ -336,7 +364,7 @@ def score(docs: DataFrame, folds: int = 7, fold: int = 2, order: int = 2) -> Dat
     replies = cut(answer(send(blocks, _count(shards, folds, fold)), _number))
     for level in range(2, order + 1):  # answers of a level are numbered behind those of the levels below
         asked = settle(blocks, replies, _ask(level, shards, folds, fold), "shard int, payload binary", with_block=True)
-        told = answer(asked, _score)
+        told = answer(asked, _score(level, level == order))
         told = cut(told) if level < order else told
         replies = replies.unionByName(told.withColumn("shard", F.col("shard") + F.lit((level - 1) * shards)))
     return settle(blocks, replies, _sum(shards, folds, fold, order), RESULT)

@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from rankflow.llm import chat, common, decontaminate, license_scan, lpf_dedup, ngram_lm, quality, sentencepiece_codec, sharding, simhash, toxicity
 from rankflow.llm import queries as llm_queries
 from rankflow.llm.elias_fano import EliasFano, Levels, Trie
+from rankflow.llm.packets import thaw
 from rankflow.session import scoped_conf
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -561,6 +563,55 @@ def test_scores_follow_longer_contexts(spark, odd, monkeypatch, order):
         assert all(abs(a[2] - b[2]) < a[1] * order / 4000 for a, b in zip(got, want, strict=True))
 
 
+def test_answers_about_ngrams_are_small(spark, monkeypatch):
+    """Counts alone come back from the shards: under two thirds of the questions' bytes, and both together under one byte a word and level."""
+    rng = random.Random(3)
+    common_words = [f"w{int(rng.paretovariate(0.6)) % 3000}" for _ in range(60_000)]
+    rows = [(i, " ".join(common_words[i * 300 : i * 300 + 300]), "en", "s", 0, 0, "", 0) for i in range(200)]
+    monkeypatch.setattr(ngram_lm, "BLOCK_BYTES", 60_000)
+    monkeypatch.setattr(ngram_lm, "SHARD_BYTES", 120_000)
+    real, asked, told = ngram_lm.answer, [], []
+
+    def measured(messages, work):
+        answers = common.cut(real(messages, work))
+        for frame, sizes in ((messages, asked), (answers, told)):
+            sizes.append(frame.agg(F.sum(F.length("payload"))).first()[0])
+        return answers
+
+    monkeypatch.setattr(ngram_lm, "answer", measured)
+    assert ngram_lm.score(spark.createDataFrame(rows, SCHEMA), order=3).count() == 200
+    assert len(asked) == len(told) == 3
+    assert 0 < sum(told[1:]) * 3 < sum(asked[1:]) * 2
+    assert sum(told[1:]) + sum(asked[1:]) < 2 * 60_000
+
+
+def test_ids_over_32_bits_keep_their_counts():
+    """Shards count n-grams by their words, however large the ids."""
+    rng = np.random.default_rng(5)
+    grams = [np.unique(rng.integers(1, 12, (150, 3)), axis=0) for _ in range(4)]
+    trained = [rng.integers(0, 3, len(g)) for g in grams]
+    want = Counter()
+    for own, n in zip(grams, trained, strict=True):
+        for gram, count in zip(map(tuple, own.tolist()), n.tolist(), strict=True):
+            want[gram] += count
+    for scale in (1, 1 << 33):
+        sent = [thaw(ngram_lm._message(list(g.T * scale), n)) for g, n in zip(grams, trained, strict=True)]
+        for own, answer in zip(grams, map(thaw, ngram_lm._score(3, False)(sent)), strict=True):
+            assert answer["seen"].tolist() == [want[tuple(g)] for g in own.tolist()]
+            shared = [sum((g == other).all(axis=1).any() for other in grams) for g in own]
+            assert np.unpackbits(answer["only"], count=len(own)).tolist() == [int(n == 1) for n in shared]
+
+
+def test_tokens_are_words_between_ascii_blanks():
+    rng = random.Random(6)
+    texts = [bytes(rng.choices(b" \t\n\x0b\x0c\r\x00\x1c\x1f\x85\xa0\xc2\xe3\xffAZaz[@", k=rng.randint(0, 30))) for _ in range(400)]
+    for own in (texts, texts[3:40], [b"", b" "], []):
+        table = pa.table({"text": pa.array(own, pa.binary())})
+        found, index, counts = ngram_lm.tokens(table)
+        want = [w for t in own for w in [*t.lower().split(), ngram_lm.END]]
+        assert found.take(pa.array(index)).to_pylist() == want and counts.tolist() == [len(t.split()) + 1 for t in own]
+
+
 def test_op5_models_more_than_pairs(spark, tmp_path):
     """The query's score is that of words under two words before them."""
     rows = longer_rows()
