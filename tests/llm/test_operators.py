@@ -517,6 +517,16 @@ def test_quality_fences_follow_their_group(spark):
     assert found[902]["kept"]  # where a thirtieth repeats a quarter of its words, a fifth is no outlier
 
 
+def test_quality_fences_follow_their_group_at_equal_word_lengths(spark):
+    """As above, with words as long as those of the group, so that symbols and repeats alone decide."""
+    probe = " ".join("#" if j % 10 == 3 else f"pp900w{j}" for j in range(200))
+    twice = " ".join([f"rr900w{j}" for j in range(20)] * 2 + [f"xx900w{j}" for j in range(160)])
+    rows = [*quality_rows("aa", 30, 25), *quality_rows("bb", 1, 0)]
+    rows += [(i, t, lang, "s", None, 0, "", 0) for i, t, lang in ((900, probe, "aa"), (901, probe, "bb"), (902, twice, "aa"), (903, twice, "bb"))]
+    found = {r["doc_id"]: r["kept"] for r in quality.judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [found[i] for i in (900, 901, 902, 903)] == [True, False, True, False]
+
+
 def longer_model(rows: list[tuple], order: int) -> dict:
     """n_tokens and score of each row by its key (id or -1, text), by brute force over n-grams of up to ``order`` words."""
     held = [zlib.crc32(b"" if r[0] is None else b"%d" % r[0]) % 7 == 2 for r in rows]
