@@ -344,7 +344,7 @@ class PackedSteps:
         if at.hot:
             for r in layout.facts_of_nodes.where(F.col("id") < at.hot).collect():
                 few[:, r["id"]] = r["out_degree"], r["out_weight"]
-        slices = min(_SLICES, math.ceil(layout.facts.edges / _PART_EDGES))
+        slices = max(1, min(_SLICES, math.ceil(layout.facts.edges / _PART_EDGES)))
         held = [self._held(self._packed(layout.translate(index, slices), few)) for index in range(slices)]
         layout.release_source()
         self.edges = held[0]
